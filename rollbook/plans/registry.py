@@ -25,6 +25,9 @@ class Extract:
     ts_format: str = "yyyy-MM-dd HH:mm:ss"
     quote: str = "all"      # "all" | "text" (numbers bare, header unquoted)
     date_formats: dict = field(default_factory=dict)  # per-column overrides
+    # False for extracts whose source system table does not exist yet: their
+    # output is the typed-empty frame plus the marker row, independent of data
+    reads_tables: bool = True
 
     def __call__(self, tables: Tables, params: ExtractParams | None = None) -> DataFrame:
         return self.fn(tables, params or ExtractParams())

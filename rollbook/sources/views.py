@@ -112,6 +112,36 @@ select o_custkey+1 as studentid, 'C' || cast(l_partkey as string) as course_numb
 from lineitem join orders on o_orderkey=l_orderkey"""),
 ]
 
+# homeless-program service flags (fixed column names of the SIS table)
+HOMELESS_SERVICE_FLAGS = (
+    "transportation", "tutor_instrsvcs", "school_supplies", "clothing", "counseling", "health_referrals",
+    "records_transfer", "before_after_schl_pgm", "emer_assist_attendance", "parent_education", "staff_prof_dev",
+    "other_svcs", "refer_other_pgmsvc", "assist_participation", "coord_schl_agency", "requestsnoservices",
+)
+# flag i is set on orders whose key is i mod 19; 16, 17 give no service, 18 leaves all flags NULL
+_HOMELESS_FLAG_SQL = ", ".join(
+    f"case when o_orderkey % 19 = {i} then 1 when o_orderkey % 19 = 18 then null else 0 end as {f}"
+    for i, f in enumerate(HOMELESS_SERVICE_FLAGS))
+
+VIEWS.extend([
+    ("s_nd_stu_x", """
+select c_custkey+100001 as studentsdcid,
+       case when c_custkey % 10 = 0 then upper(c_name) end as legalfirstname,
+       case when c_custkey % 10 = 0 then 'Q' end as legalmiddlename,
+       case when c_custkey % 10 = 0 then 'LEGAL' || cast(c_nationkey as string) end as legallastname,
+       case c_custkey % 10 when 0 then 'F' when 5 then 'M' end as legalgender,
+       case when c_custkey % 4 = 1 then 'UNIT ' || cast(c_nationkey as string) end as servingspecialedunit,
+       case when c_custkey % 3 = 0 then 'Y' else 'N' end as sendtotienet,
+       case when c_custkey % 6 = 1 then 1 else 0 end as section504,
+       cast(d0 as timestamp) as whencreated
+from customer left join cust_span on o_custkey = c_custkey"""),
+    ("s_nd_stu_homelessprograms_c", """
+select o_custkey+100001 as studentsdcid,
+       case when o_orderkey % 10 = 3 then null else cast(o_orderdate as date) end as startdate, """
+     + _HOMELESS_FLAG_SQL + """
+from orders where o_orderkey % 7 = 0"""),
+])
+
 VIEW_SQL: dict[str, str] = {name: " ".join(sql.split()) for name, sql in VIEWS}
 _ORDER = {name: i for i, (name, _) in enumerate(VIEWS)}
 
