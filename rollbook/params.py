@@ -18,6 +18,9 @@ class ExtractParams:
     # fixed windows that the scripts hard-code
     window_start: _dt.date = _dt.date(1997, 7, 1)
     window_end: _dt.date = _dt.date(1999, 7, 1)
+    # one school year's start window (schedules, roster)
+    year_window_start: _dt.date = _dt.date(1998, 7, 1)
+    year_window_end: _dt.date = _dt.date(1999, 7, 1)
     # behaviour window (closed, inclusive)
     behavior_start: _dt.date = _dt.date(2024, 1, 1)
     behavior_end: _dt.date = _dt.date(2024, 1, 31)

@@ -28,7 +28,12 @@ select n_nationkey+1 as id, n_nationkey+501 as dcid,
        case when n_nationkey=24 then 999999 else n_nationkey+1001 end as school_number,
        'School ' || n_name || ' ' || cast(n_regionkey as string) as name,
        case when n_nationkey % 3 = 0 then null else '701-555-' || lpad(cast(n_nationkey as string),4,'0') end as schoolphone,
-       case when n_regionkey=4 then 1 else 0 end as issummerschool
+       case when n_regionkey=4 then 1 else 0 end as issummerschool,
+       case when n_nationkey % 4 = 0 then null else n_nationkey + 3001 end as alternate_school_number,
+       'City ' || n_name as schoolcity, 'ND' as schoolstate, cast(58000 + n_nationkey as string) as schoolzip,
+       case when n_nationkey % 2 = 0 then null else '701-555-9' || lpad(cast(n_nationkey as string),3,'0') end as schoolfax,
+       'Principal ' || n_name as principal,
+       case when n_nationkey % 5 = 0 then null else 'principal' || cast(n_nationkey as string) || '@district.example' end as principalemail
 from nation"""),
     ("years", "select distinct cast(extract(year from o_orderdate) as int) as y from orders"),
     # three term kinds per school and year: the year record and two semesters.
@@ -74,7 +79,8 @@ from part"""),
     ("sections", """
 select s_suppkey*1000000 + p_partkey as id, s_suppkey + 1 as section_number, 'C' || cast(p_partkey as string) as course_number,
        s_nationkey+1001 as schoolid, (cast(p_partkey % 7 as int)+1995+1-1990)*100 + cast(p_partkey % 3 as int) as termid,
-       s_suppkey+1 as teacher, case when p_partkey % 6 = 0 then null else ' R' || cast(p_partkey % 40 as string) end as room
+       s_suppkey+1 as teacher, case when p_partkey % 6 = 0 then null else ' R' || cast(p_partkey % 40 as string) end as room,
+       cast(p_size + 10 as int) as maxenrollment, case when p_partkey % 5 = 0 then 'Team ' || p_brand end as team
 from (select distinct l_suppkey, l_partkey from lineitem) x join supplier on s_suppkey=l_suppkey join part on p_partkey=l_partkey"""),
     ("cc", """
 select (case when l_returnflag='R' then -1 else 1 end) * (l_suppkey*1000000 + l_partkey) as sectionid,
@@ -124,6 +130,60 @@ _HOMELESS_FLAG_SQL = ", ".join(
     for i, f in enumerate(HOMELESS_SERVICE_FLAGS))
 
 VIEWS.extend([
+    # ---- schedules: day calendar from order dates, cycle days / periods / bell
+    # schedules per school and year (bounded by schools x years x a few codes)
+    ("calendar_day", """
+select distinct sch as schoolid, d as date_value,
+       case when extract(day from d) % 7 = 0 then 0 else 1 end as insession,
+       sch*10 + cast(extract(day from d) as int) % 6 as cycle_day_id,
+       case when extract(day from d) % 11 = 0 then null else sch*10 + cast(extract(month from d) as int) % 2 end as bell_schedule_id
+from (select cast(o_orderkey % 25 as int) + 1001 as sch, cast(o_orderdate as date) as d from orders) x"""),
+    ("cycle_day", """
+select school_number*10 + k as id, school_number as schoolid, y+1-1990 as year_id,
+       case when k = 0 then null when k = 1 then '  ' when k = 2 then null else 'Day ' || cast(k+1 as string) end as day_name,
+       case k when 0 then null when 1 then 'B' when 2 then ' ' when 3 then 'D' when 4 then 'E' else 'F' end as letter,
+       case when k = 2 then 'C-ab' end as abbreviation, k + 1 as day_number
+from schools cross join years cross join (select 0 as k union all select 1 union all select 2 union all select 3
+                                          union all select 4 union all select 5) ks"""),
+    ("period", """
+select school_number*100 + n as id, school_number as schoolid, n as period_number,
+       case when n % 3 = 0 then null else 'P' || cast(n as string) end as abbreviation,
+       case when n % 4 = 0 then null else 'Period ' || cast(n as string) end as name
+from schools cross join (select 1 as n union all select 2 union all select 3 union all select 4 union all select 5
+                         union all select 6 union all select 7 union all select 8) ns"""),
+    ("bell_schedule", """
+select school_number*10 + m as id, school_number as schoolid, y+1-1990 as year_id
+from schools cross join years cross join (select 0 as m union all select 1) ms"""),
+    ("bell_schedule_items", """
+select distinct b.id as bell_schedule_id, p.id as period_id,
+       28800 + p.period_number*3300 + (b.id % 10)*300 as start_time,
+       28800 + p.period_number*3300 + (b.id % 10)*300 + 3000 as end_time
+from bell_schedule b join period p on p.schoolid = b.schoolid"""),
+    ("section_meeting", """
+select id as sectionid, cast(id % 8 as int) + 1 as period_number,
+       case id % 4 when 0 then 'B' when 1 then 'D' when 2 then 'E' else 'F' end as cycle_day_letter
+from sections"""),
+    ("schedulesections", """
+select id, case when id % 5 = 0 then null else 'S' || cast(id % 50 as string) end as room
+from sections where id % 3 = 0"""),
+    # ---- staff from supplier
+    ("users", """
+select s_suppkey+1 as dcid, case when s_suppkey % 10 = 0 then null else 'T' || cast(s_suppkey as string) end as teachernumber,
+       s_name as last_name, 'First' || cast(s_suppkey as string) as first_name,
+       case when s_suppkey % 3 = 0 then 'M' end as middle_name,
+       case when s_suppkey % 4 = 0 then null else 'staff' || cast(s_suppkey as string) || '@district.example' end as email_addr,
+       cast(make_date(1990 + cast(s_suppkey % 9 as int), 1 + cast(s_suppkey % 12 as int), 1) as timestamp) as whencreated,
+       case when s_suppkey % 7 = 0 then null else 'tl' || cast(s_suppkey as string) end as teacherloginid,
+       case when s_suppkey % 13 = 0 then 'SYSTEM' when s_suppkey % 17 = 0 then null else 'u' || cast(s_suppkey as string) end as loginid,
+       case s_suppkey % 5 when 0 then 0 when 1 then -1 when 2 then null when 3 then 36000 else 35000 end as allowloginstart,
+       case s_suppkey % 6 when 0 then 0 when 1 then -1 when 2 then null when 3 then 36500 else 40000 end as allowloginend,
+       cast(s_suppkey % 2 as int) as ptaccess
+from supplier"""),
+    ("schoolstaff", """
+select s_suppkey+1 as users_dcid, s_nationkey+1001 as schoolid,
+       case when s_suppkey % 9 = 0 then 2 when s_suppkey % 11 = 0 then null else 1 end as status,
+       case when s_suppkey % 8 = 0 then 2 else 1 end as staffstatus
+from supplier"""),
     ("s_nd_stu_x", """
 select c_custkey+100001 as studentsdcid,
        case when c_custkey % 10 = 0 then upper(c_name) end as legalfirstname,
