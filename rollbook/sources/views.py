@@ -64,7 +64,18 @@ select c_custkey+1 as id, c_custkey+100001 as dcid, c_custkey as student_number,
        cast(c_custkey % 15 - 1 as int) as sched_nextyeargrade,
        cast(c_acctbal as string) as state_studentnumber,
        case when c_custkey % 9 = 0 then null else cast(c_custkey * 7 % 1000000 as string) end as student_web_id,
-       d0 as dob
+       d0 as dob,
+       case when c_custkey % 8 = 0 and c_custkey % 16 <> 0 then 'w' || cast(c_custkey as string) end as web_id,
+       case when c_custkey % 3 = 0 then 'M' end as middle_name,
+       case c_custkey % 4 when 0 then 'H' when 1 then 'N' else null end as ethnicity,
+       case c_custkey % 3 when 0 then 'Y' when 1 then 'N' end as fedethnicity,
+       cast(c_custkey as string) || ' Main St' as street, 'City ' || cast(c_nationkey as string) as city, 'ND' as state,
+       cast(58000 + c_nationkey as string) as zip,
+       case when c_custkey % 4 = 0 then null else 'PO Box ' || cast(c_custkey as string) end as mailing_street,
+       case when c_custkey % 6 = 0 then null else 'Town ' || cast(c_nationkey as string) end as mailing_city,
+       case when c_custkey % 4 = 0 then null else 'ND' end as mailing_state,
+       case when c_custkey % 5 = 0 then null else cast(58100 + c_nationkey as string) end as mailing_zip,
+       case when c_custkey % 5 = 0 then null else '701-' || lpad(cast(c_custkey % 10000 as string),4,'0') end as home_phone
 from customer left join cust_span on o_custkey = c_custkey"""),
     ("reenrollments", """
 select o_custkey+1 as studentid, cast(o_orderdate as date) as entrydate, cast(o_orderdate as date) + 120 as exitdate,
@@ -184,6 +195,79 @@ select s_suppkey+1 as users_dcid, s_nationkey+1001 as schoolid,
        case when s_suppkey % 9 = 0 then 2 when s_suppkey % 11 = 0 then null else 1 end as status,
        case when s_suppkey % 8 = 0 then 2 else 1 end as staffstatus
 from supplier"""),
+    # ---- people: student persons, two contacts per student, codes, phones, addresses, e-mails
+    ("codeset", """
+select 11 as codesetid, 'M' as code, 'Male' as displayvalue union all
+select 12, 'F', 'Female' union all select 13, 'U', 'unknown' union all
+select 40, 'MOT', 'Mother' union all select 41, 'FAT', 'Father' union all select 42, 'GRD', 'Guardian' union all
+select 50, 'ND', 'ND' union all select 51, 'MN', 'MN'"""),
+    ("contact_base", """
+select c_custkey, c_nationkey, c_name, c_mktsegment, 1 as k from customer union all
+select c_custkey, c_nationkey, c_name, c_mktsegment, 2 as k from customer"""),
+    ("person", """
+select c_custkey+200001 as id, trim(c_mktsegment) as lastname, c_name as firstname, cast(null as string) as middlename,
+       cast(null as bigint) as suffixcodesetid, cast(null as bigint) as gendercodesetid
+from customer
+union all
+select 300000 + c_custkey*10 + k, case when c_custkey % 23 = 0 then null else ' ' || trim(c_mktsegment) || ' ' end,
+       'Parent' || cast(k as string), case when c_custkey % 3 = 0 then 'Q' end,
+       case when c_custkey % 7 = 0 then 30 + k end,
+       case when c_custkey % 11 = 0 then null when c_custkey % 10 = 0 then 13 when k = 1 then 12 else 11 end
+from contact_base"""),
+    ("studentcontactassoc", """
+select c_custkey*10 + k as studentcontactassocid, c_custkey+100001 as studentdcid, 300000 + c_custkey*10 + k as personid,
+       k as contactpriorityorder, case when c_custkey % 9 = 0 then null when k = 1 then 40 else 41 end as currreltypecodesetid
+from contact_base where c_custkey % 13 <> 0"""),
+    ("studentcontactdetail", """
+select c_custkey*10 + k as studentcontactassocid,
+       case when (c_custkey + k) % 5 = 0 then 0 else 1 end as isactive, k % 2 as isemergency, 1 as iscustodial,
+       case when c_custkey % 4 = 0 then 0 else 1 end as receivesmailflg, case when k = 1 then 1 else 0 end as liveswithflg
+from contact_base where c_custkey % 8 <> 0"""),
+    ("personphonenumberassoc", """
+select 300000 + c_custkey*10 + k as personid, 1 as phonenumberpriorityorder, 0 as ispreferred,
+       ' 701-' || lpad(cast((c_custkey*3 + k) % 10000 as string),4,'0') || ' ' as phonenumberasentered
+from contact_base where c_custkey % 6 <> 0
+union all
+select 300000 + c_custkey*10 + k, 2, case when c_custkey % 6 = 0 then 1 else 0 end,
+       '218-' || lpad(cast((c_custkey*7 + k) % 10000 as string),4,'0')
+from contact_base where c_custkey % 4 <> 0"""),
+    ("personaddressassoc", """
+select 300000 + c_custkey*10 + k as personid, (300000 + c_custkey*10 + k)*100 + 19 as personaddressid,
+       19 as addresstypecodesetid, 1 as addresspriorityorder, cast(null as date) as enddate
+from contact_base
+union all
+select 300000 + c_custkey*10 + k, (300000 + c_custkey*10 + k)*100 + 20, 20, 1, cast(null as date)
+from contact_base where c_custkey % 3 <> 0
+union all
+select 300000 + c_custkey*10 + k, (300000 + c_custkey*10 + k)*100 + 18, 19, 1, make_date(1996, 1, 1)
+from contact_base where c_custkey % 5 = 0"""),
+    ("personaddress", """
+select (300000 + c_custkey*10 + k)*100 + t as personaddressid,
+       case t when 18 then 'Old Rd' else cast(c_custkey as string) || case t when 19 then ' Elm St' else ' PO' end end as street,
+       case when t = 20 and c_custkey % 7 = 0 then null else 'City ' || cast(c_nationkey as string) end as city,
+       cast(58000 + c_nationkey + t as string) as postalcode, case when c_custkey % 2 = 0 then 50 else 51 end as statescodesetid
+from contact_base cross join (select 18 as t union all select 19 union all select 20) ts"""),
+    ("emailaddress", """
+select (c_custkey+200001)*10 + e as emailaddressid, lower(replace(c_name, '#', '')) || '.' || cast(e as string) || '@mail.example' as emailaddress
+from customer cross join (select 1 as e union all select 2 union all select 3) es where c_custkey % 5 <> 0"""),
+    ("personemailaddressassoc", """
+select c_custkey+200001 as personid, (c_custkey+200001)*10 + e as emailaddressid,
+       case e when 1 then 2 when 2 then 1 else null end as emailaddresspriorityorder
+from customer cross join (select 1 as e union all select 2 union all select 3) es
+where c_custkey % 5 <> 0 and (e < 3 or c_custkey % 2 = 0)"""),
+    ("studentcorefields", """
+select c_custkey+100001 as studentsdcid,
+       case when c_custkey % 8 = 0 then 'CoreLast' || cast(c_custkey as string) end as pscore_legal_last_name,
+       case when c_custkey % 12 = 0 then 'CoreFirst' end as pscore_legal_first_name,
+       cast(null as string) as pscore_legal_middle_name,
+       case when c_custkey % 16 = 0 then 'Jr' end as pscore_legal_suffix,
+       case when c_custkey % 8 = 0 then 'F' end as pscore_legal_gender
+from customer where c_custkey % 4 = 0"""),
+    ("studentrace", """
+select c_custkey+1 as studentid, case c_custkey % 5 when 0 then 'B' when 1 then 'W' when 2 then 'A' when 3 then 'I' else 'X' end as racecd
+from customer
+union all
+select c_custkey+1, 'P' from customer where c_custkey % 3 = 0"""),
     ("s_nd_stu_x", """
 select c_custkey+100001 as studentsdcid,
        case when c_custkey % 10 = 0 then upper(c_name) end as legalfirstname,
