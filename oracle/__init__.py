@@ -17,5 +17,5 @@ def register(name: str, sql: str) -> None:
 
 
 def all_sql() -> dict[str, str]:
-    from oracle import extracts_a, extracts_b, operators  # noqa: F401
+    from oracle import extracts_a, extracts_b, extracts_c, operators  # noqa: F401
     return {k: with_views(v) for k, v in SQL.items()}

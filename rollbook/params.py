@@ -26,8 +26,8 @@ class ExtractParams:
     behavior_end: _dt.date = _dt.date(2024, 1, 31)
     # special-education: number of end-years to include
     years_of_data: int = 3
-    # transcript: first school-year end kept
-    transcript_first_end_year: int = 1997
+    # transcript: the school-year end written on every transcript row
+    transcript_end_year: int = 1999
     extra: dict = field(default_factory=dict)
 
     @property

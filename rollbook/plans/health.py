@@ -110,3 +110,29 @@ def concussion(t: Tables, p: ExtractParams) -> DataFrame:
         F.when(col("date").isNull(), F.lit("ERR_REQUIRED_date;")).alias("validation_errors"))
     return empty_fallback(out, {"recordType": "ERROR",
                                 "validation_errors": "ERR_NO_SOURCE_ROWS_FOR_CONCUSSIONSCREENING;"})
+
+
+# ---- E33 healthCondition --------------------------------------------------------------
+
+@extract("healthCondition", batch=2, order=("studentNum", "code", "startDate"), date_format=US_DATE)
+def health_condition(t: Tables, p: ExtractParams) -> DataFrame:
+    hc = t.healthconcerns
+    s = t.students.select(col("dcid").alias("_sdcid"), "student_number")
+    j = hc.join(s, col("studentsdcid") == col("_sdcid"))
+    x = j.select(
+        clip(F.substring(col("student_number").cast("string"), 1, 15), 15).alias("studentNum"),
+        clip(F.substring("healthconcern", 1, 10), 10).alias("code"),
+        clip(F.substring("narrative", 1, 60), 60).alias("description"),
+        col("startdate").alias("startDate"), col("stopdate").alias("endDate"),
+        F.lit("Active").alias("status"),
+        clip(F.substring(F.trim(F.coalesce(col("whocreated"), F.lit("SYS"))), 1, 10), 10).alias("initials"),
+        F.lit(None).cast("string").alias("doctorName"), F.lit(None).cast("string").alias("doctorPhone"),
+        F.lit(None).cast("string").alias("userWarning"), F.lit(None).cast("string").alias("instructions"))
+    d = dedup_first(x, ["studentNum", "code", "startDate"],
+                    [col("endDate").asc_nulls_last(), col("description").asc_nulls_last(),
+                     col("initials").asc_nulls_last()])
+    rules = [required("studentNum", blank=True), required("code", blank=True), required("description", blank=True),
+             required("startDate"), required("status", blank=True), required("initials", blank=True)]
+    out = finalize(d, ["studentNum", "code", "description", "startDate", "endDate", "status", "initials",
+                       "doctorName", "doctorPhone", "userWarning", "instructions"], rules)
+    return empty_fallback(out, {"row_type": "ERROR", "validation_errors": "WARN_NO_ROWS_RETURNED"})

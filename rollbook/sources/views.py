@@ -105,7 +105,12 @@ select user_id+1 as studentid, cast(ts as date) as att_date, event_type as att_c
     ("log", """
 select event_id as id, user_id % 25 + 1001 as schoolid, cast(ts as date) as entry_date,
        case when event_type='view' then '  ' else event_type end as subject,
-       cast(floor(value) as int) % 5 as logtypeid, props as entry
+       cast(floor(value) as int) % 5 as logtypeid, props as entry,
+       case when event_id % 4 = 0 then 'custom ' || cast(event_id as string) end as custom,
+       case when event_id % 6 = 0 then null else lpad(cast(extract(hour from ts) as string),2,'0') || ':00' end as entry_time,
+       case when event_type = 'error' then cast(ts as date) end as discipline_incidentdate,
+       case when event_id % 3 = 0 then 'Room ' || cast(event_id % 9 as string) end as discipline_incidentlocation,
+       case when event_id % 5 = 0 then 'Hall' end as discipline_incidentlocdetail
 from events"""),
     ("psm_studentalert", """
 select o_custkey+1 as studentid,
@@ -125,7 +130,17 @@ from lineitem join orders on o_orderkey=l_orderkey"""),
 select o_custkey+1 as studentid, 'C' || cast(l_partkey as string) as course_number,
        case l_linenumber when 1 then 'Q1' when 2 then 'q2' when 3 then 'S1' when 4 then 'Y1' when 5 then 'FE' when 6 then ' P ' else 'X9' end as storecode,
        cast(round(l_quantity) as int) as percent, l_orderkey*10+l_linenumber as dcid, cast(l_shipdate as date) as datestored,
-       cast(round(l_tax*100) as int) % 2 as excludefromgpa, cast(l_discount*10 as decimal(6,2)) as potentialcrhrs
+       cast(round(l_tax*100) as int) % 2 as excludefromgpa, cast(l_discount*10 as decimal(6,2)) as potentialcrhrs,
+       (cast(extract(year from l_shipdate) as int)+1-1990)*100 + l_linenumber % 3 as termid,
+       cast(l_orderkey % 25 as int) + 1001 as schoolid,
+       case when l_orderkey % 17 = 0 then 'Course "' || cast(l_partkey as string) || '"' || chr(10) || 'part two'
+            else 'Course ' || cast(l_partkey as string) end as course_name,
+       case when l_linenumber = 7 then null else cast(l_linenumber + 5 as string) end as grade_level,
+       case when l_returnflag = 'R' then null when l_quantity > 25 then 'A' else 'B' end as grade,
+       case when l_linestatus = 'O' then null else cast(l_quantity / 10 as decimal(6,2)) end as earnedcrhrs,
+       case when l_discount > 0.05 then cast(0.5 as decimal(4,2)) end as gpa_addedvalue,
+       case when l_orderkey % 10 = 0 then 'Good "work"' || chr(13) || chr(10) || 'keep going'
+            when l_orderkey % 10 = 1 then '   ' when l_orderkey % 10 = 2 then 'See  note ' || cast(l_orderkey % 7 as string) end as comment_value
 from lineitem join orders on o_orderkey=l_orderkey"""),
 ]
 
@@ -268,6 +283,82 @@ select c_custkey+1 as studentid, case c_custkey % 5 when 0 then 'B' when 1 then
 from customer
 union all
 select c_custkey+1, 'P' from customer where c_custkey % 3 = 0"""),
+    # ---- behaviour: log types, incidents from error events, their actions and roles
+    ("gen", """
+select 900 + n as id, case when n % 4 = 0 then 'other' else 'logtype' end as cat,
+       case when n % 3 = 0 then null else 'Type' || cast(n as string) end as name,
+       case when n % 2 = 0 then null when n = 1 then '  ' else 'Log ' || cast(n as string) end as value
+from (select distinct logtypeid as n from log) x"""),
+    ("incident", """
+select event_id as incident_id, user_id % 25 + 1001 as school_number, ts as incident_ts,
+       case when event_id % 4 = 0 then null else 'Gym ' || cast(event_id % 5 as string) end as location_details,
+       case when event_id % 3 = 0 then '   ' else props || chr(10) || 'detail' end as incident_detail_desc,
+       ts as created_ts, case when event_id % 2 = 0 then ts end as last_modified_ts
+from events where event_type = 'error'"""),
+    ("incident_action", """
+select event_id as incident_id, event_id*10 + 1 as incident_action_id,
+       case when event_id % 5 = 0 then null when event_id % 5 = 1 then '  ' else 'Action ' || cast(event_id % 4 as string) end as action_resolved_desc,
+       case when event_id % 7 = 0 then null else cast(ts as date) end as action_plan_begin_dt,
+       cast(ts as date) + 5 as action_plan_end_dt,
+       case when event_id % 9 = 0 then make_date(2030, 1, 1) when event_id % 2 = 0 then cast(ts as date) + 3 end as action_actual_resolved_dt
+from events where event_type = 'error'"""),
+    ("incident_person_role", """
+select case when event_id % 6 = 0 then null when event_id % 6 = 1 then ' ' else 'Role ' || cast(event_id % 5 as string) end as person_desc
+from events where event_type in ('error', 'signup')"""),
+    # ---- health concerns and special education
+    ("healthconcerns", """
+select o_custkey+100001 as studentsdcid,
+       case o_orderkey % 5 when 0 then 'ASTH' when 1 then 'ALRG' when 2 then 'DIAB' when 3 then null else ' ' end as healthconcern,
+       case when o_orderkey % 11 = 0 then null else o_orderpriority || ' concern' end as narrative,
+       case when o_orderkey % 13 = 0 then null else cast(o_orderdate as date) end as startdate,
+       case when o_orderkey % 3 = 0 then cast(o_orderdate as date) + 200 end as stopdate,
+       case when o_orderkey % 4 = 0 then null else 'RN' || cast(o_orderkey % 7 as string) end as whocreated
+from orders where o_orderkey % 8 < 3"""),
+    ("cst_pubstuspeddata", """
+select cast(c_acctbal as string) as state_studentnumber, cast(o_orderdate as date) as begindate,
+       case when o_orderstatus = 'F' then cast(o_orderdate as date) + 300 end as enddate,
+       case when o_orderkey % 4 = 0 then null else 'EX' || cast(o_orderkey % 6 as string) end as exceptionalityprimary,
+       case when o_orderkey % 8 = 0 then null else 'ORD' end as primaryorderofdisability,
+       case when o_orderkey % 16 = 0 then ' ' else 'ELIG' end as studenteligibility,
+       case when o_orderkey % 3 = 0 then cast(o_orderdate as date) + 10 end as iepbegindate,
+       cast(o_orderdate as date) + 30 as iepreviewdate,
+       case when o_orderstatus = 'F' then 'Moved' end as reasonfortermination,
+       cast(extract(year from o_orderdate) as int) + 1 as schoolyear
+from orders join customer on c_custkey = o_custkey where o_orderkey % 9 = 0"""),
+    # ---- standards and scores from parts and line items; comments from documents
+    ("standard", """
+select p_partkey+1 as standardid, case when p_partkey % 10 = 0 then null else p_partkey - p_partkey % 10 + 1 end as parentstandardid,
+       p_partkey + 50000 as longitudinalid, cast(p_partkey % 7 as int) + 6 as yearid, p_name as name,
+       p_type || ' "' || p_brand || '"' as description, 'STD.' || cast(p_partkey as string) as identifier,
+       case when p_partkey % 3 = 0 then null else p_brand end as subjectarea, cast(p_size as int) as conversionscale,
+       p_partkey + 7000 as gradescaleitemdcid, cast(p_partkey % 2 as int) as isassignmentallowed,
+       case when p_partkey % 9 = 0 then 0 else 1 end as isactive,
+       case when p_partkey % 9 = 0 then cast(make_date(1999, 6, 30) as timestamp) end as deactivatedate,
+       cast(p_partkey % 100 as int) as displayposition, cast(p_partkey % 2 as int) as iscommentincluded,
+       case when p_partkey % 2 = 0 then 200 end as maxcommentlength, 0 as isexcludedfromreports,
+       case when p_partkey % 5 = 0 then 'batch-' || cast(p_partkey % 4 as string) end as importbatchtracking,
+       'guid-' || cast(p_partkey as string) as psguid, 'admin' as whocreated,
+       cast(make_date(1995, 1 + cast(p_partkey % 12 as int), 1) as timestamp) as whencreated,
+       case when p_partkey % 4 = 0 then null else 'editor' end as whomodified,
+       case when p_partkey % 4 = 0 then null else cast(make_date(1997, 1 + cast(p_partkey % 12 as int), 15) as timestamp) end as whenmodified,
+       case when p_partkey % 6 = 0 then 'C' || cast(p_partkey as string) end as transientcourselist,
+       case when p_partkey % 8 = 0 then null else 'EXT' || cast(p_partkey as string) end as externalid,
+       coalesce(case when p_partkey % 10 = 0 then null else p_partkey - p_partkey % 10 + 1 end, 0) as parentstandardid_nvl
+from part"""),
+    ("assignmentstandardassoc", """
+select p_partkey + 1 as assignmentstandardassocid, case when p_partkey % 50 = 0 then null else p_partkey + 1 end as standardid
+from part"""),
+    ("standardscore", """
+select l_partkey + 1 as assignmentstandardassocid, o_custkey + 100001 as studentsdcid,
+       cast(extract(year from l_shipdate) as int) + 1 - 1990 as yearid,
+       case when l_linenumber = 1 then 'P' end as actualscoreentered,
+       case when l_linenumber <= 2 then 'B' end as scorelettergrade,
+       case when l_linenumber <= 4 then cast(l_quantity as decimal(6,2)) end as scorenumericgrade,
+       case when l_linenumber <= 5 then cast(l_discount * 100 as decimal(6,2)) end as scorepercent,
+       cast(l_linenumber % 2 as int) as isexempt, 0 as ismissing, 0 as islate
+from lineitem join orders on o_orderkey = l_orderkey"""),
+    ("standardgradesectioncomment", "select text as commentvalue from documents where doc_id % 3 = 0"),
+    ("standardgraderollupcomment", "select text as commentvalue from documents where doc_id % 3 = 1"),
     ("s_nd_stu_x", """
 select c_custkey+100001 as studentsdcid,
        case when c_custkey % 10 = 0 then upper(c_name) end as legalfirstname,
