@@ -152,7 +152,9 @@ def listagg_ordered(df: DataFrame, keys: Sequence[str], value: Column, order: Se
     may differ from the value and NULL values are skipped like LISTAGG."""
     fields = [o.alias(f"_o{i}") for i, o in enumerate(order)] + [value.alias("_v")]
     agg = F.array_sort(F.collect_list(F.when(value.isNotNull(), F.struct(*fields))))
-    return df.groupBy(*keys).agg(F.array_join(F.transform(agg, lambda s: s["_v"]), sep).alias(alias))
+    joined = F.array_join(F.transform(agg, lambda s: s["_v"]), sep)
+    # like LISTAGG, a group without any value gives NULL
+    return df.groupBy(*keys).agg(F.when(F.size(agg) > 0, joined).alias(alias))
 
 
 # ---- C24 / C25 / A05 / A07 / P19 ----------------------------------------------------
