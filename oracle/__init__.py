@@ -18,4 +18,6 @@ def register(name: str, sql: str) -> None:
 
 def all_sql() -> dict[str, str]:
     from oracle import extracts_a, extracts_b, extracts_c, operators  # noqa: F401
+    if "quality_summary_enrollment" not in SQL:
+        operators._later()
     return {k: with_views(v) for k, v in SQL.items()}
