@@ -112,7 +112,6 @@ def fallback_when(df: DataFrame, values: dict, source: DataFrame) -> DataFrame:
 def per_key_fallback(keys: DataFrame, data: DataFrame, on: Sequence[str], values: dict) -> DataFrame:
     """U04 default dimension rows: one default row for each key with no data row
     (e.g. ``General`` department per school).  ``keys`` holds the key columns."""
-    spark = data.sparkSession  # noqa: F841  (kept for symmetry)
     missing = keys.join(data.select(*on).distinct(), on=list(on), how="left_anti")
     cols = []
     for f in data.schema.fields:
@@ -138,8 +137,14 @@ def check_reference(child: DataFrame, parent: DataFrame, keys: Sequence[str] | d
         ck, pk = list(keys), list(keys.values())
     else:
         ck = pk = list(keys)
-    p = parent.select(*[col(a).alias(b) for a, b in zip(pk, ck)]).distinct()
-    return child.select(*ck).distinct().join(p, on=ck, how="left_anti")
+    p = parent.select(*[col(a).alias(f"_p_{b}") for a, b in zip(pk, ck)]).distinct()
+    c = child.select(*ck).distinct()
+    # NULL keys compare equal (a NULL school in both files is a match, not a gap)
+    cond = [c[k].eqNullSafe(p[f"_p_{k}"]) for k in ck]
+    on = cond[0]
+    for x in cond[1:]:
+        on = on & x
+    return c.join(p, on=on, how="left_anti")
 
 
 def quality_summary(df: DataFrame, extract: str, type_col: str = "row_type",

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from rollbook.functions.text import clip, col, contains_any, lunch_status_code, termid_in_years
 from rollbook.operators.quality import empty_fallback, fallback_when, finalize, marker_row, required
-from rollbook.operators.relational import any_flag, net_balance
+from rollbook.operators.relational import any_flag, dimension, net_balance
 from rollbook.operators.years import active_year_from_sections, requested_or_latest_year
 from rollbook.params import YEARID_BASE, ExtractParams
 from rollbook.plans.registry import extract
@@ -73,7 +73,7 @@ def students_in_section_year(t: Tables, extra: Sequence[str] = ()) -> DataFrame:
     y = section_year(t)
     ty = term_years(t).where(col("_tyear") == y)
     secs = t.sections.select(col("id").alias("_secid"), col("termid").alias("_sterm"))
-    secs = secs.join(ty, secs["_sterm"] == ty["_tid"], "left_semi")
+    secs = secs.join(dimension(ty), secs["_sterm"] == ty["_tid"], "left_semi")
     c = t.cc.select(col("studentid"), col("sectionid")).join(
         secs, col("sectionid") == col("_secid"), "left_semi").select("studentid").distinct()
     s = t.students.where(col("student_number").isNotNull()).select(

@@ -114,13 +114,13 @@ def run_batches(spark: SparkSession, tables: Tables, out_dir: str, params: Extra
     return log_df
 
 
-def persist_tables(spark: SparkSession, tables: Tables) -> Tables:
-    """Write the frames of ``tables`` once as parquet under the cluster's
-    checkpoint folder and read them back: later extracts start from these
-    files (no repeated derivation, lineage cut, executor loss safe)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/rollbook-tables-{int(time.time())}"
-    frames = {}
-    for name in tables.names():
+def persist_tables(spark: SparkSession, tables: Tables, names=None) -> Tables:
+    """Write frames of ``tables`` (all, or ``names``) once as parquet under the
+    cluster's checkpoint folder and read them back: later extracts start from
+    these files (no repeated derivation, lineage cut, executor loss safe)."""
+    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/rollbook-tables-{time.time_ns()}"
+    frames = {n: tables[n] for n in tables.names()}
+    for name in (names or tables.names()):
         path = f"{base}/{name}"
         tables[name].write.mode("overwrite").parquet(path)
         frames[name] = spark.read.parquet(path)

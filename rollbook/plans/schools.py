@@ -12,8 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.functions.text import clip, col, default_phone, first_nonblank, hhmm
-from rollbook.operators.quality import (
-    fallback_when, finalize, marker_row, required, rule)
+from rollbook.operators.quality import finalize, required, rule
 from rollbook.operators.relational import (
     count_in_group, dedup_first, dimension, drop_sentinels, half_open, school_key_map, sequence_in_group)
 from rollbook.operators.years import (

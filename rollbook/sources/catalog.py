@@ -55,6 +55,13 @@ class Tables:
     def from_paths(cls, spark: SparkSession, paths: dict[str, str]) -> "Tables":
         return cls({n: spark.read.parquet(p) for n, p in paths.items()}, spark)
 
+    @classmethod
+    def install(cls, spark: SparkSession, sf_dir: str, tables: "Tables") -> None:
+        """Make ``from_driver(spark, sf_dir)`` return ``tables`` (e.g. after the
+        derived views were materialised once)."""
+        with _LOCK:
+            _CACHE[(id(spark), sf_dir)] = tables
+
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str) -> "Tables":
         """Driver tables + derived SIS views.  Views are analysed once here; the
