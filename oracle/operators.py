@@ -59,7 +59,7 @@ JOIN yr ON yr.schoolid = cd.schoolid AND cd.date_value BETWEEN yr.firstday AND y
 WHERE cd.insession = 1 AND cd.cycle_day_id IS NOT NULL AND cd.bell_schedule_id IS NOT NULL""")
 
 register("listagg_parts_by_order", """
-SELECT l_orderkey, string_agg('P' || CAST(l_partkey AS VARCHAR), '; ' ORDER BY l_linenumber, l_partkey, l_suppkey) AS parts
+SELECT l_orderkey, nullif(substr(trim(string_agg('P' || CAST(l_partkey AS VARCHAR), '; ' ORDER BY l_linenumber, l_partkey, l_suppkey)),1,4000),'') AS parts
 FROM lineitem GROUP BY l_orderkey""")
 
 register("pivot_by_priority", """

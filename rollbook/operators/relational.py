@@ -145,16 +145,31 @@ def pivot_conditional_max(df: DataFrame, keys: Sequence[str], outputs: dict[str,
 
 
 def listagg_ordered(df: DataFrame, keys: Sequence[str], value: Column, order: Sequence[Column],
-                    sep: str = "; ", alias: str = "agg") -> DataFrame:
+                    sep: str = "; ", alias: str = "agg", max_chars: int | None = None) -> DataFrame:
     """``LISTAGG(value, sep) WITHIN GROUP (ORDER BY order)``.
 
     Built as ``array_sort`` of (order..., value) structs, so the ordering key
-    may differ from the value and NULL values are skipped like LISTAGG."""
+    may differ from the value and NULL values are skipped like LISTAGG.
+
+    ``max_chars``: the caller keeps only the first ``max_chars`` characters of
+    the trimmed list.  Every value after the first adds at least the separator's
+    non-blank ';', so the first ``max_chars + 2`` values already fill that
+    prefix exactly; the rest cannot change the output.  They are dropped with a
+    per-key top-k (``WindowGroupLimit``: partial top-k before the shuffle), so
+    no group ever collects more than ``max_chars + 2`` values into one task.
+    """
     fields = [o.alias(f"_o{i}") for i, o in enumerate(order)] + [value.alias("_v")]
+    src = df
+    if max_chars is not None:
+        if not sep.strip():
+            raise ValueError("max_chars needs a separator with a non-blank character")
+        # NULL values rank last, so a group of only NULLs keeps one row (and yields NULL)
+        w = Window.partitionBy(*keys).orderBy(value.isNull(), *order, value)
+        src = src.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= max_chars + 2)
     agg = F.array_sort(F.collect_list(F.when(value.isNotNull(), F.struct(*fields))))
     joined = F.array_join(F.transform(agg, lambda s: s["_v"]), sep)
     # like LISTAGG, a group without any value gives NULL
-    return df.groupBy(*keys).agg(F.when(F.size(agg) > 0, joined).alias(alias))
+    return src.groupBy(*keys).agg(F.when(F.size(agg) > 0, joined).alias(alias))
 
 
 # ---- C24 / C25 / A05 / A07 / P19 ----------------------------------------------------

@@ -34,6 +34,8 @@ RACE_LABELS = {
 SYSTEM_LAST_NAMES = ("POWERSCHOOL", "SYSTEM")
 # address kinds in the code table (fixed values)
 PHYSICAL, MAILING = 19, 20
+# widths of the folded list columns in the student file
+EMAIL_WIDTH, RACE_WIDTH = 255, 200
 
 
 def active_students(t: Tables, p: ExtractParams) -> DataFrame:
@@ -51,7 +53,8 @@ def _nz(c):
 def race_lists(t: Tables) -> DataFrame:
     """A10: decoded race labels joined by '; ', ordered by the raw code."""
     label = F.coalesce(*[F.when(col("racecd") == k, F.lit(v)) for k, v in RACE_LABELS.items()], col("racecd"))
-    return listagg_ordered(t.studentrace, ["studentid"], label, [col("racecd")], alias="race_list")
+    return listagg_ordered(t.studentrace, ["studentid"], label, [col("racecd")], alias="race_list",
+                           max_chars=RACE_WIDTH)
 
 
 def email_lists(t: Tables) -> DataFrame:
@@ -61,7 +64,8 @@ def email_lists(t: Tables) -> DataFrame:
     j = pea.join(e, pea["emailaddressid"] == e["_eid"])
     pr = col("emailaddresspriorityorder")
     return listagg_ordered(j, ["personid"], col("emailaddress"),
-                           [pr.isNull().cast("int"), pr, col("emailaddress")], alias="email_list")
+                           [pr.isNull().cast("int"), pr, col("emailaddress")], alias="email_list",
+                           max_chars=EMAIL_WIDTH)
 
 
 @extract("student", batch=2, order=("studentNum",), date_format=US_DATE)
@@ -80,7 +84,7 @@ def student(t: Tables, p: ExtractParams) -> DataFrame:
          .join(mail, b["person_id"] == mail["personid"], "left"))
     x = j.select(
         clip(col("student_number").cast("string"), 20).alias("studentNum"),
-        clip("email_list", 255).alias("emailAddress"),
+        clip("email_list", EMAIL_WIDTH).alias("emailAddress"),
         clip(household_key(F.trim("mailing_street"), F.trim("mailing_city"), F.trim("mailing_zip")), 200)
         .alias("householdKey"),
         clip("street", 100).alias("physicalAddress"),
@@ -103,7 +107,7 @@ def student(t: Tables, p: ExtractParams) -> DataFrame:
         .alias("legalGender"),
         col("dob").alias("birthDate"),
         clip(F.substring(F.trim("gender"), 1, 1), 1).alias("gender"),
-        clip("race_list", 200).alias("raceCD"),
+        clip("race_list", RACE_WIDTH).alias("raceCD"),
         clip("home_phone", 30).alias("homePhone"),
     )
     rules = [("ERR_REQUIRED_studentNumber", x["studentNum"].isNull()), required("lastName", blank=True),

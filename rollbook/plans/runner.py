@@ -74,34 +74,47 @@ def write_extract(df: DataFrame, spec: Extract, path: str, type_col: str | None
     return {k: (int(v) if v is not None else 0) for k, v in obs.get.items()}
 
 
+def run_one(spark: SparkSession, spec: Extract, tables: Tables, params: ExtractParams, out_dir: str,
+            quality: bool) -> tuple[dict, DataFrame | None]:
+    start = dt.datetime.now(dt.timezone.utc)
+    t0 = time.time()
+    rec = {"extract": spec.name, "batch": spec.batch, "start": start.isoformat(timespec="milliseconds")}
+    summary = None
+    spark.sparkContext.setJobDescription(f"extract {spec.name}")
+    try:
+        df = spec(tables, params)
+        rec.update(write_extract(df, spec, f"{out_dir}/batch{spec.batch}/{spec.name}"))
+        rec["status"] = "OK"
+        if quality:
+            summary = quality_summary(df, spec.name, type_col=next(
+                c for c in ("row_type", "record_status", "recordType") if c in df.columns))
+    except Exception as e:  # noqa: BLE001 — continue with the next extract, as the source runner does
+        rec["status"] = "FAILED"
+        rec["message"] = "".join(traceback.format_exception_only(type(e), e)).strip()[:2000]
+    rec["seconds"] = round(time.time() - t0, 3)
+    rec["end"] = dt.datetime.now(dt.timezone.utc).isoformat(timespec="milliseconds")
+    return rec, summary
+
+
 def run_batches(spark: SparkSession, tables: Tables, out_dir: str, params: ExtractParams | None = None,
                 batches=(1, 2, 3, 4), names=None, quality: bool = False,
-                persist_shared: bool = False) -> DataFrame:
+                persist_shared: bool = False, parallelism: int = 1) -> DataFrame:
+    """Write the selected extracts.  ``parallelism`` > 1 submits several
+    extracts at once from driver threads: Spark runs their jobs concurrently,
+    so many small extracts keep a large cluster busy instead of queueing."""
     params = params or ExtractParams()
     if persist_shared:
         tables = persist_tables(spark, tables)
-    specs = sorted(all_extracts().values(), key=lambda s: (s.batch, s.name))
-    log = []
-    summaries = []
-    for spec in specs:
-        if spec.batch not in batches or (names and spec.name not in names):
-            continue
-        start = dt.datetime.now(dt.timezone.utc)
-        t0 = time.time()
-        rec = {"extract": spec.name, "batch": spec.batch, "start": start.isoformat(timespec="milliseconds")}
-        try:
-            df = spec(tables, params)
-            rec.update(write_extract(df, spec, f"{out_dir}/batch{spec.batch}/{spec.name}"))
-            rec["status"] = "OK"
-            if quality:
-                summaries.append(quality_summary(df, spec.name, type_col=next(
-                    c for c in ("row_type", "record_status", "recordType") if c in df.columns)))
-        except Exception as e:  # noqa: BLE001 — continue with the next extract, as the source runner does
-            rec["status"] = "FAILED"
-            rec["message"] = "".join(traceback.format_exception_only(type(e), e)).strip()[:2000]
-        rec["seconds"] = round(time.time() - t0, 3)
-        rec["end"] = dt.datetime.now(dt.timezone.utc).isoformat(timespec="milliseconds")
-        log.append(rec)
+    specs = [s for s in sorted(all_extracts().values(), key=lambda s: (s.batch, s.name))
+             if s.batch in batches and (not names or s.name in names)]
+    if parallelism > 1:
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            results = list(pool.map(lambda s: run_one(spark, s, tables, params, out_dir, quality), specs))
+    else:
+        results = [run_one(spark, s, tables, params, out_dir, quality) for s in specs]
+    log = [r for r, _ in results]
+    summaries = [q for _, q in results if q is not None]
     schema = ("extract string, batch int, start string, end string, seconds double, status string, rows long, "
               "clean_rows long, error_rows long, info_rows long, message string")
     fields = [f.split()[0] for f in schema.split(", ")]

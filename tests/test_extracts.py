@@ -92,7 +92,8 @@ def test_render_quotes_and_flattens(spark):
 def test_runner_writes_header_first_and_logs(spark, tables):
     from rollbook.plans.runner import run_batches
     out = tempfile.mkdtemp(prefix="rollbook-run-")
-    log = run_batches(spark, tables, out, names={"school", "fee", "locker", "gradingTask"}, quality=True)
+    log = run_batches(spark, tables, out, names={"school", "fee", "locker", "gradingTask"}, quality=True,
+                      parallelism=2)
     recs = {r.extract: r for r in log.collect()}
     assert set(recs) == {"school", "fee", "locker", "gradingTask"}
     assert all(r.status == "OK" for r in recs.values())

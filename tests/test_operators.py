@@ -100,3 +100,15 @@ def test_quality_summary(spark):
     got = {(r.kind, r.item): r.n for r in Q.quality_summary(df, "x").collect()}
     assert got == {("row_type", "ERROR"): 2, ("row_type", "CLEAN"): 1, ("error_code", "ERR_A"): 2,
                    ("error_code", "ERR_B"): 1}
+
+
+def test_listagg_bounded_prefix_is_exact(spark):
+    """A person with very many values: the bounded fold gives the same clipped text."""
+    from rollbook.functions.text import clip
+    rows = [(1, f"v{i:04d}", i % 7) for i in range(3000)] + [(2, "  ", 1), (2, "x", 2)]
+    df = spark.createDataFrame(rows, "p int, v string, o int")
+    order = [F.col("o"), F.col("v")]
+    full = R.listagg_ordered(df, ["p"], F.col("v"), order, alias="l").select("p", clip("l", 40).alias("c"))
+    capped = R.listagg_ordered(df, ["p"], F.col("v"), order, alias="l", max_chars=40) \
+        .select("p", clip("l", 40).alias("c"))
+    assert sorted(map(tuple, full.collect())) == sorted(map(tuple, capped.collect()))
