@@ -43,11 +43,14 @@ def ordered_lines(df: DataFrame, spec: Extract, type_col: str | None = None) ->
     order_cols = list(spec.order) or list(df.columns)
     keys, key_cols, head_cols = [], [], []
     for i, c in enumerate(order_cols):
+        desc = c.startswith("-")
         name = c.lstrip("-")
         k = f"_k{i}"
-        key_cols.append(F.col(f"`{name}`").alias(k))
-        head_cols.append(F.lit(None).cast(df.schema[name].dataType).alias(k))
-        keys.append(F.col(k).desc_nulls_first() if c.startswith("-") else F.col(k).asc_nulls_last())
+        # "expr:<sql>" orders by an expression over the extract's columns
+        e = F.expr(name[5:]) if name.startswith("expr:") else F.col(f"`{name}`")
+        key_cols.append(e.alias(k))
+        head_cols.append(F.lit(None).cast(df.select(e).schema[0].dataType).alias(k))
+        keys.append(F.col(k).desc_nulls_first() if desc else F.col(k).asc_nulls_last())
     t = F.col(f"`{type_col}`") if type_col else F.lit(None).cast("string")
     body = df.select(line_expr(df, spec).alias("line"), *key_cols, F.lit(1).alias("_s"), t.alias("_t"))
     head = spark.range(1).select(F.lit(header_line(df.columns, spec.quote)).alias("line"), *head_cols,

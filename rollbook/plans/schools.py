@@ -33,7 +33,9 @@ def number_map(t: Tables) -> DataFrame:
 
 # ---- E01 school -------------------------------------------------------------------
 
-@extract("school", batch=1, order=("row_type", "schoolNum"))
+# By row type, then by the number inside the school number text
+@extract("school", batch=1, order=("row_type", r"expr:try_cast(regexp_extract(schoolNum, '\\d+', 0) as bigint)",
+                                   "schoolNum"))
 def school(t: Tables, p: ExtractParams) -> DataFrame:
     s = drop_sentinels(t.schools, "school_number", bad=(SENTINEL,))
     s = s.select(
