@@ -150,9 +150,14 @@ STANDARD_COLUMNS = ["standardid", "parentstandardid", "longitudinalid", "yearid"
 
 @extract("standards", batch=2)
 def standards(t: Tables, p: ExtractParams) -> DataFrame:
-    """Pass-through: every standard exactly as stored (no cut, no de-dup)."""
-    return t.standard.select(F.lit("CLEAN").alias("recordType"),
-                             *[col(c).alias(c.upper()) for c in STANDARD_COLUMNS])
+    """Pass-through: every standard exactly as stored (no cut, no de-dup).
+    Timestamps are carried as wall-clock values (timestamp_ntz)."""
+    std = t.standard
+
+    def as_stored(c):
+        ty = std.schema[c].dataType.simpleString()
+        return col(c).cast("timestamp_ntz") if ty == "timestamp" else col(c)
+    return std.select(F.lit("CLEAN").alias("recordType"), *[as_stored(c).alias(c.upper()) for c in STANDARD_COLUMNS])
 
 
 # ---- E25 studentStandardScore ------------------------------------------------------------
