@@ -55,6 +55,19 @@ class Tables:
     def from_paths(cls, spark: SparkSession, paths: dict[str, str]) -> "Tables":
         return cls({n: spark.read.parquet(p) for n, p in paths.items()}, spark)
 
+    @classmethod
+    def from_catalog(cls, spark: SparkSession, database: str, names=None) -> "Tables":
+        """Tables registered in the session catalog (e.g. a metastore database
+        holding the SIS export).  ``names`` defaults to every table there."""
+        if names is None:
+            names = [t.name for t in spark.catalog.listTables(database)]
+        return cls({n: spark.table(f"{database}.{n}") for n in names}, spark)
+
+    @classmethod
+    def from_dir(cls, spark: SparkSession, root: str, names) -> "Tables":
+        """One parquet dataset per table under ``root`` (``root/<name>``)."""
+        return cls({n: spark.read.parquet(f"{root.rstrip('/')}/{n}") for n in names}, spark)
+
     @classmethod
     def install(cls, spark: SparkSession, sf_dir: str, tables: "Tables") -> None:
         """Make ``from_driver(spark, sf_dir)`` return ``tables`` (e.g. after the
