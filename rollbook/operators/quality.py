@@ -90,23 +90,27 @@ def marker_row(df: DataFrame, values: dict) -> DataFrame:
     return spark.range(1).select(*cols)
 
 
+def when_absent(marker: DataFrame, probe_source: DataFrame) -> DataFrame:
+    """``marker`` when ``probe_source`` has no row, else nothing.  The test is an
+    uncorrelated scalar subquery over ``probe_source.limit(1)`` (0 or 1): Spark
+    evaluates it once inside the same query and filters the marker with the
+    value — no join, no driver-side logic."""
+    present = probe_source.limit(1).agg(F.count(F.lit(1)).alias("n")).scalar()
+    return marker.where(present == 0)
+
+
 def empty_fallback(df: DataFrame, values: dict) -> DataFrame:
     """C17: ``df`` plus one marker row when ``df`` is empty.
 
-    Planned as ``marker LEFT ANTI JOIN df.limit(1) ON true`` — the probe side is
-    at most one row, evaluated inside the same plan, with no driver round trip.
+    Planned inside the same query (no driver round trip): the marker row is
+    anti-joined with ``df.limit(1)``, so it survives only when ``df`` is empty.
     """
-    marker = marker_row(df, values)
-    probe = df.limit(1).select(F.lit(1).alias("_present"))
-    missing = marker.join(F.broadcast(probe), how="left_anti")
-    return df.unionByName(missing)
+    return df.unionByName(when_absent(marker_row(df, values), df))
 
 
 def fallback_when(df: DataFrame, values: dict, source: DataFrame) -> DataFrame:
     """Like ``empty_fallback`` but the emptiness test is on ``source``."""
-    marker = marker_row(df, values)
-    probe = source.limit(1).select(F.lit(1).alias("_present"))
-    return df.unionByName(marker.join(F.broadcast(probe), how="left_anti"))
+    return df.unionByName(when_absent(marker_row(df, values), source))
 
 
 def per_key_fallback(keys: DataFrame, data: DataFrame, on: Sequence[str], values: dict) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.functions.text import clip, col, default_phone, first_nonblank, hhmm
-from rollbook.operators.quality import finalize, required, rule
+from rollbook.operators.quality import when_absent, finalize, required, rule
 from rollbook.operators.relational import (
     count_in_group, dedup_first, dimension, drop_sentinels, half_open, school_key_map, sequence_in_group)
 from rollbook.operators.years import (
@@ -175,7 +175,7 @@ def department(t: Tables, p: ExtractParams) -> DataFrame:
     general = t.schools.where(col("school_number").isNotNull()).select(
         F.substring(col("school_number").cast("string"), 1, 7).alias("schoolNum_raw"),
         F.lit("General").alias("departmentName_raw"))
-    src = d.unionByName(general.join(F.broadcast(d.limit(1).select(F.lit(1).alias("_p"))), how="left_anti"))
+    src = d.unionByName(when_absent(general, d))
     x = src.select(clip("schoolNum_raw", 7).alias("schoolNum"), clip("departmentName_raw", 50).alias("departmentName"))
     return finalize(x, ["schoolNum", "departmentName"],
                     [required("schoolNum", blank=True), required("departmentName", blank=True)])
@@ -203,7 +203,7 @@ def room(t: Tables, p: ExtractParams) -> DataFrame:
     rooms = from_sched.unionByName(from_sec).distinct()
     default = t.schools.select(F.lit(UNKNOWN_ROOM[:20]).alias("roomNumber_raw"),
                                F.substring(col("school_number").cast("string"), 1, 7).alias("schoolNum_raw"))
-    src = rooms.unionByName(default.join(F.broadcast(rooms.limit(1).select(F.lit(1).alias("_p"))), how="left_anti"))
+    src = rooms.unionByName(when_absent(default, rooms))
     x = src.select(clip("roomNumber_raw", 20).alias("roomNumber"), clip("schoolNum_raw", 7).alias("schoolNum"))
     return finalize(x, ["roomNumber", "schoolNum"],
                     [required("roomNumber", blank=True), required("schoolNum", blank=True)])

@@ -9,6 +9,11 @@ part of the SIS data model, not of the data volume.
 
 In Spark each view is analysed once per catalog (``spark.sql`` over the driver
 tables) and kept as a DataFrame; in DuckDB the same texts are prepended as CTEs.
+
+Fan-outs over fixed code lists (three term kinds, six cycle days, eight periods,
+two contacts per student, three address kinds, three e-mails) are UNION ALLs,
+never cross joins; school years are the (school, year) pairs found in the
+orders, so even the calendar dimensions are derived from the data.
 """
 
 from __future__ import annotations
@@ -35,9 +40,12 @@ select n_nationkey+1 as id, n_nationkey+501 as dcid,
        'Principal ' || n_name as principal,
        case when n_nationkey % 5 = 0 then null else 'principal' || cast(n_nationkey as string) || '@district.example' end as principalemail
 from nation"""),
-    ("years", "select distinct cast(extract(year from o_orderdate) as int) as y from orders"),
-    # three term kinds per school and year: the year record and two semesters.
-    # schools (<= 25 rows) x years (one per calendar year in orders) is bounded.
+    # (school, calendar year) pairs that occur in the data: customers' nation is the school
+    ("school_years", """
+select distinct c_nationkey + 1 as school_row, cast(extract(year from o_orderdate) as int) as y
+from orders join customer on c_custkey = o_custkey"""),
+    ("school_year_rows", "select s.*, sy.y from schools s join school_years sy on sy.school_row = s.id"),
+    # three term kinds per school and year: the year record and two semesters
     ("terms", """
 select (y+1-1990)*100 + k as id, y+1-1990 as yearid, school_number as schoolid,
        case when k=0 then 1 else 0 end as isyearrec,
@@ -45,7 +53,9 @@ select (y+1-1990)*100 + k as id, y+1-1990 as yearid, school_number as schoolid,
        case k when 0 then 'YR' when 1 then 'S1' else 'S2' end as abbreviation,
        case when k=2 then make_date(y+1,1,10) when issummerschool=1 then make_date(y,7,6) else make_date(y,8,20) end as firstday,
        case when k=1 then make_date(y+1,1,9) else make_date(y+1,5,31) end as lastday
-from schools cross join years cross join (select 0 as k union all select 1 union all select 2) ks"""),
+from (select school_number, issummerschool, y, 0 as k from school_year_rows union all
+      select school_number, issummerschool, y, 1 from school_year_rows union all
+      select school_number, issummerschool, y, 2 from school_year_rows) x"""),
     ("cust_span", """
 select o_custkey, cast(min(o_orderdate) as date) as d0, cast(max(o_orderdate) as date) as d1, count(*) as n
 from orders group by o_custkey"""),
@@ -169,17 +179,16 @@ select school_number*10 + k as id, school_number as schoolid, y+1-1990 as year_i
        case when k = 0 then null when k = 1 then '  ' when k = 2 then null else 'Day ' || cast(k+1 as string) end as day_name,
        case k when 0 then null when 1 then 'B' when 2 then ' ' when 3 then 'D' when 4 then 'E' else 'F' end as letter,
        case when k = 2 then 'C-ab' end as abbreviation, k + 1 as day_number
-from schools cross join years cross join (select 0 as k union all select 1 union all select 2 union all select 3
-                                          union all select 4 union all select 5) ks"""),
+from (""" + " union all ".join(f"select school_number, y, {k} as k from school_year_rows" for k in range(6)) + """) x"""),
     ("period", """
 select school_number*100 + n as id, school_number as schoolid, n as period_number,
        case when n % 3 = 0 then null else 'P' || cast(n as string) end as abbreviation,
        case when n % 4 = 0 then null else 'Period ' || cast(n as string) end as name
-from schools cross join (select 1 as n union all select 2 union all select 3 union all select 4 union all select 5
-                         union all select 6 union all select 7 union all select 8) ns"""),
+from (""" + " union all ".join(f"select school_number, {n} as n from schools" for n in range(1, 9)) + """) x"""),
     ("bell_schedule", """
 select school_number*10 + m as id, school_number as schoolid, y+1-1990 as year_id
-from schools cross join years cross join (select 0 as m union all select 1) ms"""),
+from (select school_number, y, 0 as m from school_year_rows union all
+      select school_number, y, 1 from school_year_rows) x"""),
     ("bell_schedule_items", """
 select distinct b.id as bell_schedule_id, p.id as period_id,
        28800 + p.period_number*3300 + (b.id % 10)*300 as start_time,
@@ -261,14 +270,18 @@ select (300000 + c_custkey*10 + k)*100 + t as personaddressid,
        case t when 18 then 'Old Rd' else cast(c_custkey as string) || case t when 19 then ' Elm St' else ' PO' end end as street,
        case when t = 20 and c_custkey % 7 = 0 then null else 'City ' || cast(c_nationkey as string) end as city,
        cast(58000 + c_nationkey + t as string) as postalcode, case when c_custkey % 2 = 0 then 50 else 51 end as statescodesetid
-from contact_base cross join (select 18 as t union all select 19 union all select 20) ts"""),
+from (select c_custkey, c_nationkey, k, 18 as t from contact_base union all
+      select c_custkey, c_nationkey, k, 19 from contact_base union all
+      select c_custkey, c_nationkey, k, 20 from contact_base) cb"""),
     ("emailaddress", """
 select (c_custkey+200001)*10 + e as emailaddressid, lower(replace(c_name, '#', '')) || '.' || cast(e as string) || '@mail.example' as emailaddress
-from customer cross join (select 1 as e union all select 2 union all select 3) es where c_custkey % 5 <> 0"""),
+from (select c_custkey, c_name, 1 as e from customer union all select c_custkey, c_name, 2 from customer
+      union all select c_custkey, c_name, 3 from customer) ce where c_custkey % 5 <> 0"""),
     ("personemailaddressassoc", """
 select c_custkey+200001 as personid, (c_custkey+200001)*10 + e as emailaddressid,
        case e when 1 then 2 when 2 then 1 else null end as emailaddresspriorityorder
-from customer cross join (select 1 as e union all select 2 union all select 3) es
+from (select c_custkey, 1 as e from customer union all select c_custkey, 2 from customer
+      union all select c_custkey, 3 from customer) ce
 where c_custkey % 5 <> 0 and (e < 3 or c_custkey % 2 = 0)"""),
     ("studentcorefields", """
 select c_custkey+100001 as studentsdcid,
