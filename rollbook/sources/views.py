@@ -199,8 +199,8 @@ select id as sectionid, cast(id % 8 as int) + 1 as period_number,
        case id % 4 when 0 then 'B' when 1 then 'D' when 2 then 'E' else 'F' end as cycle_day_letter
 from sections"""),
     ("schedulesections", """
-select id, case when id % 5 = 0 then null else 'S' || cast(id % 50 as string) end as room
-from sections where id % 3 = 0"""),
+select id, case when id % 5 = 0 or id % 3 <> 0 then null else 'S' || cast(id % 50 as string) end as room
+from sections"""),
     # ---- staff from supplier
     ("users", """
 select s_suppkey+1 as dcid, case when s_suppkey % 10 = 0 then null else 'T' || cast(s_suppkey as string) end as teachernumber,
@@ -241,30 +241,36 @@ from contact_base"""),
     ("studentcontactassoc", """
 select c_custkey*10 + k as studentcontactassocid, c_custkey+100001 as studentdcid, 300000 + c_custkey*10 + k as personid,
        k as contactpriorityorder, case when c_custkey % 9 = 0 then null when k = 1 then 40 else 41 end as currreltypecodesetid
-from contact_base where c_custkey % 13 <> 0"""),
+from contact_base"""),
     ("studentcontactdetail", """
 select c_custkey*10 + k as studentcontactassocid,
-       case when (c_custkey + k) % 5 = 0 then 0 else 1 end as isactive, k % 2 as isemergency, 1 as iscustodial,
-       case when c_custkey % 4 = 0 then 0 else 1 end as receivesmailflg, case when k = 1 then 1 else 0 end as liveswithflg
-from contact_base where c_custkey % 8 <> 0"""),
+       case when c_custkey % 8 = 0 then null when (c_custkey + k) % 5 = 0 then 0 else 1 end as isactive,
+       case when c_custkey % 8 = 0 then null else k % 2 end as isemergency,
+       case when c_custkey % 8 = 0 then null else 1 end as iscustodial,
+       case when c_custkey % 8 = 0 then null when c_custkey % 4 = 0 then 0 else 1 end as receivesmailflg,
+       case when c_custkey % 8 = 0 then null when k = 1 then 1 else 0 end as liveswithflg
+from contact_base"""),
     ("personphonenumberassoc", """
 select 300000 + c_custkey*10 + k as personid, 1 as phonenumberpriorityorder, 0 as ispreferred,
-       ' 701-' || lpad(cast((c_custkey*3 + k) % 10000 as string),4,'0') || ' ' as phonenumberasentered
-from contact_base where c_custkey % 6 <> 0
+       case when c_custkey % 6 = 0 then null
+            else ' 701-' || lpad(cast((c_custkey*3 + k) % 10000 as string),4,'0') || ' ' end as phonenumberasentered
+from contact_base
 union all
 select 300000 + c_custkey*10 + k, 2, case when c_custkey % 6 = 0 then 1 else 0 end,
-       '218-' || lpad(cast((c_custkey*7 + k) % 10000 as string),4,'0')
-from contact_base where c_custkey % 4 <> 0"""),
+       case when c_custkey % 4 = 0 then null else '218-' || lpad(cast((c_custkey*7 + k) % 10000 as string),4,'0') end
+from contact_base"""),
     ("personaddressassoc", """
 select 300000 + c_custkey*10 + k as personid, (300000 + c_custkey*10 + k)*100 + 19 as personaddressid,
        19 as addresstypecodesetid, 1 as addresspriorityorder, cast(null as date) as enddate
 from contact_base
 union all
-select 300000 + c_custkey*10 + k, (300000 + c_custkey*10 + k)*100 + 20, 20, 1, cast(null as date)
-from contact_base where c_custkey % 3 <> 0
+select 300000 + c_custkey*10 + k, (300000 + c_custkey*10 + k)*100 + 20, 20,
+       case when c_custkey % 3 = 0 then 2 else 1 end, cast(null as date)
+from contact_base
 union all
-select 300000 + c_custkey*10 + k, (300000 + c_custkey*10 + k)*100 + 18, 19, 1, make_date(1996, 1, 1)
-from contact_base where c_custkey % 5 = 0"""),
+select 300000 + c_custkey*10 + k, (300000 + c_custkey*10 + k)*100 + 18, 19, 1,
+       case when c_custkey % 5 = 0 then make_date(1996, 1, 1) else make_date(1997, 6, 30) end
+from contact_base"""),
     ("personaddress", """
 select (300000 + c_custkey*10 + k)*100 + t as personaddressid,
        case t when 18 then 'Old Rd' else cast(c_custkey as string) || case t when 19 then ' Elm St' else ' PO' end end as street,
@@ -274,15 +280,16 @@ from (select c_custkey, c_nationkey, k, 18 as t from contact_base union all
       select c_custkey, c_nationkey, k, 19 from contact_base union all
       select c_custkey, c_nationkey, k, 20 from contact_base) cb"""),
     ("emailaddress", """
-select (c_custkey+200001)*10 + e as emailaddressid, lower(replace(c_name, '#', '')) || '.' || cast(e as string) || '@mail.example' as emailaddress
+select (c_custkey+200001)*10 + e as emailaddressid,
+       case when c_custkey % 5 = 0 or (e = 3 and c_custkey % 2 <> 0) then null
+            else lower(replace(c_name, '#', '')) || '.' || cast(e as string) || '@mail.example' end as emailaddress
 from (select c_custkey, c_name, 1 as e from customer union all select c_custkey, c_name, 2 from customer
-      union all select c_custkey, c_name, 3 from customer) ce where c_custkey % 5 <> 0"""),
+      union all select c_custkey, c_name, 3 from customer) ce"""),
     ("personemailaddressassoc", """
 select c_custkey+200001 as personid, (c_custkey+200001)*10 + e as emailaddressid,
        case e when 1 then 2 when 2 then 1 else null end as emailaddresspriorityorder
 from (select c_custkey, 1 as e from customer union all select c_custkey, 2 from customer
-      union all select c_custkey, 3 from customer) ce
-where c_custkey % 5 <> 0 and (e < 3 or c_custkey % 2 = 0)"""),
+      union all select c_custkey, 3 from customer) ce"""),
     ("studentcorefields", """
 select c_custkey+100001 as studentsdcid,
        case when c_custkey % 8 = 0 then 'CoreLast' || cast(c_custkey as string) end as pscore_legal_last_name,
@@ -290,12 +297,12 @@ select c_custkey+100001 as studentsdcid,
        cast(null as string) as pscore_legal_middle_name,
        case when c_custkey % 16 = 0 then 'Jr' end as pscore_legal_suffix,
        case when c_custkey % 8 = 0 then 'F' end as pscore_legal_gender
-from customer where c_custkey % 4 = 0"""),
+from customer"""),
     ("studentrace", """
 select c_custkey+1 as studentid, case c_custkey % 5 when 0 then 'B' when 1 then 'W' when 2 then 'A' when 3 then 'I' else 'X' end as racecd
 from customer
 union all
-select c_custkey+1, 'P' from customer where c_custkey % 3 = 0"""),
+select c_custkey+1, case when c_custkey % 3 = 0 then 'P' end from customer"""),
     # ---- behaviour: log types, incidents from error events, their actions and roles
     ("gen", """
 select 900 + n as id, case when n % 4 = 0 then 'other' else 'logtype' end as cat,
@@ -326,7 +333,7 @@ select o_custkey+100001 as studentsdcid,
        case when o_orderkey % 13 = 0 then null else cast(o_orderdate as date) end as startdate,
        case when o_orderkey % 3 = 0 then cast(o_orderdate as date) + 200 end as stopdate,
        case when o_orderkey % 4 = 0 then null else 'RN' || cast(o_orderkey % 7 as string) end as whocreated
-from orders where o_orderkey % 8 < 3"""),
+from orders"""),
     ("cst_pubstuspeddata", """
 select cast(c_acctbal as string) as state_studentnumber, cast(o_orderdate as date) as begindate,
        case when o_orderstatus = 'F' then cast(o_orderdate as date) + 300 end as enddate,
@@ -337,7 +344,7 @@ select cast(c_acctbal as string) as state_studentnumber, cast(o_orderdate as dat
        cast(o_orderdate as date) + 30 as iepreviewdate,
        case when o_orderstatus = 'F' then 'Moved' end as reasonfortermination,
        cast(extract(year from o_orderdate) as int) + 1 as schoolyear
-from orders join customer on c_custkey = o_custkey where o_orderkey % 9 = 0"""),
+from orders join customer on c_custkey = o_custkey"""),
     # ---- standards and scores from parts and line items; comments from documents
     ("standard", """
 select p_partkey+1 as standardid, case when p_partkey % 10 = 0 then null else p_partkey - p_partkey % 10 + 1 end as parentstandardid,
@@ -370,8 +377,9 @@ select l_partkey + 1 as assignmentstandardassocid, o_custkey + 100001 as student
        case when l_linenumber <= 5 then cast(l_discount * 100 as decimal(6,2)) end as scorepercent,
        cast(l_linenumber % 2 as int) as isexempt, 0 as ismissing, 0 as islate
 from lineitem join orders on o_orderkey = l_orderkey"""),
-    ("standardgradesectioncomment", "select text as commentvalue from documents where doc_id % 3 = 0"),
-    ("standardgraderollupcomment", "select text as commentvalue from documents where doc_id % 3 = 1"),
+    # comments: whole documents (section comments) and conversation turns (rollup comments)
+    ("standardgradesectioncomment", "select text as commentvalue from documents"),
+    ("standardgraderollupcomment", "select text as commentvalue from conversations"),
     ("s_nd_stu_x", """
 select c_custkey+100001 as studentsdcid,
        case when c_custkey % 10 = 0 then upper(c_name) end as legalfirstname,
@@ -387,7 +395,7 @@ from customer left join cust_span on o_custkey = c_custkey"""),
 select o_custkey+100001 as studentsdcid,
        case when o_orderkey % 10 = 3 then null else cast(o_orderdate as date) end as startdate, """
      + _HOMELESS_FLAG_SQL + """
-from orders where o_orderkey % 7 = 0"""),
+from orders"""),
 ])
 
 VIEW_SQL: dict[str, str] = {name: " ".join(sql.split()) for name, sql in VIEWS}

@@ -142,3 +142,17 @@ def test_job_cli_runs(spark, tables, tmp_path):
                    "--end-year", "1999", "--only", "school,roster", "--parallelism", "2"])
     assert rc == 0
     assert glob.glob(str(tmp_path / "out" / "batch2" / "roster" / "part-*"))
+
+
+def test_plans_have_no_keyless_joins_or_python(spark):
+    """Every registered query plans without cartesian products, nested-loop
+    joins or Python evaluation: all joins are keyed, all expressions JVM-side."""
+    import __spark_entry__ as E
+    bad = {}
+    for name, fn in E.queries().items():
+        plan = fn(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        hits = [w for w in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+                            "FlatMapGroupsInPandas", "MapInPandas") if w in plan]
+        if hits:
+            bad[name] = hits
+    assert not bad, bad
