@@ -52,6 +52,11 @@ def parse(argv=None):
 def main(argv=None) -> int:
     a = parse(argv)
     spark = SparkSession.builder.appName("rollbook-nightly").getOrCreate()
+    # runtime re-planning: partition sizes from the data, skewed joins split,
+    # small sides broadcast only after their runtime size is known
+    for k in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.coalescePartitions.enabled",
+              "spark.sql.adaptive.skewJoin.enabled"):
+        spark.conf.set(k, "true")
     ensure_checkpoint_dir(spark)
     if a.tables:
         tables = Tables.from_dir(spark, a.tables, SIS_TABLES)

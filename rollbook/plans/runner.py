@@ -8,9 +8,9 @@ log as a DataFrame (also written to ``<out>/_run_log``).
   ``Observation`` on that same job, so nothing is recomputed for the log.
 * A failing extract is logged and the run continues (the source runner's
   "continue on error").
-* Files are replaced each run (``mode("overwrite")``).  Output order is a
-  range-partitioned sort, so no single task receives the whole file; extracts
-  without a stated order are sorted by all columns (deterministic files).
+* Files are replaced each run (``mode("overwrite")``).  Output order, where the
+  extract states one, is a range-partitioned sort, so no single task receives
+  the whole file; extracts without an order are written without any shuffle.
 * Shared inputs are not cached by default: every extract's plan starts at the
   parquet scans, so a lost executor only recomputes its own partitions.  Pass
   ``persist_shared=True`` to write the derived SIS views once to the cluster's
@@ -35,14 +35,18 @@ from rollbook.sources.catalog import Tables
 
 
 def ordered_lines(df: DataFrame, spec: Extract, type_col: str | None = None) -> DataFrame:
-    """Header line + rendered rows in one frame, globally sorted by
-    (header first, extract order).  The sort is a range shuffle over the order
-    keys, so rows spread over all tasks; the header sorts into the first file.
-    Columns: ``line``, ``_s`` (0 header / 1 row), ``_t`` (row type)."""
+    """Header line + rendered rows in one frame.  Columns: ``line``, ``_s``
+    (0 header / 1 row), ``_t`` (row type).
+
+    Ordered extracts are globally sorted by (header first, extract order): a
+    range shuffle over the order keys, so rows spread over all tasks and the
+    header lands in the first file.  Extracts without a stated order (the
+    source gives none) are not sorted at all: the header is the first child of
+    a UNION ALL, so it is partition 0 and the first file, and the rows are
+    written straight from their partitions with no shuffle."""
     spark = df.sparkSession
-    order_cols = list(spec.order) or list(df.columns)
     keys, key_cols, head_cols = [], [], []
-    for i, c in enumerate(order_cols):
+    for i, c in enumerate(spec.order):
         desc = c.startswith("-")
         name = c.lstrip("-")
         k = f"_k{i}"
@@ -55,7 +59,10 @@ def ordered_lines(df: DataFrame, spec: Extract, type_col: str | None = None) ->
     body = df.select(line_expr(df, spec).alias("line"), *key_cols, F.lit(1).alias("_s"), t.alias("_t"))
     head = spark.range(1).select(F.lit(header_line(df.columns, spec.quote)).alias("line"), *head_cols,
                                  F.lit(0).alias("_s"), F.lit(None).cast("string").alias("_t"))
-    return head.unionByName(body).orderBy(F.col("_s"), *keys).select("line", "_s", "_t")
+    both = head.unionByName(body)
+    if keys:
+        both = both.orderBy(F.col("_s"), *keys)
+    return both.select("line", "_s", "_t")
 
 
 def line_expr(df: DataFrame, spec: Extract):

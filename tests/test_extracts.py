@@ -102,6 +102,10 @@ def test_runner_writes_header_first_and_logs(spark, tables):
     lines = [ln for p in parts for ln in open(p, encoding="utf-8").read().splitlines()]
     assert lines[0].startswith('"row_type","schoolNum"')
     assert len(lines) == recs["school"].rows + 1
+    fee_parts = sorted(glob.glob(os.path.join(out, "batch4", "fee", "part-*")))  # unordered: no sort
+    fee_lines = [ln for p in fee_parts for ln in open(p, encoding="utf-8").read().splitlines()]
+    assert fee_lines[0] == '"row_type","studentNum","feeName","feeType","amount","validation_errors"'
+    assert len(fee_lines) == recs["fee"].rows + 1
     task_parts = sorted(glob.glob(os.path.join(out, "batch3", "gradingTask", "part-*")))
     first = [ln for p in task_parts for ln in open(p, encoding="utf-8").read().splitlines()][0]
     assert first == "row_type,taskName,taskCode,taskSeq,postToTranscript,sourceStoreCode,validation_errors"
