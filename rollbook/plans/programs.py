@@ -215,7 +215,10 @@ def attendance_aggregate(t: Tables, p: ExtractParams) -> DataFrame:
 def fee(t: Tables, p: ExtractParams) -> DataFrame:
     """Net amount per (student, fee name, fee type), zero balances dropped."""
     sc = students_in_section_year(t)
-    ft = t.fee_transaction
+    # eager partial sum on the transaction table (sums are decomposable): many
+    # payments of one student for one fee collapse before any join or shuffle
+    ft = t.fee_transaction.groupBy("feeid", "studentid") \
+        .agg(F.sum(col("neteffect").cast("decimal(18,2)")).alias("neteffect"))
     f = t.fee.select(col("id").alias("_fid"), F.substring("fee_type_name", 1, 60).alias("feeName"),
                      F.substring("fee_type_id", 1, 10).alias("feeType"))
     j = ft.join(f, ft["feeid"] == f["_fid"]).join(sc, ft["studentid"] == sc["_sid"])
