@@ -158,13 +158,15 @@ def contact(t: Tables, p: ExtractParams) -> DataFrame:
     rel = t.codeset.select(col("codesetid").alias("_rid"), col("code").alias("_rcode"))
     addr = contact_addresses(t).withColumnRenamed("personid", "_apid")
     phones = contact_phones(t).withColumnRenamed("personid", "_phid")
+    # the three person-keyed joins are adjacent, so the contact side is
+    # hash-partitioned by personid once and reused for all three
     j = (ast.join(sca, sca["studentdcid"] == ast["_sdcid"])
          .join(pe, pe["_pid"] == sca["personid"])
-         .join(scd, scd["_scd"] == sca["studentcontactassocid"], "left")
          .join(addr, addr["_apid"] == sca["personid"], "left")
+         .join(phones, phones["_phid"] == sca["personid"], "left")
+         .join(scd, scd["_scd"] == sca["studentcontactassocid"], "left")
          .join(dimension(gender), col("_gid") == col("gendercodesetid"), "left")
-         .join(dimension(rel), col("_rid") == col("currreltypecodesetid"), "left")
-         .join(phones, phones["_phid"] == sca["personid"], "left"))
+         .join(dimension(rel), col("_rid") == col("currreltypecodesetid"), "left"))
     g = F.upper(col("_gdv"))
     return j.select(
         F.lit("CLEAN").alias("recordType"),
