@@ -420,9 +420,10 @@ def closure(names) -> list[str]:
     return sorted(need, key=_ORDER.__getitem__)
 
 
-def with_views(sql: str) -> str:
-    """Prefix ``sql`` with the CTEs of every derived view it reads (DuckDB oracle)."""
-    used = closure(_refs(sql))
+def with_views(sql: str, provided=()) -> str:
+    """Prefix ``sql`` with the CTEs of every derived view it reads (DuckDB oracle).
+    Views named in ``provided`` are expected to exist already (not re-derived)."""
+    used = [v for v in closure(_refs(sql)) if v not in provided]
     if not used:
         return sql
     ctes = ",\n".join(f"{n} AS ({VIEW_SQL[n]})" for n in used)
