@@ -18,6 +18,7 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rollbook.session import ensure_checkpoint_dir
 from rollbook.sources import views as _views
 
 _LOCK = threading.Lock()
@@ -90,8 +91,15 @@ class Tables:
                 df = spark.read.parquet(f"{sf_dir}/{t}.parquet")
                 df.createOrReplaceTempView(t)
                 frames[t] = df
+            ensure_checkpoint_dir(spark)
             for name, _ in _views.VIEWS:
                 df = spark.sql(_views.VIEW_SQL[name])
+                if name in _views.DIMENSION_VIEWS:
+                    # small per-school dimensions read by almost every extract:
+                    # derive them once and cut their lineage (reliable checkpoint
+                    # in the cluster's checkpoint folder), so later plans scan a
+                    # few kilobytes instead of re-deriving them in every subquery
+                    df = df.checkpoint(eager=True)
                 df.createOrReplaceTempView(name)
                 frames[name] = df
             tables = cls(frames, spark)

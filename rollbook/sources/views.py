@@ -399,6 +399,12 @@ from orders"""),
 ])
 
 VIEW_SQL: dict[str, str] = {name: " ".join(sql.split()) for name, sql in VIEWS}
+
+# per-school dimensions: bounded by schools x calendar years x a few codes
+DIMENSION_VIEWS = frozenset({
+    "schools", "school_years", "school_year_rows", "terms", "cycle_day", "period", "bell_schedule",
+    "bell_schedule_items", "codeset", "gen",
+})
 _ORDER = {name: i for i, (name, _) in enumerate(VIEWS)}
 
 
