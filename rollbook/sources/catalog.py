@@ -91,10 +91,14 @@ class Tables:
                 df = spark.read.parquet(f"{sf_dir}/{t}.parquet")
                 df.createOrReplaceTempView(t)
                 frames[t] = df
-            ensure_checkpoint_dir(spark)
+            try:
+                ensure_checkpoint_dir(spark)
+                can_checkpoint = True
+            except Exception:  # noqa: BLE001 — e.g. a session without a SparkContext
+                can_checkpoint = False
             for name, _ in _views.VIEWS:
                 df = spark.sql(_views.VIEW_SQL[name])
-                if name in _views.DIMENSION_VIEWS:
+                if name in _views.DIMENSION_VIEWS and can_checkpoint:
                     # small per-school dimensions read by almost every extract:
                     # derive them once and cut their lineage (reliable checkpoint
                     # in the cluster's checkpoint folder), so later plans scan a
