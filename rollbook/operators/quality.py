@@ -12,9 +12,8 @@ from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from rollbook.functions.text import as_text, col, is_blank
+from rollbook.functions.text import col, is_blank
 
 Rule = tuple[str, Column]
 
@@ -56,10 +55,14 @@ def row_type(errors: Column | str = "validation_errors") -> Column:
     return F.when(is_blank(errors), F.lit(CLEAN)).otherwise(F.lit(ERROR))
 
 
-def row_type_severity(errors: Column | str = "validation_errors", fatal_prefix: str = "ERR_") -> Column:
-    """Only fatal codes make a row ERROR; warning-only rows stay CLEAN."""
+def row_type_severity(errors: Column | str = "validation_errors", fatal: Sequence[str] = ("ERR_",)) -> Column:
+    """Only fatal codes make a row ERROR; warning-only rows stay CLEAN.
+    ``fatal`` lists the codes (or code prefixes) that count as fatal."""
     e = col(errors)
-    return F.when(F.coalesce(F.instr(e, fatal_prefix), F.lit(0)) > 0, F.lit(ERROR)).otherwise(F.lit(CLEAN))
+    hit = F.lit(False)
+    for code in fatal:
+        hit = hit | (F.coalesce(F.instr(e, code), F.lit(0)) > 0)
+    return F.when(hit, F.lit(ERROR)).otherwise(F.lit(CLEAN))
 
 
 def row_type_with_review(errors: Column | str, reason: Column | str) -> Column:

@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.functions.text import clip, col, yearid_of_termid
-from rollbook.operators.relational import dedup_first
+from rollbook.functions.text import col, yearid_of_termid
 from rollbook.params import YEARID_BASE
 
 

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.functions.text import clip, col, first_nonblank, one_line
-from rollbook.operators.quality import (
-    error_text, fallback_when, finalize, marker_row, required, row_type_with_review, rule)
+from rollbook.operators.quality import fallback_when, finalize, required, row_type_with_review, rule
 from rollbook.operators.relational import union_all
 from rollbook.params import ExtractParams
 from rollbook.plans.registry import extract

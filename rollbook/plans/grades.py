@@ -219,9 +219,6 @@ def next_year_enrollment(t: Tables, p: ExtractParams) -> DataFrame:
              ("WARN_MISSING_SCHED_NEXTYEARGRADE", x["grade"].isNull()),
              ("WARN_MISSING_26_27_calendar_startDate", x["startDate"].isNull()),
              ("WARN_MISSING_26_27_calendar_endDate", x["endDate"].isNull())]
-    fatal = F.lit(False)
-    for code in ROLLOVER_FATAL:
-        fatal = fatal | (F.coalesce(F.instr(col("validation_errors"), code), F.lit(0)) > 0)
     return finalize(x, ["studentNum", "schoolNum", "grade", "startDate", "endDate", "enrollmentStatus", "comments",
                         "exclude"], rules, type_col="record_status",
-                    type_expr=F.when(fatal, F.lit("ERROR")).otherwise(F.lit("CLEAN")))
+                    type_expr=row_type_severity("validation_errors", ROLLOVER_FATAL))
