@@ -20,4 +20,5 @@ def all_sql() -> dict[str, str]:
     from oracle import extracts_a, extracts_b, extracts_c, operators  # noqa: F401
     if "quality_summary_enrollment" not in SQL:
         operators._later()
+        operators._render_later()
     return {k: with_views(v) for k, v in SQL.items()}

@@ -106,3 +106,12 @@ WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.sectionNum IS NOT DISTINCT FROM r.sect
     register("check_reference_enrollment_calendar", "WITH " + _wrap("enrollment", "e") + ", " + _wrap("calendar", "c") + """
 SELECT DISTINCT e.schoolNum, e.calendarName FROM e
 WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.schoolNum IS NOT DISTINCT FROM e.schoolNum AND c.calendarName IS NOT DISTINCT FROM e.calendarName)""")
+
+
+def _render_later():
+    from oracle.extracts_a import ENROLLMENT_COLS
+    def q(c, date=False):
+        v = f"strftime({c}, '%Y-%m-%d')" if date else f"CAST({c} AS VARCHAR)"
+        return ("'\"' || replace(replace(replace(coalesce(" + v + ", ''), chr(13), ' '), chr(10), ' '), '\"', '\"\"') || '\"'")
+    parts = " || ',' || ".join(q(c, c in ("startDate", "endDate")) for c in ENROLLMENT_COLS)
+    register("render_enrollment_lines", "WITH " + _wrap("enrollment", "e") + f"\nSELECT {parts} AS line FROM e")

@@ -171,3 +171,12 @@ def check_reference_enrollment_calendar(t):
     """Enrolment calendars missing from the calendar extract (names are built
     differently in the two files, SURVEY 8.9)."""
     return Q.check_reference(_extract("enrollment", t), _extract("calendar", t), ["schoolNum", "calendarName"])
+
+
+@op("render_enrollment_lines")
+def render_enrollment_lines(t):
+    """The enrollment file's data lines (quote-all policy, ISO dates)."""
+    from rollbook.operators.render import render_lines
+    from rollbook.plans.registry import all_extracts
+    spec = all_extracts()["enrollment"]
+    return render_lines(_extract("enrollment", t), spec.date_format, spec.ts_format, spec.quote)
