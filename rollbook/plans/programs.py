@@ -39,11 +39,18 @@ def scoped_cc(t: Tables, p: ExtractParams, back: int) -> DataFrame:
     return t.cc.where(col("termid").isNotNull() & termid_in_years("termid", y - back, y))
 
 
+def scoped_cc_keys(t: Tables, p: ExtractParams, back: int, cc_cols: Sequence[str] = ()) -> DataFrame:
+    """Distinct (studentid, cc_cols...) of the scoped enrolments; shared by all
+    extracts of a run that ask for the same window and columns."""
+    key = ("scoped_cc_keys", p.requested_yearid, back, tuple(cc_cols))
+    return t.shared(key, lambda: scoped_cc(t, p, back).select("studentid", *cc_cols).distinct())
+
+
 def student_scope(t: Tables, p: ExtractParams, back: int, cc_cols: Sequence[str] = (),
                   student_cols: Sequence[str] = ()) -> DataFrame:
     """DISTINCT (studentid, studentNum, cc_cols..., student_cols...) of
     students with a course enrolment in the last ``back + 1`` school years."""
-    c = scoped_cc(t, p, back).select("studentid", *cc_cols).distinct()
+    c = scoped_cc_keys(t, p, back, cc_cols)
     s = t.students.where(col("student_number").isNotNull()).select(
         col("id").alias("_sid"), col("student_number").alias("studentNum"), *student_cols)
     return c.join(s, c["studentid"] == s["_sid"]).drop("_sid")
@@ -51,7 +58,7 @@ def student_scope(t: Tables, p: ExtractParams, back: int, cc_cols: Sequence[str]
 
 def student_keys_in_scope(t: Tables, p: ExtractParams, back: int, key: str = "id") -> DataFrame:
     """Distinct (key, studentNum) of in-scope students (semi-join form of C07)."""
-    c = scoped_cc(t, p, back).select(col("studentid").alias("_sid")).distinct()
+    c = scoped_cc_keys(t, p, back).select(col("studentid").alias("_sid"))
     s = t.students.where(col("student_number").isNotNull()).select(
         col("id").alias("_id"), col(key).alias("_key"), col("student_number").alias("studentNum"))
     return s.join(c, s["_id"] == c["_sid"], "left_semi").select("_key", "studentNum")

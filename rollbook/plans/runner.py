@@ -108,13 +108,17 @@ def run_one(spark: SparkSession, spec: Extract, tables: Tables, params: ExtractP
 
 def run_batches(spark: SparkSession, tables: Tables, out_dir: str, params: ExtractParams | None = None,
                 batches=(1, 2, 3, 4), names=None, quality: bool = False,
-                persist_shared: bool = False, parallelism: int = 1) -> DataFrame:
+                persist_shared: bool = False, parallelism: int = 1, share_scopes: bool = True) -> DataFrame:
     """Write the selected extracts.  ``parallelism`` > 1 submits several
     extracts at once from driver threads: Spark runs their jobs concurrently,
-    so many small extracts keep a large cluster busy instead of queueing."""
+    so many small extracts keep a large cluster busy instead of queueing.
+    ``share_scopes`` computes intermediate frames that several extracts need
+    (the distinct scoped enrolment keys) once per run and releases them at the end."""
     params = params or ExtractParams()
     if persist_shared:
         tables = persist_tables(spark, tables)
+    if share_scopes:
+        tables = tables.with_sharing()
     specs = [s for s in sorted(all_extracts().values(), key=lambda s: (s.batch, s.name))
              if s.batch in batches and (not names or s.name in names)]
     if parallelism > 1:
@@ -134,6 +138,8 @@ def run_batches(spark: SparkSession, tables: Tables, out_dir: str, params: Extra
     if quality and summaries:
         from rollbook.operators.relational import union_all
         union_all(summaries).write.mode("overwrite").json(f"{out_dir}/_quality_summary")
+    if share_scopes:
+        tables.release_shared()
     return log_df
 
 

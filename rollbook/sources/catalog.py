@@ -26,9 +26,36 @@ _CACHE: dict[tuple[int, str], "Tables"] = {}
 
 
 class Tables:
-    def __init__(self, frames: dict[str, DataFrame], spark: SparkSession | None = None):
+    def __init__(self, frames: dict[str, DataFrame], spark: SparkSession | None = None,
+                 memo: dict | None = None):
         self._frames = dict(frames)
         self.spark = spark or next(iter(frames.values())).sparkSession
+        # shared intermediate frames (e.g. the student scope), persisted once per
+        # run when the runner turns sharing on; None = no sharing (plain plans)
+        self._memo = memo
+        self._memo_lock = threading.Lock()
+
+    def shared(self, key, build) -> DataFrame:
+        """``build()`` once per key when sharing is on (persisted, memory then
+        disk; lost blocks are recomputed from lineage), else a fresh plan."""
+        if self._memo is None:
+            return build()
+        with self._memo_lock:
+            df = self._memo.get(key)
+            if df is None:
+                from pyspark import StorageLevel
+                df = build().persist(StorageLevel.MEMORY_AND_DISK)
+                self._memo[key] = df
+            return df
+
+    def with_sharing(self) -> "Tables":
+        return Tables(self._frames, self.spark, memo={})
+
+    def release_shared(self) -> None:
+        if self._memo:
+            for df in self._memo.values():
+                df.unpersist()
+            self._memo.clear()
 
     def __getitem__(self, name: str) -> DataFrame:
         try:
@@ -50,7 +77,7 @@ class Tables:
     def with_tables(self, **frames: DataFrame) -> "Tables":
         out = dict(self._frames)
         out.update(frames)
-        return Tables(out, self.spark)
+        return Tables(out, self.spark, memo=None if self._memo is None else {})
 
     @classmethod
     def from_paths(cls, spark: SparkSession, paths: dict[str, str]) -> "Tables":
