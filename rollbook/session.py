@@ -29,11 +29,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the shared folder the cluster names in spark.checkpoint.dir; only when
-    it is unset (local tests) fall back to a fresh scratch folder."""
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
+
+    A folder that is already set stays.  Only a local session without the setting
+    (tests, bench) gets a scratch folder of its own, once; any other master without
+    it is refused, since executors on other hosts could not read such a folder.
+    """
     sc = spark.sparkContext
-    d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not (sc.master or "").startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="rollbook-ckpt-")
     sc.setCheckpointDir(d)
     return d
