@@ -20,10 +20,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def kept(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder.  Spark removes
-    the files once the frame is garbage (``cleanCheckpoints``)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Cut the lineage: ``df`` as a table in the shared folder, which any executor can read again."""
+    return written(df, "kept")
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -32,7 +30,10 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read back: compact, column-pruned."""
+    """``df`` written as Parquet in the shared folder and read back: compact and column-pruned.
+    Unlike a checkpoint it hands no constraints, orders or partitionings on, which in loops
+    multiply until planning takes longer than the jobs.  The folder is the cluster's place for
+    such files and is cleaned with its checkpoints."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -32,52 +32,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.llm.common import kept, nullable_key, ship, written
+from rollbook.llm.hashing import BASE, BYTE, CHUNK, mixed, odd, powers, prefix_sums
 
 SAMPLES, BANDS, BITS = 128, 32, 512
 ROWS = SAMPLES // BANDS
 #: Buckets of up to so many nodes give all their pairs.
 SMALL = 8
-#: Nodes of a large bucket outside its largest component that all become hubs, and hubs drawn where there are more.
-FEW, DRAWN = 64, 4
-#: Bytes of text that are hashed at once.
-CHUNK = 1 << 22
+#: Up to so many nodes of a large bucket outside its largest component all become hubs; of more, one
+#: does.  The number grows fourfold each turn: the first turns join what a single hub can join, and the
+#: nodes that really stand alone are then tried together.
+FEW = 8
 LONGS = BITS // 64
 SIGNATURE = "id long, th long, n long, node binary, bands array<long>, sketch array<long>"
 
-_MASK = (1 << 64) - 1
-
-
-def _odd(seed: str) -> int:
-    return int.from_bytes(hashlib.blake2b(seed.encode(), digest_size=8).digest(), "little") | 1
-
-
-_BASE = _odd("base")
-_BYTE = np.array([_odd(f"byte {b}") for b in range(256)], dtype=np.uint64)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
-_MULTIPLY = np.array([_odd(f"multiply {i}") & 0xFFFFFFFF for i in range(SAMPLES)], dtype=np.uint32)[:, None]
-_ADD = np.array([_odd(f"add {i}") & 0xFFFFFFFF for i in range(SAMPLES)], dtype=np.uint32)[:, None]
-_PLACE = np.array([_odd(f"place {i}") for i in range(SAMPLES)], dtype=np.uint64)
-_POWERS: list[np.ndarray] = []
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit values that spreads every bit."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _powers() -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    if not _POWERS:
-        for b in (_BASE, pow(_BASE, -1, 1 << 64)):
-            p = np.full(CHUNK + 1, b, dtype=np.uint64)
-            p[0] = 1
-            _POWERS.append(np.multiply.accumulate(p))
-    return _POWERS[0], _POWERS[1]
+_MULTIPLY = np.array([odd(f"multiply {i}") & 0xFFFFFFFF for i in range(SAMPLES)], dtype=np.uint32)[:, None]
+_ADD = np.array([odd(f"add {i}") & 0xFFFFFFFF for i in range(SAMPLES)], dtype=np.uint32)[:, None]
+_PLACE = np.array([odd(f"place {i}") for i in range(SAMPLES)], dtype=np.uint64)
 
 
 def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -85,10 +59,8 @@ def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     blank = _BLANK[data]
     edge = np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8))
     start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    up, down = _powers()
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[_LOWER[data]] * up[:len(data)], out=total[1:])
-    return start, _mixed((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+    total = prefix_sums(BYTE[_LOWER[data]])
+    return start, mixed((total[end] - total[start]) * powers()[1][start] + (end - start).astype(np.uint64))
 
 
 def _pieces(text: bytes) -> Iterator[bytes]:
@@ -134,7 +106,7 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
     n = min(n, len(words))
     h = np.full(len(words) - n + 1, n, dtype=np.uint64)
     for i in range(n):
-        h = _mixed(h * np.uint64(_BASE) + words[i:len(words) - n + 1 + i])
+        h = mixed(h * np.uint64(BASE) + words[i:len(words) - n + 1 + i])
     return np.unique(h)
 
 
@@ -149,12 +121,12 @@ def min_hashes(s: np.ndarray) -> np.ndarray:
 def band_keys(m: np.ndarray) -> np.ndarray:
     h = np.arange(1, BANDS + 1, dtype=np.uint64)
     for r in range(ROWS):
-        h = _mixed(h * np.uint64(_BASE) + m[r::ROWS])
+        h = mixed(h * np.uint64(BASE) + m[r::ROWS])
     return h.view(np.int64)
 
 
 def odd_sketch(m: np.ndarray) -> np.ndarray:
-    bits = _mixed(m * _PLACE) % np.uint64(BITS)
+    bits = mixed(m * _PLACE) % np.uint64(BITS)
     parity = (np.bincount(bits.astype(np.int64), minlength=BITS) & 1).astype(np.uint8)
     return np.packbits(parity).view(np.int64)
 
@@ -232,59 +204,92 @@ def components(edges: DataFrame, start: DataFrame | None = None) -> DataFrame:
             return labels
 
 
+def _joined(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """``comp`` after more links: only the components that these join are labelled anew."""
+    if links.isEmpty():
+        return comp
+    of = lambda x: comp.select(F.col("node").alias(x), F.col("comp").alias(f"c{x}"))
+    ends = (links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+            .select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")))
+    ends = kept(ends)
+    top = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    every = comp.unionByName(ends.select(F.col("a").alias("node"), F.col("ca").alias("comp"))).unionByName(
+        ends.select(F.col("b").alias("node"), F.col("cb").alias("comp"))).distinct()
+    new = top.select(F.col("node").alias("comp"), F.col("comp").alias("top"))
+    return kept(kept(every).join(new, "comp", "left").select("node", F.coalesce("top", "comp").alias("comp")))
+
+
 def _ordered(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _differ(a: str, b: str) -> Column:
+def _differ(a: Column, b: Column) -> Column:
     """Ones in the XOR of two sketches."""
     total = F.lit(0)
     for i in range(LONGS):
-        total = total + F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i]))
+        total = total + F.bit_count(a[i].bitwiseXOR(b[i]))
     return total
 
 
 class _Links:
-    """Tries pairs of nodes and keeps the links among them."""
+    """Forms pairs of nodes that share a bucket, and keeps the links among them."""
 
     def __init__(self, nodes: DataFrame, sets: DataFrame, percent: int):
         self.nodes, self.sets, self.percent = nodes, sets, percent
         self.cut = sketch_cut(percent / 100)
 
-    def try_pairs(self, pairs: DataFrame) -> DataFrame:
-        side = lambda x: self.nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
-        near = kept(pairs.join(side("a"), "a").join(side("b"), "b")
-                    .filter((F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent)
-                            & (_differ("sa", "sb") <= self.cut))
-                    .select("a", "b"))
+    def side(self, members: DataFrame, x: str) -> DataFrame:
+        """Members with what a pair is judged by."""
+        info = self.nodes.select("node", F.struct("n", "sketch", "bands").alias(f"info_{x}"))
+        return members.join(info, "node").withColumnRenamed("node", x)
+
+    def near(self, x: str, y: str) -> Column:
+        """Whether a pair can be a link by size and sketch, and ``band`` is the first that it shares."""
+        a, b = F.col(f"info_{x}"), F.col(f"info_{y}")
+        first = F.array_position(F.zip_with(a["bands"], b["bands"], lambda p, q: p == q), F.lit(True))
+        return ((F.least(a["n"], b["n"]) * 100 >= F.greatest(a["n"], b["n"]) * self.percent)
+                & (_differ(a["sketch"], b["sketch"]) <= self.cut) & (first == F.col("band")))
+
+    def confirmed(self, pairs: DataFrame) -> DataFrame:
         own = lambda x: self.sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}"))
-        return kept(near.join(own("a"), "a").join(own("b"), "b").select("a", "b", "sa", "sb")
+        return kept(kept(pairs).join(own("a"), "a").join(own("b"), "b").select("a", "b", "sa", "sb")
                     .mapInArrow(_confirm(self.percent), "a binary, b binary"))
 
+    def of_small(self, members: DataFrame) -> DataFrame:
+        m = kept(self.side(members.select("key", "band", "node"), "a"))
+        other = m.select("key", F.col("a").alias("b"), F.col("info_a").alias("info_b"))
+        return m.join(other, "key").filter((F.col("a") < F.col("b")) & self.near("a", "b")).select("a", "b")
+
+    def of_hubs(self, members: DataFrame, hubs: DataFrame) -> DataFrame:
+        """``members``: key, band, node, comp; ``hubs``: key, node, comp."""
+        m = self.side(members.select("key", "band", "node", "comp"), "a")
+        h = self.side(hubs.select("key", "node", F.col("comp").alias("hub_comp")), "b")
+        return (kept(m).join(kept(h), "key").filter((F.col("comp") != F.col("hub_comp")) & self.near("a", "b"))
+                .select(*_ordered("a", "b")).distinct())
+
 
-def _more_pairs(members: DataFrame, comp: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
-    """Of large buckets that still hold several components: pairs of hubs with members of other
-    components, and the members that are left to be tried as hubs (the hubs of this turn taken off).
+def _more_hubs(members: DataFrame, comp: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """Of large buckets that still hold several components: the members left, with ``spent`` set for
+    the hubs of this turn, and these hubs.
 
-    ``members``: key, node, spent (whether it has been a hub of this bucket).
+    Two nodes of different components are done once either was a hub, so a bucket is open
+    while a node that was none lies outside its largest component.
     """
-    m = members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    m = kept(m)
-    # pairs between two spent hubs are done, so a bucket is open while an unspent member lies outside the largest component
+    m = kept(members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
     shares = m.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-    largest = shares.groupBy("key").agg(F.max(F.struct("n", "comp"))["comp"].alias("most"), F.count(F.lit(1)).alias("comps"))
-    open_ = kept(m.join(kept(largest.filter("comps > 1")), "key"))
+    largest = kept(shares.groupBy("key").agg(F.max(F.struct("n", "comp"))["comp"].alias("most"), F.count(F.lit(1)).alias("comps"))
+                   .filter("comps > 1").select("key", "most"))
+    open_ = kept(m.join(largest, "key"))
     outside = open_.filter((F.col("comp") != F.col("most")) & ~F.col("spent"))
-    draw = [F.min(F.struct(F.xxhash64(F.lit(turn), F.lit(j), "node"), F.col("node")))["node"] for j in range(DRAWN)]
-    left = kept(outside.groupBy("key").agg(F.count(F.lit(1)).alias("left"), F.array(*draw).alias("drawn")))
-    hubs = kept(outside.join(left, "key").filter((F.col("left") <= FEW) | F.array_contains("drawn", F.col("node")))
-                .select("key", F.col("node").alias("hub"), F.col("comp").alias("hub_comp")))
-    still = kept(open_.join(left.select("key"), "key", "left_semi")
-                 .join(hubs.select("key", F.col("hub").alias("node"), F.lit(True).alias("now")), ["key", "node"], "left")
-                 .select("key", "node", "comp", (F.col("spent") | F.coalesce("now", F.lit(False))).alias("spent")))
-    pairs = (still.join(hubs, "key").filter(F.col("comp") != F.col("hub_comp"))
-             .select(*_ordered("hub", "node")).distinct())
-    return pairs, still.select("key", "node", "spent")
+    # the draw is by node and turn alone, so neighbouring buckets tend to draw the same hub
+    drawn = F.min(F.struct(F.xxhash64(F.lit(turn), "node"), F.col("node")))["node"]
+    left = kept(outside.groupBy("key").agg(F.count(F.lit(1)).alias("left"), drawn.alias("drawn")))
+    hubs = kept(outside.join(left, "key").filter((F.col("left") <= FEW * 4 ** (turn - 1)) | (F.col("drawn") == F.col("node")))
+                .select("key", "node", "comp"))
+    now = hubs.select("key", "node", F.lit(True).alias("now"))
+    still = (open_.join(left.select("key"), "key", "left_semi").join(now, ["key", "node"], "left")
+             .select("key", "band", "node", "comp", (F.col("spent") | F.coalesce("now", F.lit(False))).alias("spent")))
+    return kept(still), hubs
 
 
 def near_groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -301,41 +306,36 @@ def near_groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: st
                                         F.min("id").alias("least_id"), F.first("n").alias("n"),
                                         F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
     nodes = written(nodes, "nodes")
-    keys = nodes.select("node", F.explode("bands").alias("key"))
+    keys = nodes.select("node", F.posexplode("bands").alias("band", "key")).withColumn("band", F.col("band") + 1)
     shared = kept(keys.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"))
     members = kept(keys.join(shared, "key"))
 
     met = kept(members.select("node").distinct())
-    firsts = nodes.join(met, "node", "left_semi").select("node", "n", "sketch", nullable_key("first.id").alias("k"), "first.th")
-    brief = kept(firsts)
-    wanted = brief.select("node", "k", "th")
-    texts = (source.withColumn("k", nullable_key("id")).join(wanted, ["k", "th"]).dropDuplicates(["node"])
-             if _repeats(rows) else source.withColumn("k", nullable_key("id")).join(wanted, ["k", "th"]))
+    brief = kept(nodes.join(met, "node", "left_semi").select(
+        "node", "n", "sketch", nullable_key("first.id").alias("k"), "first.th",
+        F.transform("bands", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("bands")))
+    texts = source.withColumn("k", nullable_key("id")).join(brief.select("node", "k", "th"), ["k", "th"])
+    if _repeats(rows):
+        texts = texts.dropDuplicates(["node"])
     sets = written(texts.select("node", "text").mapInArrow(_sets(shingle), "node binary, shingles binary"), "sets")
-    links = _Links(brief.select("node", "n", "sketch"), sets, percent)
-
-    small = members.filter(F.col("m") <= SMALL).select("key", "node")
-    all_pairs = (small.join(small.withColumnRenamed("node", "other"), "key").filter(F.col("node") < F.col("other"))
-                 .select(*_ordered("node", "other")))
-    large = kept(members.filter(F.col("m") > SMALL).select("key", "node", F.lit(False).alias("spent")))
-    # the first hub is the same in every bucket of a group of copies: the smallest by one hash of the node
-    hub = large.groupBy("key").agg(F.min(F.struct(F.xxhash64("node"), F.col("node")))["node"].alias("hub"))
-    hub = kept(hub)
-    first = (large.join(hub, "key").filter(F.col("node") != F.col("hub")).select(*_ordered("hub", "node")))
-    edges = links.try_pairs(kept(all_pairs.unionByName(first).distinct()))
-    comp = components(edges)
-    large = (large.join(hub.select("key", F.col("hub").alias("node"), F.lit(True).alias("now")), ["key", "node"], "left")
-             .select("key", "node", F.coalesce("now", F.lit(False)).alias("spent")))
+    links = _Links(brief, sets, percent)
+
+    large = kept(members.filter(F.col("m") > SMALL).select("key", "band", "node", F.col("node").alias("comp")))
+    # the first hub tends to be the same in every bucket of a group of copies: the smallest by a hash of the node
+    hub = kept(large.groupBy("key").agg(F.min(F.struct(F.xxhash64("node"), F.col("node")))["node"].alias("node"))
+               .withColumn("comp", F.col("node")))
+    first = links.of_small(members.filter(F.col("m") <= SMALL)).unionByName(links.of_hubs(large, hub))
+    comp = components(links.confirmed(first.distinct()))
+    now = hub.select("key", "node", F.lit(True).alias("now"))
+    large = (large.join(now, ["key", "node"], "left")
+             .select("key", "band", "node", F.coalesce("now", F.lit(False)).alias("spent")))
     turn = 1
     while True:
-        pairs, large = _more_pairs(large, comp, turn)
-        pairs = kept(pairs)
-        if pairs.isEmpty():
+        large, hubs = _more_hubs(large, comp, turn)
+        if hubs.isEmpty():
             break
-        found = links.try_pairs(pairs)
-        if not found.isEmpty():
-            edges = kept(edges.unionByName(found))
-            comp = components(edges)
+        comp = _joined(comp, links.confirmed(links.of_hubs(large, hubs)))
+        large = large.drop("comp")
         turn += 1
 
     named = nodes.select("node", "least_id", "first").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import exact_dedup, mixing, near_dedup, packing, sharding, topk_search, toxicity, warc_store
+from rollbook.llm import exact_dedup, mixing, near_dedup, packing, sharding, suffix_dedup, topk_search, toxicity, warc_store
 from rollbook.llm.common import shared_path
 
 SHARDS = 24
@@ -29,6 +29,11 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = suffix_dedup.remove_repeats(_read(spark, sf_dir, "documents"), length=400)
+    return r.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def vocabulary() -> str:
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.json")
@@ -79,6 +84,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_near_dedup, op4_pack, op5_warc, op6_shards, op7_topk, op9_exact_dedup,
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_near_dedup, op3_suffix_dedup, op4_pack, op5_warc, op6_shards, op7_topk, op9_exact_dedup,
                                    op10_toxicity)}
 ORACLES: dict[str, str] = {}
