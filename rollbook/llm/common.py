@@ -54,6 +54,17 @@ def ship(spark: SparkSession) -> None:
     sc._rollbook_shipped = True
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores put before it until ``df`` has no such column."""
+    have = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in have:
+            n = "_" + n
+        out.append(n)
+    return out
+
+
 def nullable_key(c: str | Column) -> Column:
     """A string key that is never null and keeps null apart from every text."""
     c = F.col(c) if isinstance(c, str) else c

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import BLANKS, kept
+from rollbook.llm.common import BLANKS, fresh, kept, nullable_key
 
 
 def normalised(text: str = "text") -> Column:
@@ -84,20 +84,15 @@ def _split(docs: DataFrame, id_col: str, text_col: str, odd: DataFrame) -> DataF
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with their own columns."""
-    decided = exact_groups(docs, id_col, text_col)
-    gone = decided.filter(~F.col("id").eqNullSafe(F.col("keep_id")))
-    # a row is gone by its id and hash, so rows that repeat an id with another text are kept apart
-    names = docs.columns
-    keyed = docs.select(*[F.col(f"`{c}`") for c in names], F.unhex(F.md5(normalised(text_col))).alias("_h"))
-    left = gone.select(nullsafe("id").alias("_id"), F.col("h").alias("_h")).distinct()
-    out = keyed.withColumn("_id", nullsafe(f"`{id_col}`")).join(left, ["_id", "_h"], "left_anti")
-    twice = kept(decided.filter((F.col("top") > 1) & F.col("id").eqNullSafe(F.col("keep_id")))
-                 .select(nullsafe("id").alias("_id"), F.col("h").alias("_h")).distinct())
+    decided = kept(exact_groups(docs, id_col, text_col))
+    k, h = fresh(docs, "k", "h")
+    # a row is known by its id and hash, so rows that repeat an id with another text are kept apart
+    key = [nullable_key("id").alias(k), F.col("h").alias(h)]
+    gone = decided.filter(~F.col("id").eqNullSafe(F.col("keep_id"))).select(*key).distinct()
+    keyed = docs.withColumn(k, nullable_key(f"`{id_col}`")).withColumn(h, F.unhex(F.md5(normalised(f"`{text_col}`"))))
+    out = keyed.join(gone, [k, h], "left_anti")
+    twice = kept(decided.filter((F.col("top") > 1) & F.col("id").eqNullSafe(F.col("keep_id"))).select(*key).distinct())
     if not twice.isEmpty():
-        out = (out.join(twice, ["_id", "_h"], "left_anti")
-               .unionByName(out.join(twice, ["_id", "_h"], "left_semi").dropDuplicates(["_id", "_h"])))
-    return out.select(*[F.col(f"`{c}`") for c in names])
-
-
-def nullsafe(c: str) -> Column:
-    return F.coalesce(F.col(c).cast("string"), F.lit("null"))
+        out = (out.join(twice, [k, h], "left_anti")
+               .unionByName(out.join(twice, [k, h], "left_semi").dropDuplicates([k, h])))
+    return out.drop(k, h)

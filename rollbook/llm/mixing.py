@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import WORD, hex_digits, kept, nullable_key, rank_in_group
+from rollbook.llm.common import WORD, fresh, hex_digits, kept, nullable_key, rank_in_group
 
 #: Expected copies are held in 2**-24ths: 3 copies times 10**10 documents stay far below 2**63.
 UNIT_BITS = 24
@@ -127,12 +127,11 @@ def _offsets(placed: DataFrame, goal: DataFrame, seed: int) -> DataFrame:
 def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), max_copies: int = 3, seed: int = 5,
                     id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is taken, with its own columns."""
-    names = docs.columns
+    k, s, h, n, copy = fresh(docs, "k", "s", "h", "n", "copy")
     plan = (mix_sources(docs, weights, max_copies, seed, id_col, text_col, source_col)
-            .filter("copies > 0").select(nullable_key("id").alias("_id"), nullable_key("source").alias("_s"),
-                                         F.col("h").alias("_h"), F.col("copies").alias("_n")))
-    keyed = (docs.withColumn("_id", nullable_key(f"`{id_col}`")).withColumn("_s", nullable_key(f"`{source_col}`"))
-             .withColumn("_h", F.xxhash64(f"`{text_col}`")))
-    return (keyed.join(plan, ["_id", "_s", "_h"])
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
-            .select(*[F.col(f"`{c}`") for c in names]))
+            .filter("copies > 0").select(nullable_key("id").alias(k), nullable_key("source").alias(s),
+                                         F.col("h").alias(h), F.col("copies").cast("int").alias(n)))
+    keyed = (docs.withColumn(k, nullable_key(f"`{id_col}`")).withColumn(s, nullable_key(f"`{source_col}`"))
+             .withColumn(h, F.xxhash64(f"`{text_col}`")))
+    return (keyed.join(kept(plan), [k, s, h]).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n))))
+            .drop(k, s, h, n, copy))

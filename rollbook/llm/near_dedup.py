@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import kept, nullable_key, ship, written
+from rollbook.llm.common import fresh, kept, nullable_key, ship, written
 from rollbook.llm.hashing import BASE, BYTE, CHUNK, mixed, odd, powers, prefix_sums
 
 SAMPLES, BANDS, BITS = 128, 32, 512
@@ -360,10 +360,11 @@ def drop_near_copies(docs: DataFrame, shingle: int = 5, percent: int = 80, id_co
     """The rows of ``docs`` that stay, one of each component, with their own columns.  Texts without
     words all stay."""
     g = kept(near_groups(docs, shingle, percent, id_col, text_col))
+    k, th, one = fresh(docs, "k", "th", "one")
     stay = (g.filter("stays and (node is null or id <=> component_id)")
-            .select(nullable_key("id").alias("_k"), F.col("th").alias("_th"), (F.col("n") > 0).alias("_one")))
-    keyed = docs.withColumn("_k", nullable_key(f"`{id_col}`")).withColumn("_th", F.xxhash64(f"`{text_col}`"))
-    out = keyed.join(kept(stay.distinct()), ["_k", "_th"])
+            .select(nullable_key("id").alias(k), F.col("th").alias(th), (F.col("n") > 0).alias(one)))
+    keyed = docs.withColumn(k, nullable_key(f"`{id_col}`")).withColumn(th, F.xxhash64(f"`{text_col}`"))
+    out = keyed.join(kept(stay.distinct()), [k, th])
     if _repeats(g.filter("stays and n > 0")):
-        out = out.filter("not _one").unionByName(out.filter("_one").dropDuplicates(["_k", "_th"]))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+        out = out.filter(~F.col(one)).unionByName(out.filter(F.col(one)).dropDuplicates([k, th]))
+    return out.drop(k, th, one)

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import exact_dedup, mixing, near_dedup, packing, sharding, suffix_dedup, topk_search, toxicity, warc_store
+from rollbook.llm import exact_dedup, mixing, near_dedup, packing, sharding, suffix_dedup, surrogates, topk_search, toxicity, warc_store
 from rollbook.llm.common import shared_path
 
 SHARDS = 24
@@ -61,6 +61,16 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(e, e.filter(F.col("vec_id") % 100 == 0))
 
 
+#: Key of the surrogates; a deployment passes its own secret.
+SURROGATE_KEY = "rollbook"
+
+
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = surrogates.replace_entities(_read(spark, sf_dir, "documents"), SURROGATE_KEY)
+    kinds = F.array_sort(F.array_distinct(F.transform("entities", surrogates.kind_of)))
+    return r.select("doc_id", "text", F.size("entities").alias("n_entities"), F.array_join(kinds, ",").alias("kinds"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = exact_dedup.exact_groups(_read(spark, sf_dir, "documents"))
     return g.select(F.col("id").alias("doc_id"), "keep_id", "group_size",
@@ -84,6 +94,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_near_dedup, op3_suffix_dedup, op4_pack, op5_warc, op6_shards, op7_topk, op9_exact_dedup,
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_near_dedup, op3_suffix_dedup, op4_pack, op5_warc, op6_shards, op7_topk, op8_surrogates, op9_exact_dedup,
                                    op10_toxicity)}
 ORACLES: dict[str, str] = {}
