@@ -36,7 +36,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     such files and is cleaned with its checkpoints."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete tables of ``written`` or ``kept`` that no frame still to be computed reads."""
+    for df in stored:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ship(spark: SparkSession) -> None:

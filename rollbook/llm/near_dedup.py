@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import fresh, kept, nullable_key, ship, written
+from rollbook.llm.common import discard, fresh, kept, nullable_key, ship, written
 from rollbook.llm.hashing import BASE, BYTE, CHUNK, mixed, odd, powers, prefix_sums
 
 SAMPLES, BANDS, BITS = 128, 32, 512
@@ -39,9 +39,11 @@ ROWS = SAMPLES // BANDS
 #: Buckets of up to so many nodes give all their pairs.
 SMALL = 8
 #: Up to so many nodes of a large bucket outside its largest component all become hubs; of more, one
-#: does.  The number grows fourfold each turn: the first turns join what a single hub can join, and the
+#: does.  The number grows eightfold each turn: the first turns join what a single hub can join, and the
 #: nodes that really stand alone are then tried together.
-FEW = 8
+FEW = 32
+#: Hubs of the first turn, by so many hashes of the node.
+FIRST_HUBS = 4
 LONGS = BITS // 64
 SIGNATURE = "id long, th long, n long, node binary, bands array<long>, sketch array<long>"
 
@@ -199,8 +201,10 @@ def components(edges: DataFrame, start: DataFrame | None = None) -> DataFrame:
         step = kept(labels.join(near, "node").select("node", F.col("comp").alias("old"), F.least("comp", "m").alias("comp")))
         up = step.select(F.col("node").alias("comp"), F.col("comp").alias("top"))
         new = kept(step.join(up, "comp").select("node", "old", F.col("top").alias("comp")))
-        labels = new.select("node", "comp")
+        discard(labels, step)
+        labels = new
         if new.filter(F.col("old") != F.col("comp")).isEmpty():
+            discard(both)
             return labels
 
 
@@ -209,14 +213,15 @@ def _joined(comp: DataFrame, links: DataFrame) -> DataFrame:
     if links.isEmpty():
         return comp
     of = lambda x: comp.select(F.col("node").alias(x), F.col("comp").alias(f"c{x}"))
-    ends = (links.join(of("a"), "a", "left").join(of("b"), "b", "left")
-            .select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")))
-    ends = kept(ends)
+    ends = kept(links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+                .select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")))
     top = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-    every = comp.unionByName(ends.select(F.col("a").alias("node"), F.col("ca").alias("comp"))).unionByName(
-        ends.select(F.col("b").alias("node"), F.col("cb").alias("comp"))).distinct()
+    every = kept(comp.select("node", "comp").unionByName(ends.select(F.col("a").alias("node"), F.col("ca").alias("comp")))
+                 .unionByName(ends.select(F.col("b").alias("node"), F.col("cb").alias("comp"))).distinct())
     new = top.select(F.col("node").alias("comp"), F.col("comp").alias("top"))
-    return kept(kept(every).join(new, "comp", "left").select("node", F.coalesce("top", "comp").alias("comp")))
+    out = kept(every.join(new, "comp", "left").select("node", F.coalesce("top", "comp").alias("comp")))
+    discard(comp, ends, top, every)
+    return out
 
 
 def _ordered(a: str, b: str) -> list[Column]:
@@ -246,17 +251,22 @@ class _Links:
     def near(self, x: str, y: str) -> Column:
         """Whether a pair can be a link by size and sketch, and ``band`` is the first that it shares."""
         a, b = F.col(f"info_{x}"), F.col(f"info_{y}")
-        first = F.array_position(F.zip_with(a["bands"], b["bands"], lambda p, q: p == q), F.lit(True))
+        first = F.when(a["bands"][0] == b["bands"][0], 1)
+        for i in range(1, BANDS):
+            first = first.when(a["bands"][i] == b["bands"][i], i + 1)
         return ((F.least(a["n"], b["n"]) * 100 >= F.greatest(a["n"], b["n"]) * self.percent)
                 & (_differ(a["sketch"], b["sketch"]) <= self.cut) & (first == F.col("band")))
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         own = lambda x: self.sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}"))
-        return kept(kept(pairs).join(own("a"), "a").join(own("b"), "b").select("a", "b", "sa", "sb")
-                    .mapInArrow(_confirm(self.percent), "a binary, b binary"))
+        stored = kept(pairs)
+        out = kept(stored.join(own("a"), "a").join(own("b"), "b").select("a", "b", "sa", "sb")
+                   .mapInArrow(_confirm(self.percent), "a binary, b binary"))
+        discard(stored)
+        return out
 
     def of_small(self, members: DataFrame) -> DataFrame:
-        m = kept(self.side(members.select("key", "band", "node"), "a"))
+        m = self.side(members.select("key", "band", "node"), "a")
         other = m.select("key", F.col("a").alias("b"), F.col("info_a").alias("info_b"))
         return m.join(other, "key").filter((F.col("a") < F.col("b")) & self.near("a", "b")).select("a", "b")
 
@@ -264,32 +274,30 @@ class _Links:
         """``members``: key, band, node, comp; ``hubs``: key, node, comp."""
         m = self.side(members.select("key", "band", "node", "comp"), "a")
         h = self.side(hubs.select("key", "node", F.col("comp").alias("hub_comp")), "b")
-        return (kept(m).join(kept(h), "key").filter((F.col("comp") != F.col("hub_comp")) & self.near("a", "b"))
+        return (m.join(h, "key").filter((F.col("comp") != F.col("hub_comp")) & self.near("a", "b"))
                 .select(*_ordered("a", "b")).distinct())
 
 
-def _more_hubs(members: DataFrame, comp: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
-    """Of large buckets that still hold several components: the members left, with ``spent`` set for
-    the hubs of this turn, and these hubs.
+def _more_hubs(members: DataFrame, spent: DataFrame, comp: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """The members of large buckets that still hold several components, and the hubs of this turn.
 
     Two nodes of different components are done once either was a hub, so a bucket is open
-    while a node that was none lies outside its largest component.
+    while a node outside its largest component is not among ``spent`` (key, node).
     """
-    m = kept(members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+    m = kept(members.select("key", "band", "node").join(comp.select("node", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node")))
     shares = m.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
     largest = kept(shares.groupBy("key").agg(F.max(F.struct("n", "comp"))["comp"].alias("most"), F.count(F.lit(1)).alias("comps"))
                    .filter("comps > 1").select("key", "most"))
-    open_ = kept(m.join(largest, "key"))
-    outside = open_.filter((F.col("comp") != F.col("most")) & ~F.col("spent"))
+    outside = kept(m.join(largest, "key").filter(F.col("comp") != F.col("most")).select("key", "node", "comp")
+                   .join(spent, ["key", "node"], "left_anti"))
     # the draw is by node and turn alone, so neighbouring buckets tend to draw the same hub
     drawn = F.min(F.struct(F.xxhash64(F.lit(turn), "node"), F.col("node")))["node"]
     left = kept(outside.groupBy("key").agg(F.count(F.lit(1)).alias("left"), drawn.alias("drawn")))
-    hubs = kept(outside.join(left, "key").filter((F.col("left") <= FEW * 4 ** (turn - 1)) | (F.col("drawn") == F.col("node")))
+    hubs = kept(outside.join(left, "key").filter((F.col("left") <= FEW * 8 ** (turn - 1)) | (F.col("drawn") == F.col("node")))
                 .select("key", "node", "comp"))
-    now = hubs.select("key", "node", F.lit(True).alias("now"))
-    still = (open_.join(left.select("key"), "key", "left_semi").join(now, ["key", "node"], "left")
-             .select("key", "band", "node", "comp", (F.col("spent") | F.coalesce("now", F.lit(False))).alias("spent")))
-    return kept(still), hubs
+    still = kept(m.join(left.select("key"), "key", "left_semi").select("key", "band", "node", "comp"))
+    discard(m, largest, outside, left)
+    return still, hubs
 
 
 def near_groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -321,24 +329,30 @@ def near_groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: st
     links = _Links(brief, sets, percent)
 
     large = kept(members.filter(F.col("m") > SMALL).select("key", "band", "node", F.col("node").alias("comp")))
-    # the first hub tends to be the same in every bucket of a group of copies: the smallest by a hash of the node
-    hub = kept(large.groupBy("key").agg(F.min(F.struct(F.xxhash64("node"), F.col("node")))["node"].alias("node"))
-               .withColumn("comp", F.col("node")))
-    first = links.of_small(members.filter(F.col("m") <= SMALL)).unionByName(links.of_hubs(large, hub))
-    comp = components(links.confirmed(first.distinct()))
-    now = hub.select("key", "node", F.lit(True).alias("now"))
-    large = (large.join(now, ["key", "node"], "left")
-             .select("key", "band", "node", F.coalesce("now", F.lit(False)).alias("spent")))
+    # the first hubs tend to be the same in every bucket of a group of copies: the smallest by hashes of the node
+    drawn = [F.min(F.struct(F.xxhash64(F.lit(-i), "node"), F.col("node")))["node"] for i in range(FIRST_HUBS)]
+    hubs = kept(large.groupBy("key").agg(F.array(*drawn).alias("drawn"))
+                .select("key", F.explode(F.array_distinct("drawn")).alias("node")).withColumn("comp", F.col("node")))
+    first = links.of_small(members.filter(F.col("m") <= SMALL)).unionByName(links.of_hubs(large, hubs))
+    found = links.confirmed(first.distinct())
+    comp = components(found)
+    spent = kept(hubs.select("key", "node"))
+    discard(hubs, found, members)
     turn = 1
     while True:
-        large, hubs = _more_hubs(large, comp, turn)
+        still, hubs = _more_hubs(large, spent, comp, turn)
+        discard(large)
         if hubs.isEmpty():
             break
-        comp = _joined(comp, links.confirmed(links.of_hubs(large, hubs)))
-        large = large.drop("comp")
+        found = links.confirmed(links.of_hubs(still, hubs))
+        comp = _joined(comp, found)
+        used = kept(spent.unionByName(hubs.select("key", "node")))
+        discard(found, spent, hubs)
+        spent, large = used, still
         turn += 1
+    discard(still, hubs, spent, sets, brief, met)
 
-    named = nodes.select("node", "least_id", "first").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    named = nodes.select("node", "least_id", "first").join(comp.select("node", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     named = kept(named)
     order = F.struct(F.col("least_id").isNull().alias("a"), F.col("least_id").alias("b"), F.col("node").alias("c"))
     least = kept(named.groupBy("comp").agg(F.min("least_id").alias("component_id"), F.min(order)["c"].alias("stays")))
