@@ -34,16 +34,16 @@ from pyspark.sql import functions as F
 from rollbook.llm.common import discard, fresh, kept, nullable_key, ship, written
 from rollbook.llm.hashing import BASE, BYTE, CHUNK, mixed, odd, powers, prefix_sums
 
-SAMPLES, BANDS, BITS = 128, 32, 512
-ROWS = SAMPLES // BANDS
+#: MinHash samples, bands, samples in a band, and bits of the sketch of all samples.
+SAMPLES, BANDS, ROWS, BITS = 128, 32, 4, 512
 #: Buckets of up to so many nodes give all their pairs.
 SMALL = 8
-#: Up to so many nodes of a large bucket outside its largest component all become hubs; of more, one
-#: does.  The number grows eightfold each turn: the first turns join what a single hub can join, and the
+#: Up to so many nodes of a large bucket outside its largest component all become hubs; of more, DRAWN
+#: do.  The number grows fourfold each turn: the first turns join what a few hubs can join, and the
 #: nodes that really stand alone are then tried together.
-FEW = 32
+FEW, DRAWN = 32, 8
 #: Hubs of the first turn, by so many hashes of the node.
-FIRST_HUBS = 4
+FIRST_HUBS = 8
 LONGS = BITS // 64
 SIGNATURE = "id long, th long, n long, node binary, bands array<long>, sketch array<long>"
 
@@ -123,7 +123,7 @@ def min_hashes(s: np.ndarray) -> np.ndarray:
 def band_keys(m: np.ndarray) -> np.ndarray:
     h = np.arange(1, BANDS + 1, dtype=np.uint64)
     for r in range(ROWS):
-        h = mixed(h * np.uint64(BASE) + m[r::ROWS])
+        h = mixed(h * np.uint64(BASE) + m[r:BANDS * ROWS:ROWS])
     return h.view(np.int64)
 
 
@@ -133,12 +133,12 @@ def odd_sketch(m: np.ndarray) -> np.ndarray:
     return np.packbits(parity).view(np.int64)
 
 
-def sketch_cut(similarity: float, sigmas: float = 5.0) -> int:
+def sketch_cut(similarity: float, sigmas: float = 4.5) -> int:
     """Ones in the XOR that a pair of at least this similarity stays below, but for ``sigmas``
     standard deviations in each of its two sources of noise."""
     differ = SAMPLES * (1 - similarity) + sigmas * math.sqrt(SAMPLES * similarity * (1 - similarity))
     ones = BITS / 2 * (1 - (1 - 2 / BITS) ** (2 * differ))
-    return math.ceil(ones + sigmas * math.sqrt(BITS) / 4)
+    return math.ceil(ones + sigmas * math.sqrt(BITS) / 4)  # the bits' own noise is about a quarter of the root
 
 
 def _signatures(n: int):
@@ -172,6 +172,27 @@ def _sets(n: int):
     return run
 
 
+def _exploded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, shingle) rows of sets."""
+    for batch in batches:
+        for node, s in zip(batch.column(0), batch.column(1), strict=True):
+            values = np.frombuffer(s.as_buffer(), dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array([node.as_py()] * len(values), pa.binary()), pa.array(values)],
+                                             names=["node", "shingle"])
+
+
+def _shared_sizes(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """``node``, ``alone``: how many of a node's shingles no other of ``nodes`` has.
+
+    No link among these nodes can rest on such a shingle, so two nodes share at most what
+    is left of the smaller: a bound that keeps a text with many words of its own from being
+    compared with every member of a large group.
+    """
+    rows = sets.join(nodes, "node", "left_semi").select("node", "shingles").mapInArrow(_exploded, "node binary, shingle long")
+    single = (rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("node")).filter("c = 1"))
+    return single.groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+
+
 def _confirm(percent: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -243,18 +264,20 @@ class _Links:
         self.nodes, self.sets, self.percent = nodes, sets, percent
         self.cut = sketch_cut(percent / 100)
 
-    def side(self, members: DataFrame, x: str) -> DataFrame:
+    def side(self, members: DataFrame, x: str, bounded: bool = False) -> DataFrame:
         """Members with what a pair is judged by."""
-        info = self.nodes.select("node", F.struct("n", "sketch", "bands").alias(f"info_{x}"))
+        info = self.nodes.select("node", F.struct("n", "sketch", "bands", *["most"] * bounded).alias(f"info_{x}"))
         return members.join(info, "node").withColumnRenamed("node", x)
 
-    def near(self, x: str, y: str) -> Column:
-        """Whether a pair can be a link by size and sketch, and ``band`` is the first that it shares."""
+    def near(self, x: str, y: str, bounded: bool = False) -> Column:
+        """Whether a pair can be a link by size (or by what it can share at most) and sketch, and
+        ``band`` is the first that it shares."""
         a, b = F.col(f"info_{x}"), F.col(f"info_{y}")
         first = F.when(a["bands"][0] == b["bands"][0], 1)
         for i in range(1, BANDS):
             first = first.when(a["bands"][i] == b["bands"][i], i + 1)
-        return ((F.least(a["n"], b["n"]) * 100 >= F.greatest(a["n"], b["n"]) * self.percent)
+        both = F.least(*(v["most" if bounded else "n"] for v in (a, b)))
+        return ((both * 100 >= (a["n"] + b["n"] - both) * self.percent)
                 & (_differ(a["sketch"], b["sketch"]) <= self.cut) & (first == F.col("band")))
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
@@ -272,9 +295,9 @@ class _Links:
 
     def of_hubs(self, members: DataFrame, hubs: DataFrame) -> DataFrame:
         """``members``: key, band, node, comp; ``hubs``: key, node, comp."""
-        m = self.side(members.select("key", "band", "node", "comp"), "a")
-        h = self.side(hubs.select("key", "node", F.col("comp").alias("hub_comp")), "b")
-        return (m.join(h, "key").filter((F.col("comp") != F.col("hub_comp")) & self.near("a", "b"))
+        m = self.side(members.select("key", "band", "node", "comp"), "a", True)
+        h = self.side(hubs.select("key", "node", F.col("comp").alias("hub_comp")), "b", True)
+        return (m.join(h, "key").filter((F.col("comp") != F.col("hub_comp")) & self.near("a", "b", True))
                 .select(*_ordered("a", "b")).distinct())
 
 
@@ -291,9 +314,9 @@ def _more_hubs(members: DataFrame, spent: DataFrame, comp: DataFrame, turn: int)
     outside = kept(m.join(largest, "key").filter(F.col("comp") != F.col("most")).select("key", "node", "comp")
                    .join(spent, ["key", "node"], "left_anti"))
     # the draw is by node and turn alone, so neighbouring buckets tend to draw the same hub
-    drawn = F.min(F.struct(F.xxhash64(F.lit(turn), "node"), F.col("node")))["node"]
+    drawn = F.array(*[F.min(F.struct(F.xxhash64(F.lit(turn), F.lit(i), "node"), F.col("node")))["node"] for i in range(DRAWN)])
     left = kept(outside.groupBy("key").agg(F.count(F.lit(1)).alias("left"), drawn.alias("drawn")))
-    hubs = kept(outside.join(left, "key").filter((F.col("left") <= FEW * 8 ** (turn - 1)) | (F.col("drawn") == F.col("node")))
+    hubs = kept(outside.join(left, "key").filter((F.col("left") <= FEW * 4 ** (turn - 1)) | F.array_contains("drawn", F.col("node")))
                 .select("key", "node", "comp"))
     still = kept(m.join(left.select("key"), "key", "left_semi").select("key", "band", "node", "comp"))
     discard(m, largest, outside, left)
@@ -314,17 +337,22 @@ def near_groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: st
                                         F.min("id").alias("least_id"), F.first("n").alias("n"),
                                         F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
     nodes = written(nodes, "nodes")
+    plain = written(rows.select("id", "th", "n", "node"), "rows")
+    discard(rows)
     keys = nodes.select("node", F.posexplode("bands").alias("band", "key")).withColumn("band", F.col("band") + 1)
     shared = kept(keys.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"))
     members = kept(keys.join(shared, "key"))
+    discard(shared)
 
     met = kept(members.select("node").distinct())
     brief = kept(nodes.join(met, "node", "left_semi").select(
         "node", "n", "sketch", nullable_key("first.id").alias("k"), "first.th",
         F.transform("bands", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("bands")))
     texts = source.withColumn("k", nullable_key("id")).join(brief.select("node", "k", "th"), ["k", "th"])
-    if _repeats(rows):
+    if _repeats(plain):
         texts = texts.dropDuplicates(["node"])
+    ids = written(nodes.select("node", "least_id"), "ids")
+    discard(nodes)
     sets = written(texts.select("node", "text").mapInArrow(_sets(shingle), "node binary, shingles binary"), "sets")
     links = _Links(brief, sets, percent)
 
@@ -333,6 +361,8 @@ def near_groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: st
     drawn = [F.min(F.struct(F.xxhash64(F.lit(-i), "node"), F.col("node")))["node"] for i in range(FIRST_HUBS)]
     hubs = kept(large.groupBy("key").agg(F.array(*drawn).alias("drawn"))
                 .select("key", F.explode(F.array_distinct("drawn")).alias("node")).withColumn("comp", F.col("node")))
+    links.nodes = brief = kept(brief.join(_shared_sizes(large.select("node").distinct(), sets), "node", "left")
+                               .withColumn("most", F.col("n") - F.coalesce("alone", F.lit(0))))
     first = links.of_small(members.filter(F.col("m") <= SMALL)).unionByName(links.of_hubs(large, hubs))
     found = links.confirmed(first.distinct())
     comp = components(found)
@@ -352,12 +382,11 @@ def near_groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: st
         turn += 1
     discard(still, hubs, spent, sets, brief, met)
 
-    named = nodes.select("node", "least_id", "first").join(comp.select("node", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    named = ids.join(comp.select("node", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     named = kept(named)
     order = F.struct(F.col("least_id").isNull().alias("a"), F.col("least_id").alias("b"), F.col("node").alias("c"))
     least = kept(named.groupBy("comp").agg(F.min("least_id").alias("component_id"), F.min(order)["c"].alias("stays")))
     of_node = kept(named.join(least, "comp").select("node", "component_id", (F.col("node") == F.col("stays")).alias("stays")))
-    plain = rows.select("id", "th", "n", "node")
     return (plain.filter(F.col("node").isNotNull()).join(of_node, "node")
             .select("id", "th", "n", "node", "component_id", "stays")
             .unionByName(plain.filter(F.col("node").isNull())
