@@ -1,14 +1,15 @@
 """Toxicity by a subsequence string-kernel support vector machine with Nystroem landmarks.
 
 The instances are words, the labelled sentences and documents are bags of them: a bag
-is toxic as far as its most toxic word is.  Two words are compared by the gap-weighted
+is toxic as far as its most toxic words are.  Two words are compared by the gap-weighted
 subsequence kernel (all common subsequences of ORDER letters, each weighted by DECAY to
 the power of the lengths it spans), so letters put between those of an insult, or other
 endings, lower the value but do not bring it to zero.  Letters
 stretched over blanks ("i d i o t") are read as one word too.  Landmarks are the words
 and word beginnings that tell toxic from clean training documents best; the Nystroem
 map of the kernel to them is the input of a squared-hinge SVM, and a logistic curve
-turns the largest decision value of a document into a score.
+turns the TOP largest decision values of a document into a score: one word that can be
+nothing else is enough, words that also occur in clean texts need company.
 
 Training uses a bounded sample of labelled rows (PER_CLASS documents of each label,
 chosen by hash among texts of at most MAX_TRAIN_CHARS characters); scoring reads every
@@ -22,6 +23,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 import zlib
@@ -52,6 +54,8 @@ SHARED = 0.7
 #: Scores of words that a worker remembers.
 REMEMBER = 200_000
 THRESHOLD = 0.7
+#: Different words of a document that count.
+TOP = 3
 
 _STRETCHED = re.compile(r"(?<!\S)\w(?:[\s.*_-]\w){3,}(?!\S)")
 _EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "…“”„«»¿¡’‘"
@@ -150,8 +154,8 @@ def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
 class Model:
     """Landmarks, weights on kernel values, and the logistic curve; small enough to ship."""
 
-    def __init__(self, landmarks: list[str], weights: np.ndarray, bias: float, slope: float, shift: float):
-        self.landmarks, self.weights, self.bias, self.slope, self.shift = landmarks, weights, bias, slope, shift
+    def __init__(self, landmarks: list[str], weights: np.ndarray, bias: float, slopes: list[float], shift: float):
+        self.landmarks, self.weights, self.bias, self.slopes, self.shift = landmarks, weights, bias, slopes, shift
 
     def decide(self, words: list[str]) -> np.ndarray:
         """Decision values; a word with marks inside counts with or without them, whichever is more toxic."""
@@ -162,8 +166,15 @@ class Model:
             value[marked] = np.maximum(value[marked], kernel(bare, self.landmarks) @ self.weights + self.bias)
         return value
 
-    def score(self, decision: float) -> float:
-        return 1 / (1 + math.exp(-max(-50.0, min(50.0, self.slope * decision + self.shift))))
+    def score(self, decisions: Iterable[float]) -> float:
+        """Score of a bag with these decision values."""
+        top = _top(decisions, self.bias)
+        x = sum(a * v for a, v in zip(self.slopes, top, strict=True)) + self.shift
+        return 1 / (1 + math.exp(-max(-50.0, min(50.0, x))))
+
+
+def _top(decisions: Iterable[float], bias: float) -> list[float]:
+    return (heapq.nlargest(TOP, set(decisions)) + [bias] * TOP)[:TOP]
 
 
 def _choose_landmarks(toxic: Counter, clean: Counter, n_toxic: int, n_clean: int) -> list[str]:
@@ -204,17 +215,18 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3)
     return w[:-1], float(w[-1])
 
 
-def _logistic(d: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a logistic curve over decision values, with smoothed labels."""
+def _logistic(d: np.ndarray, y: np.ndarray) -> tuple[list[float], float]:
+    """Slopes and shift of a logistic curve over decision values, with smoothed labels."""
     pos, neg = y.sum(), (1 - y).sum()
     t = np.where(y == 1, (pos + 1) / (pos + 2), 1 / (neg + 2))
-    x = np.stack([d, np.ones_like(d)], axis=1)
-    w = np.zeros(2)
+    x = np.hstack([d, np.ones((len(d), 1))])
+    n = x.shape[1]
+    w = np.zeros(n)
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
-        h = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + 1e-3 * np.eye(2)
-        w += np.linalg.solve(h, x.T @ (t - p) - 1e-3 * w)
-    return float(w[0]), float(w[1])
+        h = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + 1e-2 * np.eye(n)
+        w += np.linalg.solve(h, x.T @ (t - p) - 1e-2 * w)
+    return w[:-1].tolist(), float(w[-1])
 
 
 def fit(texts: list[str], toxic: list[int]) -> Model | None:
@@ -239,9 +251,9 @@ def fit(texts: list[str], toxic: list[int]) -> Model | None:
     strange = _disturbed(sure)
     weights, bias, value_of = _witnesses(k, kernel(landmarks, landmarks), members, y, clean_df, tell,
                                          kernel(strange, landmarks))
-    best = np.array([value_of[b].max() if len(b) else bias for b in members])
-    slope, shift = _logistic(best, y.astype(float))
-    return Model(landmarks, weights, bias, slope, shift)
+    best = np.array([_top(value_of[b].tolist(), bias) for b in members])
+    slopes, shift = _logistic(best, y.astype(float))
+    return Model(landmarks, weights, bias, slopes, shift)
 
 
 def _disturbed(words: list[str]) -> list[str]:
@@ -317,7 +329,7 @@ def _score(model: Model | None):
                 for a in range(0, len(new), 50_000):
                     some = new[a:a + 50_000]
                     known.update(zip(some, model.decide(some).tolist(), strict=True))
-                scores = [model.score(max(map(known.__getitem__, t), default=model.bias)) for t in texts]
+                scores = [model.score(map(known.__getitem__, t)) for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["id", "score"])
     return run
 
