@@ -33,6 +33,15 @@ SIS_TABLES = (
 )
 
 
+#: Windows that a run can set itself.
+WINDOWS = {
+    "window_start": dt.date.fromisoformat, "window_end": dt.date.fromisoformat,
+    "year_window_start": dt.date.fromisoformat, "year_window_end": dt.date.fromisoformat,
+    "behavior_start": dt.date.fromisoformat, "behavior_end": dt.date.fromisoformat,
+    "transcript_end_year": int,
+}
+
+
 def parse(argv=None):
     ap = argparse.ArgumentParser(description=__doc__)
     src = ap.add_mutually_exclusive_group(required=True)
@@ -42,6 +51,9 @@ def parse(argv=None):
     ap.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today())
     ap.add_argument("--end-year", type=int, default=None, help="school year by its end year")
     ap.add_argument("--school-id", type=int, default=None)
+    for name, kind in WINDOWS.items():
+        ap.add_argument("--" + name.replace("_", "-"), type=kind, default=None,
+                        help="instead of what follows from the school year")
     ap.add_argument("--batches", default="1,2,3,4")
     ap.add_argument("--only", default="", help="comma-separated extract names")
     ap.add_argument("--parallelism", type=int, default=4, help="extracts submitted at once")
@@ -63,7 +75,8 @@ def main(argv=None) -> int:
     else:
         tables = Tables.from_catalog(spark, a.database, SIS_TABLES)
     end_year = a.end_year or (a.as_of.year + 1 if a.as_of.month >= 7 else a.as_of.year)
-    params = ExtractParams(as_of_date=a.as_of, active_end_year=end_year, school_id=a.school_id)
+    windows = {k: v for k in WINDOWS if (v := getattr(a, k)) is not None}
+    params = ExtractParams.for_run(a.as_of, end_year, a.school_id, **windows)
     names = {n for n in a.only.split(",") if n} or None
     unknown = (names or set()) - set(all_extracts())
     if unknown:

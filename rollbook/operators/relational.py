@@ -176,10 +176,9 @@ def listagg_ordered(df: DataFrame, keys: Sequence[str], value: Column, order: Se
 
 def net_balance(df: DataFrame, keys: Sequence[str], amount: str, precision=(10, 2),
                 alias: str = "amount") -> DataFrame:
-    """Decimal sum per key, zero totals dropped.  Cast to decimal *before*
-    summing: exact and associative, so partial aggregation is safe."""
+    """Decimal sum per key, rounded once, zero totals dropped.  Addends keep eight
+    places as decimals: exact and associative, so partial aggregation is safe."""
     p, s = precision
     return (df.groupBy(*keys)
-            .agg(F.sum(col(amount).cast(f"decimal(18,{s})")).alias(alias))
-            .where(F.col(alias) != 0)
-            .withColumn(alias, F.col(alias).cast(f"decimal({p},{s})")))
+            .agg(F.sum(col(amount).cast("decimal(28,8)")).cast(f"decimal({p},{s})").alias(alias))
+            .where(F.col(alias) != 0))

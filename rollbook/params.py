@@ -30,6 +30,19 @@ class ExtractParams:
     transcript_end_year: int = 1999
     extra: dict = field(default_factory=dict)
 
+    @classmethod
+    def for_run(cls, as_of: _dt.date, end_year: int, school_id: int | None = None, **windows) -> ExtractParams:
+        """Parameters of a production run: every window follows from the date and the school
+        year, unless ``windows`` names another.  A school year runs from 1 July to 1 July."""
+        start, end = _dt.date(end_year - 1, 7, 1), _dt.date(end_year, 7, 1)
+        derived = {
+            "window_start": _dt.date(end_year - 2, 7, 1), "window_end": end,
+            "year_window_start": start, "year_window_end": end,
+            "behavior_start": start, "behavior_end": end - _dt.timedelta(days=1),
+            "transcript_end_year": end_year,
+        }
+        return cls(as_of_date=as_of, active_end_year=end_year, school_id=school_id, **{**derived, **windows})
+
     @property
     def requested_yearid(self) -> int:
         return yearid_of(self.active_end_year)

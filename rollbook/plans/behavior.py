@@ -27,9 +27,9 @@ def behavior_event_type(t: Tables, p: ExtractParams) -> DataFrame:
     """Distinct event names from log subjects (or LOGTYPE_<id>) and from the
     'logtype' category of the code table (U03, a distinct union)."""
     log_names = t.log.select(F.substring(F.trim(first_nonblank(
-        "subject", default=F.concat(F.lit("LOGTYPE_"), col("logtypeid").cast("string")))), 1, 100).alias("eventName"))
+        "subject", default=F.concat_ws("", F.lit("LOGTYPE_"), col("logtypeid").cast("string")))), 1, 100).alias("eventName"))
     gen_names = t.gen.where(col("cat") == "logtype").select(F.substring(F.trim(first_nonblank(
-        "value", "name", default=F.concat(F.lit("LOGTYPE_"), col("id").cast("string")))), 1, 100).alias("eventName"))
+        "value", "name", default=F.concat_ws("", F.lit("LOGTYPE_"), col("id").cast("string")))), 1, 100).alias("eventName"))
     src = log_names.unionByName(gen_names).distinct()
     return finalize(src, ["eventName"], [required("eventName", blank=True)])
 

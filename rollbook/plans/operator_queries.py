@@ -106,16 +106,10 @@ def calendar_schedule_pairs_q(t):
 def listagg_parts_by_order(t):
     """Parts of each order joined by '; ' in line order (keys repeat, so the
     order includes every column that can differ)."""
-    from rollbook.functions.text import clip
     li = t.lineitem
     folded = R.listagg_ordered(li, ["l_orderkey"], F.concat(F.lit("P"), col("l_partkey").cast("string")),
-                               [col("l_linenumber"), col("l_partkey"), col("l_suppkey")], alias="parts",
-                               max_chars=LIST_WIDTH)
-    return folded.select("l_orderkey", clip("parts", LIST_WIDTH).alias("parts"))
-
-
-# a folded list is a VARCHAR of at most 4000 characters in the source system
-LIST_WIDTH = 4000
+                               [col("l_linenumber"), col("l_partkey"), col("l_suppkey")], alias="parts")
+    return folded.select("l_orderkey", "parts")
 
 
 @op("pivot_by_priority")

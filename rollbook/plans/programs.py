@@ -222,14 +222,13 @@ def attendance_aggregate(t: Tables, p: ExtractParams) -> DataFrame:
 def fee(t: Tables, p: ExtractParams) -> DataFrame:
     """Net amount per (student, fee name, fee type), zero balances dropped."""
     sc = students_in_section_year(t)
-    # eager partial sum on the transaction table (sums are decomposable): many
-    # payments of one student for one fee collapse before any join or shuffle
-    ft = t.fee_transaction.groupBy("feeid", "studentid") \
-        .agg(F.sum(col("neteffect").cast("decimal(18,2)")).alias("neteffect"))
-    f = t.fee.select(col("id").alias("_fid"), F.substring("fee_type_name", 1, 60).alias("feeName"),
-                     F.substring("fee_type_id", 1, 10).alias("feeType"))
-    j = ft.join(f, ft["feeid"] == f["_fid"]).join(sc, ft["studentid"] == sc["_sid"])
-    g = net_balance(j, ["studentNum", "feeName", "feeType"], "neteffect", alias="amount")
+    # scope first, then one sum; groups are the whole name and type, cut only on the way out
+    ft = t.fee_transaction.select("feeid", "studentid", "neteffect").join(sc, col("studentid") == sc["_sid"])
+    f = t.fee.select(col("id").alias("_fid"), "fee_type_name", "fee_type_id")
+    j = ft.join(f, ft["feeid"] == f["_fid"])
+    g = net_balance(j, ["studentNum", "fee_type_name", "fee_type_id"], "neteffect", alias="amount") \
+        .select("studentNum", F.substring("fee_type_name", 1, 60).alias("feeName"),
+                F.substring("fee_type_id", 1, 10).alias("feeType"), "amount")
     rules = [required("feeName", blank=True), required("feeType", blank=True), required("amount")]
     out = finalize(g, ["studentNum", "feeName", "feeType", "amount"], rules)
     return empty_fallback(out, {"row_type": "ERROR", "validation_errors": "ERR_NO_SOURCE_ROWS_FOR_FEE; "})

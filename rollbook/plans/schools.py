@@ -338,7 +338,7 @@ def _cycle_day_map(t: Tables, with_abbreviation: bool = True) -> DataFrame:
     return t.cycle_day.join(dimension(skm), col("schoolid") == col("school_key")).select(
         col("schoolNum").alias("_cs"), col("year_id").alias("_cy"), col("id").alias("_cid"),
         col("letter").alias("_cletter"),
-        first_nonblank(*names, default=F.concat(F.lit("Day "), col("day_number").cast("string")))
+        first_nonblank(*names, default=F.concat_ws("", F.lit("Day "), col("day_number").cast("string")))
         .alias("scheduleName"))
 
 
@@ -363,7 +363,7 @@ def period(t: Tables, p: ExtractParams) -> DataFrame:
     skm = drop_sentinels(number_map(t), "schoolNum", bad=(SENTINEL,))
     pt = t.period.join(dimension(skm), col("schoolid") == col("school_key")).select(
         col("schoolid").alias("_pts"), col("id").alias("_pid"), col("period_number").alias("periodSeq"),
-        first_nonblank("abbreviation", "name", default=F.concat(F.lit("P"), col("period_number").cast("string")))
+        first_nonblank("abbreviation", "name", default=F.concat_ws("", F.lit("P"), col("period_number").cast("string")))
         .alias("periodName"))
     years = yr.select(col("yearid").alias("_yy")).distinct()
     bt = (t.bell_schedule.join(dimension(years), col("year_id") == col("_yy"), "left_semi")
@@ -398,7 +398,7 @@ def section_schedule(t: Tables, p: ExtractParams) -> DataFrame:
          .join(sm, col("_msec") == col("id"))
          .join(dimension(cdm), (col("_cs") == col("schoolNum")) & (col("_cy") == col("_ty"))
                & (col("_cletter") == col("cycle_day_letter"))))
-    pname = F.concat(F.lit("P"), col("period_number").cast("string"))
+    pname = F.concat_ws("", F.lit("P"), col("period_number").cast("string"))
     return j.select(F.lit("CLEAN").alias("row_type"), col("schoolNum").cast("string").alias("schoolNum"),
                     "calendarName", col("course_number").alias("courseNum"),
                     col("section_number").cast("string").alias("sectionNum"),
