@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import exact_dedup, mixing, near_dedup, packing, sharding, suffix_dedup, surrogates, topk_search, toxicity, warc_store
+from rollbook.llm import exact_dedup, mixing, near_dedup, oracle, packing, sharding, suffix_dedup, surrogates, topk_search, toxicity, warc_store
 from rollbook.llm.common import shared_path
 
 SHARDS = 24
@@ -96,4 +96,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_near_dedup, op3_suffix_dedup, op4_pack, op5_warc, op6_shards, op7_topk, op8_surrogates, op9_exact_dedup,
                                    op10_toxicity)}
-ORACLES: dict[str, str] = {}
+ORACLES = oracle.SQL
