@@ -10,7 +10,9 @@
    each pair across components has been tried.  No bucket is collected, and no pair
    inside a component is tried.
 3. Pairs pass the size ratio and the sketch first; what is left is confirmed on the full
-   sets.  Confirmed links alone make the components.
+   sets.  Confirmed links alone make the components.  Members of large buckets that the first
+   hubs leave open also pass an exact bound of the shingles that two sets can share, so a
+   group of texts just below the threshold does not send nearly all its pairs to the full sets.
 
 The chance that a pair at similarity 0.8 shares no band is (1 - 0.8**4)**32 < 1e-7.
 
@@ -45,6 +47,8 @@ FEW, DRAWN = 32, 8
 #: Hubs of the first turn, by so many hashes of the node.
 FIRST_HUBS = 8
 LONGS = BITS // 64
+#: Cells that the shingles of a node in an open bucket are counted in.
+CELLS = 2048
 SIGNATURE = "id long, th long, n long, node binary, bands array<long>, sketch array<long>"
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -181,6 +185,26 @@ def _exploded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["node", "shingle"])
 
 
+def _cells(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, cells, over) rows of sets: bitmaps of the cells with one and with two shingles or
+    more, one after the other, and how many shingles lie in cells beyond their second."""
+    for batch in batches:
+        cells, over = [], []
+        for v in batch.column(1):
+            s = np.frombuffer(v.as_buffer(), dtype=np.uint64)
+            count = np.bincount((s % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+            cells.append(np.packbits(np.concatenate([count >= 1, count >= 2])).view(np.int64))
+            over.append(int(np.maximum(count - 2, 0).sum()))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cells, pa.list_(pa.int64())), pa.array(over, pa.int64())],
+                                         names=["node", "cells", "over"])
+
+
+def _shared_at_most(a: Column, b: Column) -> Column:
+    """What two sets can share: in each cell no more than the smaller of their counts."""
+    ones = F.aggregate(F.zip_with(a["cells"], b["cells"], lambda x, y: F.bit_count(x.bitwiseAND(y))), F.lit(0), lambda t, x: t + x)
+    return ones + F.least(a["over"], b["over"])
+
+
 def _shared_sizes(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     """``node``, ``alone``: how many of a node's shingles no other of ``nodes`` has.
 
@@ -264,21 +288,30 @@ class _Links:
         self.nodes, self.sets, self.percent = nodes, sets, percent
         self.cut = sketch_cut(percent / 100)
 
-    def side(self, members: DataFrame, x: str, bounded: bool = False) -> DataFrame:
+    def bounds(self) -> list[str]:
+        """The columns of the bounds that hold among members of large buckets."""
+        return [c for c in ("most", "cells", "over") if c in self.nodes.columns]
+
+    def side(self, members: DataFrame, x: str, *bounds: str) -> DataFrame:
         """Members with what a pair is judged by."""
-        info = self.nodes.select("node", F.struct("n", "sketch", "bands", *["most"] * bounded).alias(f"info_{x}"))
+        info = self.nodes.select("node", F.struct("n", "sketch", "bands", *bounds).alias(f"info_{x}"))
         return members.join(info, "node").withColumnRenamed("node", x)
 
-    def near(self, x: str, y: str, bounded: bool = False) -> Column:
+    def can_link(self, a: Column, b: Column, both: Column) -> Column:
+        """Whether sets that share ``both`` shingles are a link."""
+        return both * 100 >= (a["n"] + b["n"] - both) * self.percent
+
+    def near(self, x: str, y: str, *bounds: str) -> Column:
         """Whether a pair can be a link by size (or by what it can share at most) and sketch, and
         ``band`` is the first that it shares."""
         a, b = F.col(f"info_{x}"), F.col(f"info_{y}")
         first = F.when(a["bands"][0] == b["bands"][0], 1)
         for i in range(1, BANDS):
             first = first.when(a["bands"][i] == b["bands"][i], i + 1)
-        both = F.least(*(v["most" if bounded else "n"] for v in (a, b)))
-        return ((both * 100 >= (a["n"] + b["n"] - both) * self.percent)
-                & (_differ(a["sketch"], b["sketch"]) <= self.cut) & (first == F.col("band")))
+        most = "most" if "most" in bounds else "n"
+        out = (self.can_link(a, b, F.least(a[most], b[most]))
+               & (_differ(a["sketch"], b["sketch"]) <= self.cut) & (first == F.col("band")))
+        return out & self.can_link(a, b, _shared_at_most(a, b)) if "cells" in bounds else out
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         own = lambda x: self.sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}"))
@@ -295,9 +328,10 @@ class _Links:
 
     def of_hubs(self, members: DataFrame, hubs: DataFrame) -> DataFrame:
         """``members``: key, band, node, comp; ``hubs``: key, node, comp."""
-        m = self.side(members.select("key", "band", "node", "comp"), "a", True)
-        h = self.side(hubs.select("key", "node", F.col("comp").alias("hub_comp")), "b", True)
-        return (m.join(h, "key").filter((F.col("comp") != F.col("hub_comp")) & self.near("a", "b", True))
+        bounds = self.bounds()
+        m = self.side(members.select("key", "band", "node", "comp"), "a", *bounds)
+        h = self.side(hubs.select("key", "node", F.col("comp").alias("hub_comp")), "b", *bounds)
+        return (m.join(h, "key").filter((F.col("comp") != F.col("hub_comp")) & self.near("a", "b", *bounds))
                 .select(*_ordered("a", "b")).distinct())
 
 
@@ -374,6 +408,11 @@ def near_groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: st
         discard(large)
         if hubs.isEmpty():
             break
+        if turn == 1:  # the open buckets of later turns are among these
+            open_sets = sets.join(still.select("node").distinct(), "node", "left_semi").select("node", "shingles")
+            links.nodes = sharp = kept(brief.join(open_sets.mapInArrow(_cells, "node binary, cells array<long>, over long"), "node"))
+            discard(brief)
+            brief = sharp
         found = links.confirmed(links.of_hubs(still, hubs))
         comp = _joined(comp, found)
         used = kept(spent.unionByName(hubs.select("key", "node")))

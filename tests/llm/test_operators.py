@@ -133,15 +133,33 @@ def test_near_groups(docs, empty):
     assert near_dedup.near_groups(empty, 2).count() == 0
 
 
-def test_near_large_buckets(spark):
-    """A group larger than any bucket that gives all pairs, with members that link to a few others only."""
+def test_near_bound(spark):
+    """The bound of what two sets share is never too small, and tight for sets far smaller than the cells."""
+    r = np.random.default_rng(4)
+    every = r.integers(0, 2**63, 40_000, dtype=np.uint64)
+    sets = [np.unique(r.choice(every[:m], n)) for m, n in ((300, 200), (300, 250), (40_000, 30_000), (40_000, 9_000), (5, 5))]
+    rows = spark.createDataFrame([(bytes([i]), s.tobytes()) for i, s in enumerate(sets)], "node binary, shingles binary")
+    side = lambda x: (rows.mapInArrow(near_dedup._cells, "node binary, cells array<long>, over long")
+                      .select(F.col("node").alias(x), F.struct("cells", "over").alias(f"info_{x}")))
+    got = (side("a").crossJoin(side("b")).select("a", "b", near_dedup._shared_at_most(F.col("info_a"), F.col("info_b")).alias("most")))
+    for a, b, most in got.collect():
+        x, y = sets[a[0]], sets[b[0]]
+        shared = len(np.intersect1d(x, y))
+        assert shared <= most <= min(len(x), len(y))
+        assert max(len(x), len(y)) > 300 or most <= shared + 10
+
+
+@pytest.mark.parametrize("other", ["new{}x{}", "beta{1}"])
+def test_near_large_buckets(spark, other):
+    """A group larger than any bucket that gives all pairs, with members that link to a few others only:
+    words of their own or words that others have too."""
     base = sentence(9, 120).split()
     rows = []
     for i in range(60):
         r = np.random.default_rng(i)
         w = list(base)
         for at in r.choice(120, int(r.integers(0, 22)), replace=False):
-            w[at] = f"new{i}x{at}"
+            w[at] = other.format(i, at)
         rows.append((i, " ".join(w)))
     _, group = near_brute(rows, 2)
     got = {r.id: r.component_id for r in near_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()}
