@@ -75,7 +75,8 @@ def school_key_map(schools: DataFrame, keys: Sequence[str] = ("id", "dcid", "sch
                    extra: Sequence[str] = (), dedupe: bool = True) -> DataFrame:
     """Long map ``school_key -> schoolNum, schoolName`` over any of the
     school's identifiers.  ``dedupe`` removes the double rows that appear when
-    two identifiers of one school coincide (SURVEY 8.6)."""
+    two identifiers of one school coincide (SURVEY 8.6); rows that differ in any
+    column all stay."""
     keyed = schools.select(
         F.explode(F.array(*[col(k).cast("long") for k in keys])).alias("school_key"),
         col("school_number").cast("long").alias("schoolNum"),
@@ -83,7 +84,7 @@ def school_key_map(schools: DataFrame, keys: Sequence[str] = ("id", "dcid", "sch
         *[col(e) for e in extra],
     )
     if dedupe:
-        keyed = keyed.dropDuplicates(["school_key", "schoolNum"])
+        keyed = keyed.distinct()
     return keyed
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from rollbook.functions.text import clip, col, no_show, pad_grade
 from rollbook.operators.quality import finalize, required_all
-from rollbook.operators.relational import dedup_first, dimension, overlap_join, union_tagged
+from rollbook.operators.relational import dedup_first, dimension, overlap_join, union_all, union_tagged
 from rollbook.params import ExtractParams
 from rollbook.plans.common import key_map, yearrec_calendars
 from rollbook.plans.registry import extract
@@ -105,8 +105,12 @@ K_CODE = "K"
 
 @extract("gradeLevel", batch=1, order=("schoolNum", "calendarName", "gradeSeq"))
 def grade_level(t: Tables, p: ExtractParams) -> DataFrame:
-    """Distinct (school, calendar, grade) over all enrolments."""
-    src = enrolment_sources(t).where(col("grade_level_raw").isNotNull())
+    """Distinct (school, calendar, grade) over all enrolments, also those of
+    history rows whose student is gone."""
+    spell = [col("entrydate").alias("startDate_raw"), col("exitdate").alias("endDate_raw"),
+             col("grade_level").alias("grade_level_raw"), col("schoolid").cast("long").alias("school_key")]
+    src = union_all([t.students.select(*spell), t.reenrollments.select(*spell)]) \
+        .where(col("startDate_raw").isNotNull() & col("grade_level_raw").isNotNull())
     m = enrolments_with_calendar(t, src).where(col("schoolNum") != 999999)
     g = m.select(col("schoolNum").alias("s"), col("calendarName_raw").alias("c"),
                  col("grade_level_raw").cast("string").alias("g")).distinct()

@@ -58,8 +58,8 @@ def race_lists(t: Tables) -> DataFrame:
 
 
 def email_lists(t: Tables) -> DataFrame:
-    """A person's e-mails by priority (NULL priority last, then address)."""
-    pea = t.personemailaddressassoc
+    """The e-mails of each row of person by priority (NULL priority last, then address)."""
+    pea = t.personemailaddressassoc.join(t.person.select(col("id").alias("personid")), "personid", "left_semi")
     e = t.emailaddress.select(col("emailaddressid").alias("_eid"), "emailaddress")
     j = pea.join(e, pea["emailaddressid"] == e["_eid"])
     pr = col("emailaddresspriorityorder")

@@ -19,6 +19,12 @@ def test_info_row_when_role_source_empty(spark, tables):
         ("INFO", None, "NO_SOURCE_ROWS_IN_PS.INCIDENT_PERSON_ROLE")]
 
 
+def test_grade_levels_of_history_without_students(spark, tables):
+    moved = tables.reenrollments.withColumn("studentid", -F.col("studentid"))
+    want = set(EX["gradeLevel"](tables, P).collect())
+    assert want and set(EX["gradeLevel"](tables.with_tables(reenrollments=moved), P).collect()) == want
+
+
 def test_info_row_with_count_when_actions_empty(spark, tables):
     empty = tables.incident_action.limit(0)
     rows = EX["behaviorResolutionType"](tables.with_tables(incident_action=empty), P).collect()

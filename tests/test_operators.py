@@ -85,6 +85,8 @@ def test_school_key_map_dedupes_coinciding_ids(spark):
     sch = spark.createDataFrame([(7, 7, 7, "Same")], "id int, dcid int, school_number int, name string")
     assert R.school_key_map(sch).count() == 1
     assert R.school_key_map(sch, dedupe=False).count() == 3
+    two = spark.createDataFrame([(1, 1, 100, "A"), (2, 2, 100, "B")], "id int, dcid int, school_number int, name string")
+    assert {r.schoolName for r in R.school_key_map(two).where("school_key = 100").collect()} == {"A", "B"}
 
 
 def test_check_unique_and_reference(spark):
