@@ -6,6 +6,9 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass, field
 
+# school years of the behaviour window (behaviorIncident.sql, behaviorResolution.sql)
+BEHAVIOR_YEARS = 8
+
 
 @dataclass(frozen=True)
 class ExtractParams:
@@ -33,12 +36,14 @@ class ExtractParams:
     @classmethod
     def for_run(cls, as_of: _dt.date, end_year: int, school_id: int | None = None, **windows) -> ExtractParams:
         """Parameters of a production run: every window follows from the date and the school
-        year, unless ``windows`` names another.  A school year runs from 1 July to 1 July."""
+        year, unless ``windows`` names another.  A school year runs from 1 July to 1 July.
+        The behaviour window is as long as the scripts' own: BEHAVIOR_YEARS school years, the
+        last of them ``end_year`` (2019-07-01 to 2027-06-30 for 2027)."""
         start, end = _dt.date(end_year - 1, 7, 1), _dt.date(end_year, 7, 1)
         derived = {
             "window_start": _dt.date(end_year - 2, 7, 1), "window_end": end,
             "year_window_start": start, "year_window_end": end,
-            "behavior_start": start, "behavior_end": end - _dt.timedelta(days=1),
+            "behavior_start": _dt.date(end_year - BEHAVIOR_YEARS, 7, 1), "behavior_end": end - _dt.timedelta(days=1),
             "transcript_end_year": end_year,
         }
         return cls(as_of_date=as_of, active_end_year=end_year, school_id=school_id, **{**derived, **windows})

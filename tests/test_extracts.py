@@ -148,6 +148,46 @@ def test_job_cli_runs(spark, tables, tmp_path):
     assert glob.glob(str(tmp_path / "out" / "batch2" / "roster" / "part-*"))
 
 
+def test_derived_windows():
+    """The windows of school year 2027 are those that the scripts hard-code for it."""
+    import datetime as dt
+    p = ExtractParams.for_run(dt.date(2026, 8, 15), 2027)
+    assert (p.behavior_start, p.behavior_end) == (dt.date(2019, 7, 1), dt.date(2027, 6, 30))
+    assert (p.window_start, p.window_end) == (dt.date(2025, 7, 1), dt.date(2027, 7, 1))
+    assert (p.year_window_start, p.year_window_end) == (dt.date(2026, 7, 1), dt.date(2027, 7, 1))
+    assert p.transcript_end_year == 2027
+    assert ExtractParams.for_run(dt.date(2026, 8, 15), 2027, behavior_start=dt.date(2026, 7, 1)).behavior_start == dt.date(2026, 7, 1)
+
+
+def test_job_on_shifted_data(spark, tables, tmp_path):
+    """Data moved to 2026 give a job run without window options the rows that the fixture's own windows give."""
+    from pyspark.sql import functions as F
+    from rollbook import job
+    behaviour = {"log", "incident", "incident_action"}  # from 2024; all else is from the 1990s
+    root = tmp_path / "sis"
+    for n in job.SIS_TABLES:
+        df = tables[n]
+        for f in df.schema.fields:
+            c, kind = F.col(f.name), f.dataType.typeName()
+            if kind in ("date", "timestamp", "timestamp_ntz"):
+                years = F.make_ym_interval(F.lit(2 if n in behaviour else 28))
+                df = df.withColumn(f.name, (c + years).cast(f.dataType))
+            elif f.name == "yearid" or (n == "terms" and f.name == "id") or f.name == "termid":
+                df = df.withColumn(f.name, (c + F.when(c < 0, -1).otherwise(1) * (28 if f.name == "yearid" else 2800)).cast(f.dataType))
+        df.write.parquet(str(root / n))
+    names = ("roster", "transcript", "behaviorIncident", "behaviorResolution")
+    assert job.main(["--tables", str(root), "--out", str(tmp_path / "out"), "--as-of", "2026-10-15",
+                     "--end-year", "2027", "--only", ",".join(names)]) == 0
+
+    def rows(name):
+        return sum(len(open(f).read().splitlines()) - 1 for f in glob.glob(str(tmp_path / "out" / "batch*" / name / "part-*")))
+
+    for n in ("roster", "transcript", "behaviorIncident"):
+        assert rows(n) == all_extracts()[n](tables, ExtractParams()).count() > 0, n
+    out = "".join(open(f).read() for f in glob.glob(str(tmp_path / "out" / "batch*" / "behaviorResolution" / "part-*")))
+    assert rows("behaviorResolution") == tables.incident_action.count() and "ERR_OUTSIDE_7YR_WINDOW" not in out
+
+
 def test_plans_have_no_keyless_joins_or_python(spark):
     """Every registered query plans without cartesian products, nested-loop
     joins or Python evaluation: all joins are keyed, all expressions JVM-side."""
