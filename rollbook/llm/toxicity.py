@@ -4,7 +4,8 @@ The instances are words, the labelled sentences and documents are bags of them:
 is toxic as far as its most toxic words are.  Two words are compared by the gap-weighted
 subsequence kernel (all common subsequences of ORDER letters, each weighted by DECAY to
 the power of the lengths it spans), so letters put between those of an insult, or other
-endings, lower the value but do not bring it to zero.  Letters
+endings, lower the value but do not bring it to zero; a word that holds a whole landmark with
+one letter put in counts as if it held it without (``_one_gap``).  Letters
 stretched over blanks ("i d i o t") are read as one word too.  Landmarks are the words
 and word beginnings that tell toxic from clean training documents best; the Nystroem
 map of the kernel to them is the input of a squared-hinge SVM, and a logistic curve
@@ -118,9 +119,36 @@ def kernel_pairs(s: np.ndarray, t: np.ndarray) -> np.ndarray:
     return total
 
 
+def _one_gap(s: np.ndarray, t: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Whether s begins with all letters of t (a start mark and ``lengths`` - 1 letters) and one letter put
+    between two of them: the common subsequence of t's full length, with one gap of one."""
+    n = t.shape[0]
+    wide = np.zeros((n + 1, s.shape[1]), dtype=s.dtype)
+    wide[:min(n + 1, len(s))] = s[:n + 1]
+    at = np.arange(n)[:, None]
+    past = at >= lengths[None, :]
+    before = np.logical_and.accumulate((wide[:n] == t) | past, axis=0)
+    after = np.logical_and.accumulate(((wide[1:] == t) | past)[::-1], axis=0)[::-1]
+    inside = (at[1:] >= 2) & ~past[1:]
+    return (before[:-1] & after[1:] & inside).any(axis=0)
+
+
+def _growth(marks: list[str]) -> np.ndarray:
+    """The most by which an unlike letter put inside multiplies the own kernel value of each."""
+    out = np.ones(len(marks), dtype=np.float32)
+    made = [(j, m[:a] + "\ue000" + m[a:]) for j, m in enumerate(marks) for a in range(2, len(m))]
+    if made:
+        owner, codes = np.array([j for j, _ in made]), _codes([x for _, x in made])
+        plain = _codes(marks)
+        whole = np.maximum(kernel_pairs(plain, plain), 1e-12)
+        np.maximum.at(out, owner, kernel_pairs(codes, codes) / whole[owner])
+    return out
+
+
 def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     """For each word, the share of each landmark's own kernel value that the two have in common, to
-    POWER; 0 where too few letters are shared.  What a word has besides lowers it little."""
+    POWER; 0 where too few letters are shared.  What a word has besides lowers it little, one letter
+    put inside the landmark not at all."""
     out = np.zeros((len(words), len(landmarks)), dtype=np.float32)
     if not words or not landmarks:
         return out
@@ -130,8 +158,9 @@ def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     marks = ["^" + x[:PART] for x in landmarks]
     have, need = _letters(strings), _letters(marks)
     least = np.ceil(np.bitwise_count(need) * SHARED)
-    sizes = np.array([len(p) for p in strings])
+    sizes, mark_sizes = np.array([len(p) for p in strings]), np.array([len(m) for m in marks])
     whole = np.maximum(kernel_pairs(_codes(marks), _codes(marks)), 1e-12)
+    growth = _growth(marks)
     for length in np.unique(sizes):  # words of like length together, so little is padded
         at = np.flatnonzero(sizes == length)
         for a in range(0, len(at), 20_000):
@@ -146,7 +175,10 @@ def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
             for b in range(0, len(w), 50_000):
                 wb, mb = w[b:b + 50_000], m[b:b + 50_000]
                 share = kernel_pairs(codes[:, wb], mark_codes[:, mb]) / whole[mb]
-                share = np.minimum(share / np.maximum(own[wb] / whole[mb], 1) ** LONGER, 1)
+                longer = own[wb] / whole[mb]
+                gap = _one_gap(codes[:, wb], mark_codes[:, mb], mark_sizes[mb]) & (share < 1)
+                share, longer = np.where(gap, 1, share), np.where(gap, longer / growth[mb], longer)
+                share = np.minimum(share / np.maximum(longer, 1) ** LONGER, 1)
                 np.maximum.at(out, (owner[some[wb]], mb), share ** POWER)
     return out
 

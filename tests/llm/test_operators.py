@@ -310,6 +310,60 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.score(empty, model).count() == 0
 
 
+def one_letter_in(word, seed):
+    """The word with one letter, unlike its neighbours, put inside."""
+    r = np.random.default_rng(seed)
+    at = int(r.integers(1, len(word)))
+    return word[:at] + str(r.choice([c for c in "abcdefghijklmnopqrstuvwxyz" if c not in word[at - 1:at + 1]])) + word[at:]
+
+
+def test_toxicity_inserted_letter():
+    """One letter at any inner place of an insult, none of them seen in training."""
+    clean = [sentence(i, 60) for i in range(120)]
+    bad = [f"{sentence(1000 + i, 30)} {['grobnak', 'vilescu' + 'abcdefgh'[i % 8]][i % 2]} {sentence(2000 + i, 30)}" for i in range(60)]
+    model = toxicity.fit(clean + bad, [0] * 120 + [1] * 60)
+    changed = [w[:at] + x + w[at:] for w in ("grobnak", "vilescu") for at in range(1, len(w)) for x in "qxzw"]
+    low = [w for w in changed if model.score(model.decide([w])) < toxicity.THRESHOLD]
+    assert not low
+    assert max(model.score(model.decide([w])) for w in ("alpha3", "alxpha3", "epsiqlon7", "grob", "vile")) < 0.3
+
+
+def test_toxicity_held_out_inserted_letter():
+    """Held-out documents of sf0.1 with one letter put into every word that tells toxic from clean in training."""
+    import pyarrow.parquet as pq
+    sf = "/root/testdata/sf0.1"
+    read = lambda t, *c: pq.read_table(f"{sf}/{t}.parquet", columns=list(c)).to_pydict()
+    d, y = read("documents", "doc_id", "text"), read("labels", "doc_id", "toxic")
+    text, label = dict(zip(d["doc_id"], d["text"], strict=True)), dict(zip(y["doc_id"], y["toxic"], strict=True))
+    learnt = [i for i in label if zlib.crc32(str(i).encode()) % 3 != 1 and text.get(i)]
+    some = [i for k in (0, 1) for i in [j for j in learnt if label[j] == k][:toxicity.PER_CLASS]]
+    model = toxicity.fit([text[i] for i in some], [label[i] for i in some])
+    df = [collections.Counter(w for i in some if label[i] == k for w in set(toxicity.words_of(text[i]))) for k in (0, 1)]
+    n = [sum(label[i] == k for i in some) for k in (0, 1)]
+
+    def z(w):
+        p = (df[0][w] + df[1][w]) / sum(n)
+        return (df[1][w] / n[1] - df[0][w] / n[0]) / np.sqrt(p * (1 - p) * (1 / n[0] + 1 / n[1]) + 1e-12)
+
+    tell = {w for w in df[1] if len(w) >= 4 and z(w) > 2.5}
+    held = [i for i in label if zlib.crc32(str(i).encode()) % 3 == 1 and text.get(i)]
+    changed = {}
+    for i in held:
+        words = text[i].lower().split()
+        if label[i] and any(w.strip(toxicity._EDGES) in tell for w in words):
+            changed[i] = " ".join(one_letter_in(w, [i, k]) if w.strip(toxicity._EDGES) in tell else w for k, w in enumerate(words))
+    bags = {("plain", i): set(toxicity.words_of(text[i])) for i in held} | {("changed", i): set(toxicity.words_of(t)) for i, t in changed.items()}
+    words = sorted(set().union(*bags.values()))
+    value = dict(zip(words, model.decide(words).tolist(), strict=True))
+    out = {k: model.score(value[w] for w in b) >= toxicity.THRESHOLD for k, b in bags.items()}
+    hits = {"changed": sum(out["changed", i] for i in changed), "of": len(changed),
+            "plain": sum(out["plain", i] for i in held if label[i]), "toxic": sum(label[i] == 1 for i in held),
+            "rejected": sum(out["plain", i] for i in held if not label[i]), "clean": sum(label[i] == 0 for i in held)}
+    print(hits)
+    assert len(changed) > 100 and hits["changed"] >= 0.9 * len(changed), hits
+    assert hits["rejected"] <= 0.01 * hits["clean"], hits
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
