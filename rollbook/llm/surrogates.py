@@ -38,10 +38,13 @@ NAMES = {
 #: Syllables of made-up surnames (fixed values).
 SYLLABLES = ("ba be bor dal den dor fal fen gar gol hal hel jor kal ken lar len lin mar mel mor nar nel nor pal per ran rel "
              "ros san sel sor tal tel tor van ver vil wen zan").split()
-#: Kinds in the order in which they are tried at a place.
+#: A secret's value.  With fewer letters and digits there may be too few others to draw a distinct one from.
+SECRET = r"(?=(?:[+/_.\-!@#$%^*?~=]*[0-9A-Za-z]){4})[0-9A-Za-z+/_.\-!@#$%^*?~=]{6,}"
+#: Kinds in the order in which they are tried at a place.  What a secret's keyword has before it
+#: (access_token, DB_PASSWORD) is no part of the entity.
 PATTERNS = {
     "aws_key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b",
-    "secret": r"""(?i:\b(?:password|passwd|pwd|token|secret|api[_-]?key)\b["']?[ ]?[=:][ ]?["']?[0-9A-Za-z+/_.\-]{8,}["']?)""",
+    "secret": rf"""(?i:(?:password|passwd|pwd|token|secret(?:[_-]?(?:access[_-]?)?key)?|api[_-]?key)\b["']?[ ]?[=:][ ]?["']?{SECRET}["']?)""",
     "email": r"[0-9\p{L}][0-9\p{L}._%+\-]*@[0-9\p{L}](?:[0-9\p{L}\-]*[0-9\p{L}])?(?:\.[0-9\p{L}](?:[0-9\p{L}\-]*[0-9\p{L}])?)+",
     "iban": r"\b[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){3,7}(?:[ ]?[A-Z0-9]{1,3})?\b(?<=[0-9][ A-Z0-9]{0,8})",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])",
@@ -52,7 +55,7 @@ PATTERNS = {
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: A text without any of this has no entity.
-HINT = rf"[0-9@]|(?i:password|passwd|pwd|token|secret|key)|\b(?:{MALE}|{FEMALE}|{OTHER})\b"
+HINT = rf"[0-9@]|AKIA|ASIA|(?i:password|passwd|pwd|token|secret|key)|\b(?:{MALE}|{FEMALE}|{OTHER})\b"
 #: Alphabets whose letters are drawn from themselves: first and last code point.
 ALPHABETS = [(0x30, 0x39), (0x61, 0x7A), (0x41, 0x5A), (0xE0, 0xF6), (0xC0, 0xD6), (0x3B1, 0x3C9), (0x391, 0x3A1),
              (0x430, 0x44F), (0x410, 0x42F), (0x5D0, 0x5EA), (0x627, 0x64A), (0x904, 0x939), (0x3041, 0x3096),
