@@ -189,11 +189,14 @@ def test_job_on_shifted_data(spark, tables, tmp_path):
 
 
 def test_plans_have_no_keyless_joins_or_python(spark):
-    """Every registered query plans without cartesian products, nested-loop
+    """Every query of the extracts plans without cartesian products, nested-loop
     joins or Python evaluation: all joins are keyed, all expressions JVM-side."""
     import __spark_entry__ as E
+    corpus = {k for m in E._corpus() for k in m.QUERIES}
     bad = {}
     for name, fn in E.queries().items():
+        if name in corpus:
+            continue
         plan = fn(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         hits = [w for w in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
                             "FlatMapGroupsInPandas", "MapInPandas") if w in plan]
