@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import exact_dedup, mixing, near_dedup, oracle, packing, sharding, suffix_dedup, surrogates, topk_search, toxicity, warc_store
+from rollbook.llm import exact_dedup, merkle, mixing, near_dedup, oracle, packing, sharding, suffix_dedup, surrogates, topk_search, toxicity, warc_store
 from rollbook.llm.common import shared_path
 
 SHARDS = 24
@@ -94,6 +94,17 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _read(spark, sf_dir, "documents")
+    row = lambda text: merkle.leaf(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    hit = F.coalesce(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 5 == 0, F.lit(False))
+    leaves = d.select(F.col("doc_id").alias("id"), "source", row(F.col("text")).alias("leaf"), F.when(hit, row(lower)).alias("tampered"))
+    m = merkle.manifest(leaves.select("id", "source", "leaf", F.coalesce("tampered", "leaf").alias("claim")))
+    return m.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.col("proof").alias("proof_sha256"),
+                    F.col("folded").alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"))
+
+
 QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_near_dedup, op3_suffix_dedup, op4_pack, op5_warc, op6_shards, op7_topk, op8_surrogates, op9_exact_dedup,
-                                   op10_toxicity)}
+                                   op10_toxicity, op13_manifest)}
 ORACLES = oracle.SQL
