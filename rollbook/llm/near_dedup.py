@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.llm.common import discard, fresh, kept, nullable_key, ship, written
-from rollbook.llm.hashing import BASE, BYTE, CHUNK, mixed, odd, powers, prefix_sums
+from rollbook.llm.hashing import BASE, mixed, odd, run_hashes
 
 #: MinHash samples, bands, samples in a band, and bits of the sketch of all samples.
 SAMPLES, BANDS, ROWS, BITS = 128, 32, 4, 512
@@ -51,8 +51,6 @@ LONGS = BITS // 64
 CELLS = 2048
 SIGNATURE = "id long, th long, n long, node binary, bands array<long>, sketch array<long>"
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _MULTIPLY = np.array([odd(f"multiply {i}") & 0xFFFFFFFF for i in range(SAMPLES)], dtype=np.uint32)[:, None]
@@ -60,49 +58,9 @@ _ADD = np.array([odd(f"add {i}") & 0xFFFFFFFF for i in range(SAMPLES)], dtype=np
 _PLACE = np.array([odd(f"place {i}") for i in range(SAMPLES)], dtype=np.uint64)
 
 
-def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and 64-bit hashes of the words of one chunk; A-Z count as a-z."""
-    blank = _BLANK[data]
-    edge = np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8))
-    start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    total = prefix_sums(BYTE[_LOWER[data]])
-    return start, mixed((total[end] - total[start]) * powers()[1][start] + (end - start).astype(np.uint64))
-
-
-def _pieces(text: bytes) -> Iterator[bytes]:
-    """Pieces of a text of about CHUNK bytes, cut at blanks; a word longer than that is a word of its own pieces."""
-    at = 0
-    while len(text) - at > CHUNK:
-        cut = max(text.rfind(c, at + 1, at + CHUNK) for c in b" \n\t\r\x0b\x0c")
-        cut = cut if cut > 0 else at + CHUNK
-        yield text[at:cut]
-        at = cut
-    yield text[at:]
-
-
 def _all_words(texts: list[str | None]) -> Iterator[np.ndarray]:
-    """Word hashes of each text; short texts are hashed together."""
-    waiting: list[bytes] = []
-    size = 0
-
-    def flush() -> Iterator[np.ndarray]:
-        offsets = np.cumsum([0, *(len(t) + 1 for t in waiting)])
-        start, words = _word_hashes(np.frombuffer(b"\n".join(waiting), dtype=np.uint8))
-        cuts = np.searchsorted(start, offsets[:-1])
-        yield from np.split(words, cuts[1:])
-
-    for t in texts:
-        b = (t or "").encode("utf-8", "surrogatepass")
-        if waiting and size + len(b) + 1 > CHUNK // 4:
-            yield from flush()
-            waiting, size = [], 0
-        if len(b) + 1 > CHUNK // 4:
-            yield np.concatenate([_word_hashes(np.frombuffer(p, dtype=np.uint8))[1] for p in _pieces(b)])
-        else:
-            waiting.append(b)
-            size += len(b) + 1
-    if waiting:
-        yield from flush()
+    """Word hashes of each text."""
+    return run_hashes(texts, ~_BLANK)
 
 
 def shingles(words: np.ndarray, n: int) -> np.ndarray:
