@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import bitsliced_search, exact_dedup, merkle, mixing, near_dedup, oracle, packing, sharding, suffix_dedup, surrogates, topk_search, toxicity, warc_store
+from rollbook.llm import bitsliced_search, divergence, exact_dedup, merkle, mixing, near_dedup, oracle, packing, sharding, suffix_dedup, surrogates, topk_search, toxicity, warc_store
 from rollbook.llm.common import shared_path
 
 SHARDS = 24
@@ -94,6 +94,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = divergence.quality(_read(spark, sf_dir, "documents"))
+    return q.select(F.col("id").alias("doc_id"), *divergence.COUNTS, "base_failed", "kept", "char_distance", "word_distance")
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = bitsliced_search.search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), k=10)
     return r.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
@@ -111,5 +116,5 @@ def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_near_dedup, op3_suffix_dedup, op4_pack, op5_warc, op6_shards, op7_topk, op8_surrogates, op9_exact_dedup,
-                                   op10_toxicity, op12_lexical_search, op13_manifest)}
+                                   op10_toxicity, op11_quality, op12_lexical_search, op13_manifest)}
 ORACLES = oracle.SQL

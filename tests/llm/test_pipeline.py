@@ -35,5 +35,5 @@ def test_empty(spark):
 def test_registered():
     import __spark_entry__ as E
     names = set(E.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in names
