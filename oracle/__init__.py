@@ -21,4 +21,6 @@ def all_sql() -> dict[str, str]:
     if "quality_summary_enrollment" not in SQL:
         operators._later()
         operators._render_later()
+        operators._files_later()
+        operators._integrity_later()
     return {k: with_views(v) for k, v in SQL.items()}

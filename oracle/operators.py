@@ -115,3 +115,98 @@ def _render_later():
         return ("'\"' || replace(replace(replace(coalesce(" + v + ", ''), chr(13), ' '), chr(10), ' '), '\"', '\"\"') || '\"'")
     parts = " || ',' || ".join(q(c, c in ("startDate", "endDate")) for c in ENROLLMENT_COLS)
     register("render_enrollment_lines", "WITH " + _wrap("enrollment", "e") + f"\nSELECT {parts} AS line FROM e")
+
+
+# ---- whole files: (ordinal, line) -------------------------------------------------
+
+def _text(c: str, kind: str) -> str:
+    if kind.startswith("%"):
+        return f"strftime({c}, '{kind}')"
+    if kind == "decimal":  # no zeros after the last decimal and none before the point
+        v = f"CAST({c} AS VARCHAR)"
+        v = f"CASE WHEN contains({v}, '.') THEN rtrim(rtrim({v}, '0'), '.') ELSE {v} END"
+        return f"CASE WHEN starts_with({v}, '0.') THEN substr({v}, 2) WHEN starts_with({v}, '-0.') THEN '-' || substr({v}, 3) ELSE {v} END"
+    return f"CAST({c} AS VARCHAR)"
+
+
+def _quoted(v: str, flat: bool = True) -> str:
+    v = f"coalesce({v}, '')"
+    if flat:
+        v = f"replace(replace({v}, chr(13), ' '), chr(10), ' ')"
+    return "'\"' || replace(" + v + ", '\"', '\"\"') || '\"'"
+
+
+def _file(key: str, extract: str, header: str, fields: list[tuple[str, str, str]], order: str) -> None:
+    """``fields``: (column, how it is written, its kind)."""
+    parts = []
+    for c, how, kind in fields:
+        v = _text(f'"{c}"', kind)
+        parts.append({"q": _quoted(v), "stored": _quoted(v, flat=False), "bare": f"coalesce({v}, '')",
+                      "optional": f"CASE WHEN {v} IS NULL THEN '' ELSE {_quoted(v)} END"}[how])
+    line = " || ',' || ".join(f"({x})" for x in parts)
+    register(key, "WITH " + _wrap(extract, "e") + f""",
+l AS (SELECT e.*, {line} AS line FROM e)
+SELECT CAST(row_number() OVER (ORDER BY {order}line) AS BIGINT) AS ordinal, line FROM l
+UNION ALL SELECT CAST(0 AS BIGINT), '{header}'""")
+
+
+def _files_later():
+    all_quoted = lambda cols: ",".join(f'"{c}"' for c in cols)
+    student = ("record_status studentNum emailAddress householdKey physicalAddress physicalCity physicalState physicalZip mailingAddress "
+               "mailingCity mailingState mailingZip hispanicFlag lastName firstName middleName suffix legalLastName legalFirstName "
+               "legalMiddleName legalGender birthDate gender raceCD homePhone validation_errors").split()
+    _file("lines_student", "student", all_quoted(student),
+          [(c, "q", "%m/%d/%Y" if c == "birthDate" else "") for c in student], "studentNum NULLS LAST, ")
+    school = ("row_type schoolNum stateSchoolNum name phone address city state zip fax principalName principalEmail courseCatalog "
+              "validation_errors").split()
+    _file("lines_school", "school", all_quoted(school), [(c, "q", "") for c in school],
+          "row_type NULLS LAST, TRY_CAST(regexp_extract(schoolNum, '[0-9]+') AS BIGINT) NULLS LAST, schoolNum NULLS LAST, ")
+    quoted = {"courseName", "gradeLevel", "score", "additionalKey", "storedCode", "comments", "sourceTable", "reviewReason", "validation_errors"}
+    transcript = ("row_type studentNum courseNum courseName endYear gradeLevel score percent creditsEarned creditsAttempted gpaWeight "
+                  "weightedGPAValue unweightedGPAValue actualTerm additionalKey storedCode dateStored comments sourceTable reviewReason "
+                  "validation_errors").split()
+    decimals = {"percent", "creditsEarned", "creditsAttempted", "gpaWeight", "weightedGPAValue", "unweightedGPAValue"}
+    _file("lines_transcript", "transcript", ",".join(transcript),
+          [(c, "q" if c in quoted else "bare", "%Y-%m-%d" if c == "dateStored" else "decimal" if c in decimals else "") for c in transcript],
+          "".join(f"{c} NULLS LAST, " for c in ("studentNum", "courseNum", "endYear", "actualTerm", "additionalKey")))
+    task = [("row_type", "bare"), ("taskName", "q"), ("taskCode", "optional"), ("taskSeq", "bare"), ("postToTranscript", "bare"),
+            ("sourceStoreCode", "optional"), ("validation_errors", "q")]
+    _file("lines_grading_task", "gradingTask", ",".join(c for c, _ in task), [(c, how, "") for c, how in task],
+          "taskSeq NULLS LAST, taskName NULLS LAST, taskCode NULLS LAST, ")
+    standards = ("recordType STANDARDID PARENTSTANDARDID LONGITUDINALID YEARID NAME DESCRIPTION IDENTIFIER SUBJECTAREA CONVERSIONSCALE "
+                 "GRADESCALEITEMDCID ISASSIGNMENTALLOWED ISACTIVE DEACTIVATEDATE DISPLAYPOSITION ISCOMMENTINCLUDED MAXCOMMENTLENGTH "
+                 "ISEXCLUDEDFROMREPORTS IMPORTBATCHTRACKING PSGUID WHOCREATED WHENCREATED WHOMODIFIED WHENMODIFIED TRANSIENTCOURSELIST "
+                 "EXTERNALID PARENTSTANDARDID_NVL").split()
+    times = {"DEACTIVATEDATE", "WHENCREATED", "WHENMODIFIED"}
+    _file("lines_standards", "standards", ",".join(standards),
+          [(c, "bare" if c == "recordType" else "stored", "%Y-%m-%d %H:%M:%S" if c in times else "") for c in standards], "")
+
+
+# ---- integrity: keys and references as the scripts' headers state them ----------------
+
+UNIQUE_KEYS = {
+    "department": "schoolNum departmentName", "room": "roomNumber schoolNum", "courseRequest": "studentNumber courseNumber schoolNum",
+    "employment": "employNum schoolNum startDate assignmentCode", "homeless": "studentNum startDate", "attendanceAggregate": "studentNum date",
+    "dentalScreening": "studentNum date", "developmentalScreening": "studentNum date", "earlyChildhoodScreening": "studentNum date",
+    "hearingScreening": "studentNum date", "healthWeightScreening": "studentNum date", "leadScreening": "studentNum date",
+    "scoliosisScreening": "studentNum date", "visionScreening": "studentNum date",
+}
+REFERENCES = [("department", "schoolNum", "school", "schoolNum"), ("room", "schoolNum", "school", "schoolNum"),
+              ("courseRequest", "studentNumber", "student", "studentNum"), ("courseRequest", "courseNumber", "course", "courseNum"),
+              ("courseRequest", "schoolNum", "school", "schoolNum")]
+
+
+def _integrity_later():
+    names = sorted(set(UNIQUE_KEYS) | {x for c, _, p, _ in REFERENCES for x in (c, p)})
+    parts = []
+    for f, cols in UNIQUE_KEYS.items():
+        key = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in cols.split())
+        parts.append(f"SELECT 'DUPLICATE_KEY' AS kind, '{f}' AS file, '{','.join(cols.split())}' AS \"check\", {key} AS key, count(*) AS n "
+                     f"FROM f_{f} WHERE {' OR '.join(f'{c} IS NOT NULL' for c in cols.split())} GROUP BY {key} HAVING count(*) > 1")
+    for f, c, parent, pc in REFERENCES:
+        parts.append(f"SELECT 'MISSING_PARENT', '{f}', '{c} -> {parent}', CAST({c} AS VARCHAR), count(*) FROM f_{f} "
+                     f"WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {pc} FROM f_{parent} WHERE {pc} IS NOT NULL) GROUP BY {c}")
+    register("integrity_findings", "WITH " + ",\n".join(_wrap(n, f"f_{n}") for n in names) + "\n" + "\nUNION ALL\n".join(parts))
+    for name in ("roster", "enrollment"):
+        register(f"school_filter_{name}", "WITH " + _wrap(name, "e") + """
+SELECT * FROM e WHERE schoolNum IN (SELECT CAST(school_number AS VARCHAR) FROM schools WHERE dcid = 507)""")

@@ -140,3 +140,11 @@ def termid_in_years(termid: ColumnOrName, lo: Column | int, hi: Column | int) ->
     hi_c = hi if isinstance(hi, Column) else F.lit(hi)
     t = col(termid)
     return (t >= lo_c * 100) & (t < (hi_c + 1) * 100)
+
+
+def number_text(c: ColumnOrName) -> Column:
+    """Number -> text as the source system writes it: no trailing fractional zeros and no zero
+    before the point (12.50 -> 12.5, 5.00 -> 5, 0.50 -> .5, -0.25 -> -.25)."""
+    s = col(c).cast("string")
+    s = F.regexp_replace(F.regexp_replace(s, r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
+    return F.regexp_replace(s, r"^(-?)0\.", "$1.")

@@ -84,7 +84,7 @@ def main(argv=None) -> int:
         return 2
     log = run_batches(spark, tables, a.out, params, batches=tuple(int(b) for b in a.batches.split(",")),
                       names=names, quality=a.quality, parallelism=a.parallelism)
-    log.show(200, truncate=False)
+    log.show(log.count(), truncate=False)
     return 0 if log.where("status <> 'OK'").limit(1).count() == 0 else 1
 
 

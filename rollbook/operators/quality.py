@@ -1,5 +1,6 @@
 """Validation, row typing, "never silently empty" fallback rows and the
-cross-file quality reports (SURVEY C16–C18, C32–C34, J13/J14, U04).
+quality reports of one file (SURVEY C16–C18, C32–C34, J13/J14, U04); the checks
+across files are in ``integrity``.
 
 A rule is ``(code, condition)``; ``validate`` concatenates ``"<code>; "`` for every
 rule whose condition is true, in rule order, then trims — the exact text the
@@ -8,12 +9,14 @@ import files carry in ``validation_errors``.  It is one projection: no shuffle.
 
 from __future__ import annotations
 
-from typing import Iterable, Sequence
+from dataclasses import dataclass
+from typing import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.functions.text import col, is_blank
+from rollbook.sources.stored import store
 
 Rule = tuple[str, Column]
 
@@ -50,6 +53,23 @@ def validate(df: DataFrame, rules: Sequence[Rule], out: str = "validation_errors
     return df.withColumn(out, error_text(rules))
 
 
+def with_codes(errors: Column, codes: Iterable[str], name: str = "validation_errors") -> Column:
+    """The errors column with the codes it can hold, as metadata: a writer that counts them
+    while it writes finds them in the schema."""
+    return errors.alias(name, metadata={"codes": list(codes)})
+
+
+def codes_of(df: DataFrame, errors_col: str = "validation_errors") -> list[str]:
+    """Codes that ``with_codes`` put on the column, in order."""
+    return list(df.schema[errors_col].metadata.get("codes", [])) if errors_col in df.columns else []
+
+
+def codes_in(errors: Column | str) -> Column:
+    """The codes of an errors text, as an array."""
+    parts = F.transform(F.split(F.coalesce(col(errors), F.lit("")), ";"), lambda x: F.trim(x))
+    return F.filter(parts, lambda x: x != "")
+
+
 def row_type(errors: Column | str = "validation_errors") -> Column:
     """CLEAN when no error text, else ERROR."""
     return F.when(is_blank(errors), F.lit(CLEAN)).otherwise(F.lit(ERROR))
@@ -77,7 +97,8 @@ def finalize(df: DataFrame, columns: Sequence[str], rules: Sequence[Rule] = (),
     (``type_col`` first, ``errors_col`` last)."""
     v = df.withColumn(errors_col, error_text(rules))
     t = row_type(errors_col) if type_expr is None else type_expr
-    return v.select(t.alias(type_col), *[col(c) for c in columns], col(errors_col))
+    codes = [code for code, _ in rules]
+    return v.select(t.alias(type_col), *[col(c) for c in columns], with_codes(col(errors_col), codes, errors_col))
 
 
 # ---- C17 / J13 / U04 --------------------------------------------------------
@@ -93,42 +114,40 @@ def marker_row(df: DataFrame, values: dict) -> DataFrame:
     return spark.range(1).select(*cols)
 
 
-def when_absent(marker: DataFrame, probe_source: DataFrame) -> DataFrame:
-    """``marker`` when ``probe_source`` has no row, else nothing.  The test is an
-    uncorrelated scalar subquery over ``probe_source.limit(1)`` (0 or 1): Spark
-    evaluates it once inside the same query and filters the marker with the
-    value — no join, no driver-side logic."""
-    present = probe_source.limit(1).agg(F.count(F.lit(1)).alias("n")).scalar()
-    return marker.where(present == 0)
+@dataclass(frozen=True)
+class Rows:
+    """An extract's rows and what stands in their place when there are none (C17).
 
+    The rows are planned and run once.  A writer counts them as it writes and then writes
+    ``instead`` if the count is 0 (the runner does that); ``resolved`` stores them and looks
+    at what was stored.  With ``source`` the test is on that table instead: one row of it
+    is looked for, by a scalar subquery of the same query.
+    """
 
-def empty_fallback(df: DataFrame, values: dict) -> DataFrame:
-    """C17: ``df`` plus one marker row when ``df`` is empty.
+    rows: DataFrame
+    instead: DataFrame
+    source: DataFrame | None = None
 
-    Planned inside the same query (no driver round trip): the marker row is
-    anti-joined with ``df.limit(1)``, so it survives only when ``df`` is empty.
-    """
-    return df.unionByName(when_absent(marker_row(df, values), df))
+    def resolved(self) -> DataFrame:
+        if self.source is not None:
+            found = self.source.limit(1).agg(F.count(F.lit(1)).alias("n")).scalar()
+            return self.rows.unionByName(self.instead.where(found == 0))
+        kept = store(self.rows, "rows")
+        return self.instead.select(*kept.columns) if kept.isEmpty() else kept
 
 
-def fallback_when(df: DataFrame, values: dict, source: DataFrame) -> DataFrame:
-    """Like ``empty_fallback`` but the emptiness test is on ``source``."""
-    return df.unionByName(when_absent(marker_row(df, values), source))
+def empty_fallback(df: DataFrame, values: Mapping) -> Rows:
+    """C17: one marker row with ``values`` when ``df`` is empty."""
+    return Rows(df, marker_row(df, values))
 
 
-def per_key_fallback(keys: DataFrame, data: DataFrame, on: Sequence[str], values: dict) -> DataFrame:
-    """U04 default dimension rows: one default row for each key with no data row
-    (e.g. ``General`` department per school).  ``keys`` holds the key columns."""
-    missing = keys.join(data.select(*on).distinct(), on=list(on), how="left_anti")
-    cols = []
-    for f in data.schema.fields:
-        if f.name in on:
-            cols.append(col(f.name).cast(f.dataType))
-        else:
-            v = values.get(f.name)
-            c = v if isinstance(v, Column) else F.lit(v)
-            cols.append(c.cast(f.dataType).alias(f.name))
-    return data.unionByName(missing.select(*cols))
+def fallback_when(df: DataFrame, values: Mapping, source: DataFrame) -> Rows:
+    """Like ``empty_fallback`` but the emptiness test is on the table ``source``."""
+    return Rows(df, marker_row(df, values), source)
+
+
+def resolved(out: DataFrame | Rows) -> DataFrame:
+    return out.resolved() if isinstance(out, Rows) else out
 
 
 # ---- C32–C34 -----------------------------------------------------------------
@@ -156,14 +175,11 @@ def check_reference(child: DataFrame, parent: DataFrame, keys: Sequence[str] | d
 
 def quality_summary(df: DataFrame, extract: str, type_col: str = "row_type",
                     errors_col: str = "validation_errors") -> DataFrame:
-    """Per extract, the row count of each row type and of each error code."""
-    codes = F.filter(
-        F.transform(F.split(F.coalesce(col(errors_col), F.lit("")), ";"), lambda x: F.trim(x)),
-        lambda x: x != "",
-    )
-    by_type = df.groupBy(col(type_col).alias("item")).agg(F.count(F.lit(1)).alias("n")) \
-        .withColumn("kind", F.lit("row_type"))
-    by_code = df.select(F.explode(codes).alias("item")).groupBy("item") \
-        .agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("error_code"))
-    return by_type.unionByName(by_code).select(
-        F.lit(extract).alias("extract"), "kind", "item", "n")
+    """Per extract, the row count of each row type and of each error code, in one pass:
+    a row gives its type and its codes as items, and the items are counted."""
+    item = lambda kind, c: F.struct(F.lit(kind).alias("kind"), c.alias("item"))
+    items = F.array(item("row_type", col(type_col)))
+    if errors_col in df.columns:
+        items = F.concat(items, F.transform(codes_in(errors_col), lambda x: item("error_code", x)))
+    return (df.select(F.explode(items).alias("i")).groupBy("i.kind", "i.item").agg(F.count(F.lit(1)).alias("n"))
+            .select(F.lit(extract).alias("extract"), "kind", "item", "n"))

@@ -21,6 +21,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollbook.functions.text import col
+from rollbook.sources.stored import store
+
+#: Rows of a calendar-like frame that are broadcast at most.
+BROADCAST_ROWS = 200_000
 
 # ---- helpers -----------------------------------------------------------------
 
@@ -58,12 +62,6 @@ def half_open(c: Column | str, lo, hi) -> Column:
     return (col(c) >= F.lit(lo).cast("date")) & (col(c) < F.lit(hi).cast("date"))
 
 
-def flag_on(c: Column | str, default: int | None = None) -> Column:
-    """``NVL(flag, default) = 1``."""
-    c = col(c)
-    return (F.coalesce(c, F.lit(default)) if default is not None else c) == 1
-
-
 def any_flag(cols: Sequence[str]) -> Column:
     """1 when any of the 0/1 columns is 1."""
     return F.greatest(*[F.coalesce(col(c), F.lit(0)) for c in cols])
@@ -90,25 +88,57 @@ def school_key_map(schools: DataFrame, keys: Sequence[str] = ("id", "dcid", "sch
 
 # ---- C06 / J07 / J08 -----------------------------------------------------------
 
+def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether ``df`` is small enough to be sent to every task.  Hand in stored frames: their count
+    comes from the files' footers."""
+    return df.limit(rows + 1).count() <= rows
+
+
 def overlap_join(left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]],
-                 lstart: str, lend: str, rstart: str, rend: str, how: str = "inner") -> DataFrame:
+                 lstart: str, lend: str, rstart: str, rend: str, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Equi key(s) + ``l.start <= r.end AND NVL(l.end, r.end) >= r.start``.
 
-    ``right`` is a calendar-like dimension (bounded by schools x years) and is
-    broadcast, so the big side is never shuffled for this join; the equi key
-    keeps it a hash join with a residual instead of a nested loop."""
+    ``right`` is calendar-like.  Up to ``broadcast_rows`` it is broadcast, so the big side is
+    never shuffled for this join, and the equi key keeps it a hash join with a residual
+    instead of a nested loop.  A larger one is joined by year: both sides go to the years
+    that they touch, so a key with very many intervals is split over its years, and a
+    pair counts in the first year that both touch."""
     cond = [left[a] == right[b] for a, b in keys]
     cond.append(left[lstart] <= right[rend])
     cond.append(F.coalesce(left[lend], right[rend]) >= right[rstart])
-    return left.join(dimension(right), on=reduce(lambda a, b: a & b, cond), how=how)
-
-
-def point_in_interval_join(left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]],
-                           point: str, lo: str, hi: str) -> DataFrame:
-    """``l.point BETWEEN r.lo AND r.hi`` plus equi keys; right is a dimension."""
-    cond = [left[a] == right[b] for a, b in keys]
-    cond.append(left[point].between(right[lo], right[hi]))
-    return left.join(dimension(right), on=reduce(lambda a, b: a & b, cond))
+    if fits(right, broadcast_rows):
+        return left.join(dimension(right), on=reduce(lambda a, b: a & b, cond))
+    years = lambda a, b: (F.least(F.year(a), F.year(b)), F.greatest(F.year(a), F.year(b)))
+    lo, hi = years(right[rstart], right[rend])
+    ends = right.select(lo.alias("lo"), hi.alias("hi")).agg(F.min("lo").alias("first"), F.max("hi").alias("last"))
+    first, last = ends.select("first").scalar(), ends.select("last").scalar()
+    whole = right[rstart].isNotNull() & right[rend].isNotNull()
+    r = right.where(whole).withColumn("_rlo", lo).withColumn("_ryear", F.explode(F.sequence(lo, hi)))
+    # an open end reaches to the last year of all calendars
+    lo, hi = F.year(left[lstart]), F.coalesce(F.year(left[lend]), F.greatest(F.year(left[lstart]), last))
+    l = left.where(left[lstart].isNotNull()).withColumn("_llo", F.greatest(F.least(lo, hi), first)) \
+        .withColumn("_lhi", F.least(F.greatest(lo, hi), last))
+    l = l.where("_llo <= _lhi").withColumn("_lyear", F.explode(F.sequence("_llo", "_lhi")))
+    cond += [F.col("_lyear") == F.col("_ryear"), F.col("_lyear") == F.greatest("_llo", "_rlo")]
+    return l.join(r, on=reduce(lambda a, b: a & b, cond)).drop("_llo", "_lhi", "_lyear", "_rlo", "_ryear")
+
+
+def salted_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, salt_by: Sequence[str],
+                hot_rows: int = 10_000, salts: int = 64) -> DataFrame:
+    """Inner join whose hot keys are spread: a key that more than ``hot_rows`` rows of ``left`` carry
+    goes to ``salts`` tasks, and its rows of ``right`` to each of them.  ``salt_by`` are columns of
+    ``left`` that differ between the rows of a key; the salt is their hash, so a task that is run again
+    deals the same.  There are at most rows / ``hot_rows`` hot keys.  Without any this is a plain join."""
+    hot = store(left.groupBy(F.col(left_key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
+                .where((F.col("_n") > hot_rows) & F.col("_hot").isNotNull()).select("_hot"), "hot_keys")
+    if hot.isEmpty():
+        return left.join(right, left[left_key] == right[right_key])
+    salt = F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int")
+    l = left.join(hot, left[left_key] == hot["_hot"], "left").withColumn("_lsalt", F.when(F.col("_hot").isNotNull(), salt).otherwise(0)) \
+        .drop("_hot")
+    every = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    r = right.join(hot, right[right_key] == hot["_hot"], "left").withColumn("_rsalt", F.explode(every)).drop("_hot")
+    return l.join(r, (left[left_key] == right[right_key]) & (F.col("_lsalt") == F.col("_rsalt"))).drop("_lsalt", "_rsalt")
 
 
 # ---- C08 / U01 ---------------------------------------------------------------

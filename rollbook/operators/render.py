@@ -1,15 +1,19 @@
 """CSV rendering.
 
-``render_lines`` turns a typed extract frame into one text column ``line``:
-every field formatted (dates by the extract's pattern), NULL as empty, and
-quoted by policy —
+``render_lines`` turns a typed extract frame into one text column ``line``.  Each field
+has a policy, the file's own or one given for the column:
 
-* ``all``:  every field in double quotes, embedded quotes doubled; header quoted.
-* ``text``: text fields quoted, numbers bare, header unquoted.
+* ``text``      in double quotes, embedded quotes doubled, CR/LF as blanks; NULL is ``""``
+* ``optional``  like ``text``, but NULL is nothing at all
+* ``stored``    like ``text``, but CR/LF stay
+* ``bare``      as it is; NULL is nothing
 
-CR/LF inside a field never survive into a line (they become spaces), so one
-row is always one physical line.  All of it is Column expressions: rendering is
-a projection inside the same stage as the extract's last operator.
+A file's ``quote`` says what holds for columns without a policy: ``all`` makes every
+field ``text`` and quotes the header, ``text`` leaves numbers bare, ``bare`` leaves all
+fields bare; both have an unquoted header.  Dates are formatted by the file's or the
+column's pattern, decimals as the source writes numbers (no trailing zeros, no zero
+before the point).  All of it is Column expressions: rendering is a projection inside the
+same stage as the extract's last operator.
 """
 
 from __future__ import annotations
@@ -18,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rollbook.functions.text import number_text
+
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
@@ -29,30 +35,51 @@ def field_text(df: DataFrame, name: str, date_format: str = "yyyy-MM-dd",
         return F.date_format(c, date_format)
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
         return F.date_format(c, ts_format)
+    if isinstance(dt, T.DecimalType):
+        return number_text(c)
     return c.cast("string")
 
 
-def quote(c: Column) -> Column:
-    """'"' || REPLACE(NVL(x,''), '"', '""') || '"' with CR/LF flattened."""
-    v = F.translate(F.coalesce(c, F.lit("")), "\r\n", "  ")
+def quote(c: Column, flatten: bool = True) -> Column:
+    """'"' || REPLACE(NVL(x,''), '"', '""') || '"', with CR/LF flattened."""
+    v = F.coalesce(c, F.lit(""))
+    if flatten:
+        v = F.translate(v, "\r\n", "  ")
     return F.concat(F.lit('"'), F.replace(v, F.lit('"'), F.lit('""')), F.lit('"'))
 
 
+POLICIES = {
+    "text": quote,
+    "optional": lambda c: F.when(c.isNull(), F.lit("")).otherwise(quote(c)),
+    "stored": lambda c: quote(c, flatten=False),
+    "bare": lambda c: F.coalesce(c, F.lit("")),
+}
+
+
+def field_policy(df: DataFrame, name: str, policy: str, fields: dict | None = None) -> str:
+    if fields and name in fields:
+        return fields[name]
+    if policy == "bare" or (policy == "text" and isinstance(df.schema[name].dataType, NUMERIC)):
+        return "bare"
+    return "text"
+
+
 def render_lines(df: DataFrame, date_format: str = "yyyy-MM-dd", ts_format: str = "yyyy-MM-dd HH:mm:ss",
-                 policy: str = "all", date_formats: dict | None = None, as_column: bool = False):
+                 policy: str = "all", date_formats: dict | None = None, as_column: bool = False,
+                 fields: dict | None = None):
     date_formats = date_formats or {}
+    unknown = set(fields or ()) - set(df.columns)
+    if unknown:
+        raise ValueError(f"policies for columns that the file lacks: {sorted(unknown)}")
     parts = []
-    for f in df.schema.fields:
-        txt = field_text(df, f.name, date_formats.get(f.name, date_format), ts_format)
-        if policy == "text" and isinstance(f.dataType, NUMERIC):
-            parts.append(F.coalesce(txt, F.lit("")))
-        else:
-            parts.append(quote(txt))
+    for name in df.columns:
+        txt = field_text(df, name, date_formats.get(name, date_format), ts_format)
+        parts.append(POLICIES[field_policy(df, name, policy, fields)](txt))
     line = F.concat_ws(",", *parts)
     return line if as_column else df.select(line.alias("line"))
 
 
 def header_line(columns, policy: str = "all") -> str:
-    if policy == "text":
+    if policy != "all":
         return ",".join(columns)
     return ",".join('"' + c.replace('"', '""') + '"' for c in columns)

@@ -25,8 +25,8 @@ class ExtractParams:
     year_window_start: _dt.date = _dt.date(1998, 7, 1)
     year_window_end: _dt.date = _dt.date(1999, 7, 1)
     # behaviour window (closed, inclusive)
-    behavior_start: _dt.date = _dt.date(2024, 1, 1)
-    behavior_end: _dt.date = _dt.date(2024, 1, 31)
+    behavior_start: _dt.date = _dt.date(2024, 1, 3)
+    behavior_end: _dt.date = _dt.date(2024, 1, 24)
     # special-education: number of end-years to include
     years_of_data: int = 3
     # transcript: the school-year end written on every transcript row

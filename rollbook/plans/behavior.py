@@ -9,13 +9,13 @@ from rollbook.functions.text import clip, col, first_nonblank, one_line
 from rollbook.operators.quality import fallback_when, finalize, required, row_type_with_review, rule
 from rollbook.operators.relational import union_all
 from rollbook.params import ExtractParams
-from rollbook.plans.registry import extract
+from rollbook.plans.registry import extract, of_school
 from rollbook.sources.catalog import Tables
 
 US_DATE = "MM/dd/yyyy"
 
 
-def _info_when_empty(out: DataFrame, source: DataFrame, values: dict) -> DataFrame:
+def _info_when_empty(out: DataFrame, source: DataFrame, values: dict):
     """INFO marker row when the *source table* has no rows (C17, INFO policy)."""
     return fallback_when(out, values, source)
 
@@ -36,10 +36,10 @@ def behavior_event_type(t: Tables, p: ExtractParams) -> DataFrame:
 
 # ---- E27 behaviorIncident ---------------------------------------------------------------
 
-@extract("behaviorIncident", batch=3, order=("incidentID",), date_format=US_DATE)
+@extract("behaviorIncident", batch=3, order=("incidentID",), date_format=US_DATE, school="schoolID")
 def behavior_incident(t: Tables, p: ExtractParams) -> DataFrame:
     lo, hi = F.lit(p.behavior_start).cast("date"), F.lit(p.behavior_end).cast("date")
-    lg = t.log
+    lg = of_school(t, p, t.log, "schoolid")
     ldate = F.coalesce(col("discipline_incidentdate"), col("entry_date"))
     log_src = lg.where(F.to_date(ldate).between(lo, hi)).select(
         F.substring(col("id").cast("string"), 1, 50).alias("incidentID_raw"),
@@ -53,7 +53,7 @@ def behavior_incident(t: Tables, p: ExtractParams) -> DataFrame:
         col("logtypeid").cast("long").alias("logTypeID_raw"),
         F.lit(None).cast("timestamp_ntz").alias("whenCreated_raw"),
         F.lit(None).cast("timestamp_ntz").alias("whenModified_raw"))
-    inc = t.incident
+    inc = of_school(t, p, t.incident, "school_number")
     inc_src = inc.where(F.to_date("incident_ts").between(lo, hi)).select(
         F.substring(col("incident_id").cast("string"), 1, 50).alias("incidentID_raw"),
         col("school_number").cast("long").alias("schoolID_raw"),

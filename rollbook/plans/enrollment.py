@@ -20,14 +20,14 @@ from rollbook.operators.quality import finalize, required_all
 from rollbook.operators.relational import dedup_first, dimension, overlap_join, union_all, union_tagged
 from rollbook.params import ExtractParams
 from rollbook.plans.common import key_map, yearrec_calendars
-from rollbook.plans.registry import extract
+from rollbook.plans.registry import extract, of_school
 from rollbook.sources.catalog import Tables
 
 
-def enrolment_sources(t: Tables) -> DataFrame:
-    """Current enrolments (students) + history (reenrollments ⋈ students)."""
+def enrolment_sources(t: Tables, p: ExtractParams) -> DataFrame:
+    """Current enrolments (students) + history (reenrollments ⋈ students, of whichever school they are in now)."""
     s = t.students
-    base = s.where(col("entrydate").isNotNull()).select(
+    base = of_school(t, p, s, "schoolid").where(col("entrydate").isNotNull()).select(
         col("id").alias("studentid"),
         col("student_number").cast("string").alias("studentNum_raw"),
         col("entrydate").alias("startDate_raw"),
@@ -37,7 +37,7 @@ def enrolment_sources(t: Tables) -> DataFrame:
         F.substring(col("entrycode"), 1, 20).alias("localStartStatus_raw"),
         F.substring(col("exitcode"), 1, 20).alias("localEndStatus_raw"),
     )
-    r = t.reenrollments.where(col("entrydate").isNotNull())
+    r = of_school(t, p, t.reenrollments, "schoolid").where(col("entrydate").isNotNull())
     sn = s.select(col("id").alias("_sid"), col("student_number"))
     hist = r.join(sn, r["studentid"] == sn["_sid"]).select(
         col("studentid"),
@@ -68,9 +68,9 @@ ENROLLMENT_COLUMNS = ["studentNum", "startDate", "gradeLevel", "schoolNum", "cal
                       "localStartStatus", "localEndStatus", "exclude", "serviceType", "noShow", "sourceTable"]
 
 
-@extract("enrollment", batch=3)
+@extract("enrollment", batch=3, school="schoolNum")
 def enrollment(t: Tables, p: ExtractParams) -> DataFrame:
-    m = enrolments_with_calendar(t, enrolment_sources(t))
+    m = enrolments_with_calendar(t, enrolment_sources(t, p))
     x = m.select(
         clip(col("studentNum_raw"), 15).alias("studentNum"),
         col("startDate_raw").alias("startDate"),
@@ -85,8 +85,6 @@ def enrollment(t: Tables, p: ExtractParams) -> DataFrame:
         no_show(col("startDate_raw"), col("endDate_raw")).alias("noShow"),
         col("sourceTable_raw").alias("sourceTable"),
     )
-    if p.school_id is not None:
-        x = x.where(col("schoolNum") == F.lit(str(p.school_id)))
     # history first, then open-ended last; remaining columns make the order total
     d = dedup_first(x, ["studentNum", "startDate", "gradeLevel", "schoolNum", "calendarName"], [
         F.when(col("sourceTable") == "REENROLLMENTS", 0).otherwise(1),
@@ -103,13 +101,13 @@ PK_CODES = ("PK", "PREK", "PRE-K", "P3", "P4")
 K_CODE = "K"
 
 
-@extract("gradeLevel", batch=1, order=("schoolNum", "calendarName", "gradeSeq"))
+@extract("gradeLevel", batch=1, order=("schoolNum", "calendarName", "gradeSeq"), school="schoolNum")
 def grade_level(t: Tables, p: ExtractParams) -> DataFrame:
     """Distinct (school, calendar, grade) over all enrolments, also those of
     history rows whose student is gone."""
     spell = [col("entrydate").alias("startDate_raw"), col("exitdate").alias("endDate_raw"),
              col("grade_level").alias("grade_level_raw"), col("schoolid").cast("long").alias("school_key")]
-    src = union_all([t.students.select(*spell), t.reenrollments.select(*spell)]) \
+    src = union_all([of_school(t, p, x, "schoolid").select(*spell) for x in (t.students, t.reenrollments)]) \
         .where(col("startDate_raw").isNotNull() & col("grade_level_raw").isNotNull())
     m = enrolments_with_calendar(t, src).where(col("schoolNum") != 999999)
     g = m.select(col("schoolNum").alias("s"), col("calendarName_raw").alias("c"),

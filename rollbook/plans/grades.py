@@ -7,12 +7,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.functions.text import clip, col, one_line, score_value
+from rollbook.functions.text import clip, col, number_text, one_line, score_value
 from rollbook.operators.quality import empty_fallback, finalize, required, row_type_severity
 from rollbook.operators.relational import dedup_first, dimension, half_open, union_all
-from rollbook.operators.years import active_year_containing, active_year_from_sections
+from rollbook.operators.years import active_year_containing
 from rollbook.params import ExtractParams
-from rollbook.plans.registry import extract
+from rollbook.plans.common import section_keys_in_year, section_year
+from rollbook.plans.registry import extract, of_school
 from rollbook.sources.catalog import Tables
 
 US_DATE = "MM/dd/yyyy"
@@ -20,22 +21,19 @@ US_DATE = "MM/dd/yyyy"
 TRANSCRIPT_REVIEW = "CREDITS_COLUMNS_UNKNOWN_IN_PS.STOREDGRADES"
 
 
-def number_text(c) -> F.Column:
-    """Number -> text without trailing fractional zeros (12.50 -> 12.5, 5.00 -> 5)."""
-    s = col(c).cast("string")
-    return F.regexp_replace(F.regexp_replace(s, r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
-
-
 # ---- E21 transcript ------------------------------------------------------------------
 
 TRANSCRIPT_COLUMNS = ["studentNum", "courseNum", "courseName", "endYear", "gradeLevel", "score", "percent",
                       "creditsEarned", "creditsAttempted", "gpaWeight", "weightedGPAValue", "unweightedGPAValue",
                       "actualTerm", "additionalKey", "storedCode", "dateStored", "comments", "sourceTable",
                       "reviewReason"]
+# the fields in quotes; all others are bare (fixed by the file)
+TRANSCRIPT_QUOTED = ("courseName", "gradeLevel", "score", "additionalKey", "storedCode", "comments", "sourceTable",
+                     "reviewReason", "validation_errors")
 
 
 @extract("transcript", batch=3, order=("studentNum", "courseNum", "endYear", "actualTerm", "additionalKey"),
-         quote="text")
+         quote="bare", fields=dict.fromkeys(TRANSCRIPT_QUOTED, "text"))
 def transcript(t: Tables, p: ExtractParams) -> DataFrame:
     sg = t.storedgrades.where(half_open("datestored", p.window_start, p.window_end))
     st = t.students.select(col("id").alias("_sid"), "student_number")
@@ -80,7 +78,8 @@ PROGRESS_CODES = ("P", "PR")
 TRANSCRIPT_CODES = ("Y", "Y1", "Y2", "S1", "S2")
 
 
-@extract("gradingTask", batch=3, order=("taskSeq", "taskName"), quote="text")
+@extract("gradingTask", batch=3, order=("taskSeq", "taskName", "taskCode"), quote="bare",
+         fields={"taskName": "text", "taskCode": "optional", "sourceStoreCode": "optional", "validation_errors": "text"})
 def grading_task(t: Tables, p: ExtractParams) -> DataFrame:
     """One task per distinct store code."""
     sc = t.storedgrades.where(col("storecode").isNotNull()
@@ -148,7 +147,7 @@ STANDARD_COLUMNS = ["standardid", "parentstandardid", "longitudinalid", "yearid"
                     "whomodified", "whenmodified", "transientcourselist", "externalid", "parentstandardid_nvl"]
 
 
-@extract("standards", batch=2)
+@extract("standards", batch=2, quote="bare", date_format="yyyy-MM-dd HH:mm:ss", fields=dict.fromkeys([c.upper() for c in STANDARD_COLUMNS], "stored"))
 def standards(t: Tables, p: ExtractParams) -> DataFrame:
     """Pass-through: every standard exactly as stored (no cut, no de-dup).
     Timestamps are carried as wall-clock values (timestamp_ntz)."""
@@ -189,16 +188,15 @@ ROLLOVER_NOTE = ("TRIAL_ONLY_PSEUDO_ROLLOVER_26_27: Derived from Students.NEXT_S
 ROLLOVER_FATAL = ("ERR_REQUIRED_schoolNum_from_NEXT_SCHOOL", "ERR_REQUIRED_studentNum")
 
 
-@extract("2627Enrollment", batch=3, order=("studentNum", "schoolNum"), date_format=US_DATE)
+@extract("2627Enrollment", batch=3, order=("studentNum", "schoolNum"), date_format=US_DATE, school="schoolNum")
 def next_year_enrollment(t: Tables, p: ExtractParams) -> DataFrame:
     """Students enrolled in the newest section year who continue next year,
     with the next school's calendar span (J16 as one left join to a grouped frame)."""
-    y = active_year_from_sections(t.sections, t.terms).scalar()
-    ty = t.terms.select(col("id").alias("_tid"), col("yearid").alias("_ty")).distinct().where(col("_ty") == y)
-    secs = t.sections.join(dimension(ty), col("termid") == col("_tid"), "left_semi").select(col("id").alias("_secid"))
+    y = section_year(t)
+    secs = section_keys_in_year(t, y).select(col("id").alias("_secid"))
     active_ids = t.cc.select("studentid", "sectionid").join(secs, col("sectionid") == col("_secid"), "left_semi") \
         .select(col("studentid").alias("_aid")).distinct()
-    st = t.students.where(col("student_number").isNotNull() & (col("student_number") != 0)) \
+    st = of_school(t, p, t.students, "next_school").where(col("student_number").isNotNull() & (col("student_number") != 0)) \
         .join(active_ids, col("id") == col("_aid"), "left_semi") \
         .where((col("enroll_status") == 0) & col("next_school").isNotNull() & ~col("next_school").isin(0, 999999))
     sch = t.schools.select(col("school_number").alias("_nsn"), col("id").alias("next_schoolid"))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.functions.text import clip, col, contains_any
-from rollbook.operators.quality import empty_fallback, finalize, required
+from rollbook.operators.quality import empty_fallback, finalize, required, with_codes
 from rollbook.operators.relational import dedup_first, half_open
 from rollbook.params import ExtractParams
 from rollbook.plans.registry import extract
@@ -37,7 +37,12 @@ ALERT_SCREENINGS = {
 }
 
 
-def alert_screening(t: Tables, words, fallback_code: str) -> DataFrame:
+# the screenings whose script states a unique key (student, date)
+KEYED_SCREENINGS = ("dentalScreening", "developmentalScreening", "earlyChildhoodScreening", "hearingScreening",
+                    "healthWeightScreening", "leadScreening", "scoliosisScreening", "visionScreening")
+
+
+def alert_screening(t: Tables, words, fallback_code: str):
     """Students ⋈ alerts whose description matches any keyword; the alert's
     expiry date is the screening date.  One row per matching alert.  The
     keyword filter runs on the alert side before the join."""
@@ -55,7 +60,7 @@ def _register_alerts():
         def fn(t, p, _w=words, _c=code):
             return alert_screening(t, _w, _c)
         fn.__name__ = name
-        extract(name, batch=2, date_format=US_DATE)(fn)
+        extract(name, batch=2, date_format=US_DATE, key=("studentNum", "date") if name in KEYED_SCREENINGS else ())(fn)
 
 
 _register_alerts()
@@ -107,7 +112,7 @@ def concussion(t: Tables, p: ExtractParams) -> DataFrame:
     out = x.select(
         F.when(col("date").isNull(), "ERROR").otherwise("CLEAN").alias("recordType"),
         "studentNum", "date",
-        F.when(col("date").isNull(), F.lit("ERR_REQUIRED_date;")).alias("validation_errors"))
+        with_codes(F.when(col("date").isNull(), F.lit("ERR_REQUIRED_date;")), ["ERR_REQUIRED_date"]))
     return empty_fallback(out, {"recordType": "ERROR",
                                 "validation_errors": "ERR_NO_SOURCE_ROWS_FOR_CONCUSSIONSCREENING;"})
 

@@ -29,6 +29,8 @@ from rollbook.operators import years as Y  # noqa: E402
 from rollbook.params import ExtractParams  # noqa: E402
 
 P = ExtractParams()
+# the school of the queries that ask for one, by its dcid
+SCHOOL_DCID = 507
 
 
 def _extract(name, t):
@@ -174,3 +176,67 @@ def render_enrollment_lines(t):
     from rollbook.plans.registry import all_extracts
     spec = all_extracts()["enrollment"]
     return render_lines(_extract("enrollment", t), spec.date_format, spec.ts_format, spec.quote)
+
+
+def _numbered(name, t):
+    from rollbook.plans.registry import all_extracts
+    from rollbook.plans.runner import numbered_lines
+    spec = all_extracts()[name]
+    return numbered_lines(spec(t, P), spec)
+
+
+@op("lines_student")
+def lines_student(t):
+    """The student file, header first, every line with its place in it."""
+    return _numbered("student", t)
+
+
+@op("lines_school")
+def lines_school(t):
+    """The school file in the order of the number inside the school number."""
+    return _numbered("school", t)
+
+
+@op("lines_transcript")
+def lines_transcript(t):
+    """The transcript file: five sort keys, quotes field by field, unquoted header."""
+    return _numbered("transcript", t)
+
+
+@op("lines_grading_task")
+def lines_grading_task(t):
+    """The grading task file, whose empty codes have no quotes."""
+    return _numbered("gradingTask", t)
+
+
+@op("lines_standards")
+def lines_standards(t):
+    """The standards file: all fields in quotes but the first, text as stored."""
+    return _numbered("standards", t)
+
+
+@op("integrity_findings")
+def integrity_findings(t):
+    """All documented unique keys and references of the files, in one keyed pass."""
+    from rollbook.operators.integrity import Reference, declared, findings
+    from rollbook.plans.registry import all_extracts
+    ex = all_extracts()
+    checks = declared(s for s in ex.values() if s.reads_tables)
+    names = sorted({c.child if isinstance(c, Reference) else c.file for c in checks} | {c.parent for c in checks if isinstance(c, Reference)})
+    return findings({n: ex[n](t, P) for n in names}, checks)
+
+
+@op("school_filter_roster")
+def school_filter_roster(t):
+    """The roster of one school, named by its dcid; the school's identifiers reach the scan of the sections."""
+    import dataclasses
+    from rollbook.plans.registry import all_extracts
+    return all_extracts()["roster"](t, dataclasses.replace(P, school_id=SCHOOL_DCID))
+
+
+@op("school_filter_enrollment")
+def school_filter_enrollment(t):
+    """The enrolments of one school, current and history."""
+    import dataclasses
+    from rollbook.plans.registry import all_extracts
+    return all_extracts()["enrollment"](t, dataclasses.replace(P, school_id=SCHOOL_DCID))

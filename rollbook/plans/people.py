@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from rollbook.functions.text import clip, col, household_key
 from rollbook.operators.quality import empty_fallback, finalize, required, rule
 from rollbook.operators.relational import (
-    active_as_of, dedup_first, dimension, listagg_ordered, pivot_conditional_max, school_filter, union_all)
+    active_as_of, dedup_first, dimension, listagg_ordered, pivot_conditional_max, salted_join, school_filter, union_all)
 from rollbook.params import ExtractParams
-from rollbook.plans.registry import extract
+from rollbook.plans.registry import extract, of_school
 from rollbook.sources.catalog import Tables
 
 US_DATE = "MM/dd/yyyy"
@@ -117,6 +117,10 @@ def student(t: Tables, p: ExtractParams) -> DataFrame:
     return finalize(x, cols, rules, type_col="record_status")
 
 
+# links of one person from which its join is spread over tasks
+HOT_LINKS = 10_000
+
+
 # ---- E15 contact --------------------------------------------------------------------
 
 def contact_phones(t: Tables) -> DataFrame:
@@ -158,13 +162,13 @@ def contact(t: Tables, p: ExtractParams) -> DataFrame:
     rel = t.codeset.select(col("codesetid").alias("_rid"), col("code").alias("_rcode"))
     addr = contact_addresses(t).withColumnRenamed("personid", "_apid")
     phones = contact_phones(t).withColumnRenamed("personid", "_phid")
-    # the three person-keyed joins are adjacent, so the contact side is
-    # hash-partitioned by personid once and reused for all three
-    j = (ast.join(sca, sca["studentdcid"] == ast["_sdcid"])
-         .join(pe, pe["_pid"] == sca["personid"])
-         .join(addr, addr["_apid"] == sca["personid"], "left")
-         .join(phones, phones["_phid"] == sca["personid"], "left")
-         .join(scd, scd["_scd"] == sca["studentcontactassocid"], "left")
+    # one row per person with all that hangs on it; the links meet it in one join, in which a person
+    # linked to very many students is spread over tasks
+    persons = (pe.join(addr, pe["_pid"] == addr["_apid"], "left").join(phones, pe["_pid"] == phones["_phid"], "left")
+               .drop("_apid", "_phid"))
+    j = (ast.join(salted_join(sca, persons, "personid", "_pid", ["studentcontactassocid", "studentdcid"], hot_rows=HOT_LINKS),
+                  col("studentdcid") == ast["_sdcid"])
+         .join(scd, scd["_scd"] == col("studentcontactassocid"), "left")
          .join(dimension(gender), col("_gid") == col("gendercodesetid"), "left")
          .join(dimension(rel), col("_rid") == col("currreltypecodesetid"), "left"))
     g = F.upper(col("_gdv"))
@@ -276,7 +280,8 @@ def user_account(t: Tables, p: ExtractParams) -> DataFrame:
 
 # ---- E18 employment ----------------------------------------------------------------------
 
-@extract("employment", batch=2, date_format=US_DATE)
+@extract("employment", batch=2, date_format=US_DATE, key=("employNum", "schoolNum", "startDate", "assignmentCode"),
+         school="schoolNum")
 def employment(t: Tables, p: ExtractParams) -> DataFrame:
     yr = t.terms.where(col("isyearrec") == 1)
     # C04c over terms: the requested year if it has a year record, else the newest
@@ -285,7 +290,7 @@ def employment(t: Tables, p: ExtractParams) -> DataFrame:
     year_start = yr.where(col("yearid") == y).agg(F.min("firstday").alias("s")).scalar()
     u = t.users.select(col("dcid").alias("_udcid"), "teachernumber", "ptaccess")
     sc = t.schools.select(col("school_number").alias("_sn"))
-    j = (t.schoolstaff.join(u, col("_udcid") == col("users_dcid"))
+    j = (of_school(t, p, t.schoolstaff, "schoolid").join(u, col("_udcid") == col("users_dcid"))
          .join(dimension(sc), col("_sn") == col("schoolid"))
          .where((F.coalesce(col("ptaccess"), F.lit(0)) == 1) & (F.coalesce(col("status"), F.lit(1)) == 1)
                 & (F.coalesce(col("staffstatus"), F.lit(1)) == 1)))

@@ -15,11 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.functions.text import clip, col, contains_any, lunch_status_code, termid_in_years
-from rollbook.operators.quality import empty_fallback, fallback_when, finalize, marker_row, required
+from rollbook.operators.quality import empty_fallback, finalize, marker_row, required, resolved
 from rollbook.operators.relational import any_flag, dimension, net_balance
-from rollbook.operators.years import active_year_from_sections, requested_or_latest_year
+from rollbook.operators.years import requested_or_latest_year
 from rollbook.params import YEARID_BASE, ExtractParams
-from rollbook.plans.registry import extract
+from rollbook.plans.common import section_keys, section_keys_in_year, section_year
+from rollbook.plans.registry import extract, of_school
 from rollbook.sources.catalog import Tables
 from rollbook.sources.views import HOMELESS_SERVICE_FLAGS
 
@@ -64,23 +65,9 @@ def student_keys_in_scope(t: Tables, p: ExtractParams, back: int, key: str = "id
     return s.join(c, s["_id"] == c["_sid"], "left_semi").select("_key", "studentNum")
 
 
-def section_year(t: Tables) -> Column:
-    """Newest yearid used by any section, as a scalar subquery."""
-    return active_year_from_sections(t.sections, t.terms).scalar()
-
-
-def term_years(t: Tables) -> DataFrame:
-    """(termid, yearid) pairs; terms.id may repeat across schools, so de-dup
-    before joining to keep the big side from fanning out."""
-    return t.terms.select(col("id").alias("_tid"), col("yearid").alias("_tyear")).distinct()
-
-
 def students_in_section_year(t: Tables, extra: Sequence[str] = ()) -> DataFrame:
     """Distinct students enrolled (cc ⋈ sections ⋈ terms) in the newest section year."""
-    y = section_year(t)
-    ty = term_years(t).where(col("_tyear") == y)
-    secs = t.sections.select(col("id").alias("_secid"), col("termid").alias("_sterm"))
-    secs = secs.join(dimension(ty), secs["_sterm"] == ty["_tid"], "left_semi")
+    secs = section_keys_in_year(t, section_year(t)).select(col("id").alias("_secid"))
     c = t.cc.select(col("studentid"), col("sectionid")).join(
         secs, col("sectionid") == col("_secid"), "left_semi").select("studentid").distinct()
     s = t.students.where(col("student_number").isNotNull()).select(
@@ -89,7 +76,7 @@ def students_in_section_year(t: Tables, extra: Sequence[str] = ()) -> DataFrame:
 
 
 def student_program(df: DataFrame, fallback_code: str, columns=("studentNum", "startDate"),
-                    rules=None) -> DataFrame:
+                    rules=None):
     """Shared tail: clip studentNum, validate, type, one ERROR row when empty."""
     x = df.withColumn("studentNum", clip(col("studentNum"), 15))
     if rules is None:
@@ -173,7 +160,7 @@ def _homeless_rows(t: Tables, p: ExtractParams) -> DataFrame:
     return h.join(sc, h["studentsdcid"] == sc["_key"])
 
 
-@extract("homeless", batch=4, date_format=US_DATE)
+@extract("homeless", batch=4, date_format=US_DATE, key=("studentNum", "startDate"))
 def homeless(t: Tables, p: ExtractParams) -> DataFrame:
     src = _homeless_rows(t, p).select(col("studentNum").cast("string").alias("studentNum"),
                                       col("startdate").alias("startDate"))
@@ -201,7 +188,7 @@ def section504(t: Tables, p: ExtractParams) -> DataFrame:
 
 # ---- E31 attendanceAggregate ------------------------------------------------------
 
-@extract("attendanceAggregate", batch=3, date_format=US_DATE)
+@extract("attendanceAggregate", batch=3, date_format=US_DATE, key=("studentNum", "date"))
 def attendance_aggregate(t: Tables, p: ExtractParams) -> DataFrame:
     """One row per attendance record of an in-scope student (not aggregated)."""
     sc = student_keys_in_scope(t, p, 6, key="id")
@@ -234,30 +221,26 @@ def fee(t: Tables, p: ExtractParams) -> DataFrame:
     return empty_fallback(out, {"row_type": "ERROR", "validation_errors": "ERR_NO_SOURCE_ROWS_FOR_FEE; "})
 
 
-@extract("courseFee", batch=4)
-def course_fee(t: Tables, p: ExtractParams) -> DataFrame:
+@extract("courseFee", batch=4, school="schoolNum")
+def course_fee(t: Tables, p: ExtractParams):
+    """Fees of the newest section year on courses, for each school with a section in that year and
+    each term in which a section of the course runs there."""
     y = section_year(t)
-    terms = t.terms.select(col("id").alias("_tid"), col("yearid").alias("_ty"), col("abbreviation"))
-    secs = t.sections.select(col("id").alias("_secid"), col("schoolid").alias("_ssch"),
-                             col("termid").alias("_sterm"), col("course_number").alias("_scn"))
-    # schools with a section in the active year
-    sy = secs.join(terms, secs["_sterm"] == terms["_tid"]).where(col("_ty") == y) \
-        .select(col("_ssch").alias("_schid")).distinct()
-    scope = t.schools.select(col("id").alias("_schid"), col("school_number")) \
-        .join(sy, "_schid", "left_semi")
-    f = t.fee.where(col("course_number").isNotNull() & (col("yearid") == y))
-    j = (f.join(secs, f["course_number"] == secs["_scn"])
-         .join(terms, secs["_sterm"] == terms["_tid"])
-         .join(scope, secs["_ssch"] == scope["_schid"]))
-    src = j.select(
-        F.substring("fee_type_name", 1, 30).alias("feeName"),
-        F.substring(col("school_number").cast("string"), 1, 7).alias("schoolNum"),
-        F.substring("abbreviation", 1, 30).alias("calendarName"),
-        F.substring("course_number", 1, 13).alias("courseNum"),
-    ).distinct()
+    scope = section_keys_in_year(t, y).select(col("schoolid").alias("_schid")).distinct()
+    schools = t.schools.select(col("id").alias("_schid"), "school_number").join(scope, "_schid", "left_semi")
+    # the sections shrink to their (school, course, term) keys of these schools before they meet the fees
+    keys = (of_school(t, p, section_keys(t), "schoolid").join(dimension(schools), col("schoolid") == col("_schid"))
+            .select("school_number", col("course_number").alias("_scn"), "termid").distinct())
+    names = t.terms.select(col("id").alias("_tid"), "abbreviation").distinct()
+    f = t.fee.where(col("course_number").isNotNull() & (col("yearid") == y)).select("course_number", "fee_type_name").distinct()
+    src = (f.join(keys, col("course_number") == col("_scn")).join(dimension(names), col("termid") == col("_tid"))
+           .select(F.substring("fee_type_name", 1, 30).alias("feeName"),
+                   F.substring(col("school_number").cast("string"), 1, 7).alias("schoolNum"),
+                   F.substring("abbreviation", 1, 30).alias("calendarName"),
+                   F.substring("course_number", 1, 13).alias("courseNum")).distinct())
     rules = [required(c, blank=True) for c in ("feeName", "schoolNum", "calendarName", "courseNum")]
     out = finalize(src, ["feeName", "schoolNum", "calendarName", "courseNum"], rules)
-    return fallback_when(out, {"row_type": "ERROR", "validation_errors": "ERR_NO_SOURCE_ROWS_FOR_COURSEFEE; "}, src)
+    return empty_fallback(out, {"row_type": "ERROR", "validation_errors": "ERR_NO_SOURCE_ROWS_FOR_COURSEFEE; "})
 
 
 # ---- E58–E73 programs with no source -----------------------------------------------
@@ -316,6 +299,10 @@ PLACEHOLDER_SPECS = {
 
 
 def placeholder_program(t: Tables, name: str, source=None, params: ExtractParams | None = None) -> DataFrame:
+    return resolved(placeholder_rows(t, name, source, params))
+
+
+def placeholder_rows(t: Tables, name: str, source=None, params: ExtractParams | None = None):
     cols, req, marker = PLACEHOLDER_SPECS[name]
     spark = t.spark
     if source is None:
@@ -337,7 +324,7 @@ def _register_placeholders():
     batches = {"flag": 4, "flagParticipation": 4, "locker": 4}
     for name in PLACEHOLDER_SPECS:
         def fn(t, p, _n=name):
-            return placeholder_program(t, _n, params=p)
+            return placeholder_rows(t, _n, params=p)
         extract(name, batch=batches.get(name, 4), date_format=US_DATE, reads_tables=False)(fn)
 
 

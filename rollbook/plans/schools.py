@@ -12,13 +12,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.functions.text import clip, col, default_phone, first_nonblank, hhmm
-from rollbook.operators.quality import when_absent, finalize, required, rule
+from rollbook.operators.quality import Rows, finalize, required, rule
 from rollbook.operators.relational import (
-    count_in_group, dedup_first, dimension, drop_sentinels, half_open, school_key_map, sequence_in_group)
+    count_in_group, dedup_first, dimension, drop_sentinels, half_open, school_key_map, sequence_in_group, union_all)
 from rollbook.operators.years import (
-    active_year_containing, active_year_from_sections, calendar_name_span, calendar_name_start)
+    active_year_containing, calendar_name_span, calendar_name_start)
 from rollbook.params import ExtractParams
-from rollbook.plans.registry import extract
+from rollbook.plans.common import section_keys_in_year, section_year
+from rollbook.plans.registry import extract, of_school
 from rollbook.sources.catalog import Tables
 
 US_DATE = "MM/dd/yyyy"
@@ -35,9 +36,9 @@ def number_map(t: Tables) -> DataFrame:
 
 # By row type, then by the number inside the school number text
 @extract("school", batch=1, order=("row_type", r"expr:try_cast(regexp_extract(schoolNum, '\\d+', 0) as bigint)",
-                                   "schoolNum"))
+                                   "schoolNum"), school="schoolNum")
 def school(t: Tables, p: ExtractParams) -> DataFrame:
-    s = drop_sentinels(t.schools, "school_number", bad=(SENTINEL,))
+    s = drop_sentinels(of_school(t, p, t.schools, "school_number"), "school_number", bad=(SENTINEL,))
     s = s.select(
         F.substring(col("school_number").cast("string"), 1, 10).alias("schoolNum_raw"),
         F.substring(col("alternate_school_number").cast("string"), 1, 10).alias("stateSchoolNum_raw"),
@@ -70,10 +71,10 @@ def school(t: Tables, p: ExtractParams) -> DataFrame:
 
 # ---- E02 calendar -------------------------------------------------------------------
 
-@extract("calendar", batch=1, order=("schoolNum", "startDate"))
+@extract("calendar", batch=1, order=("schoolNum", "startDate"), school="schoolNum")
 def calendar(t: Tables, p: ExtractParams) -> DataFrame:
     skm = school_key_map(t.schools, extra=(F.coalesce(col("issummerschool"), F.lit(0)).alias("isSummerSchool"),))
-    terms = t.terms.where(col("isyearrec") == 1)
+    terms = of_school(t, p, t.terms, "schoolid").where(col("isyearrec") == 1)
     y = terms.join(dimension(skm), terms["schoolid"] == skm["school_key"]) \
         .where(col("schoolNum").isNotNull() & (col("schoolNum") != SENTINEL))
     x = y.select(
@@ -116,11 +117,11 @@ def summer_aware_name(first: Column, last: Column, school_name: Column) -> Colum
         .otherwise(F.concat_ws("", yy, F.lit(" "), F.substring(F.trim(school_name), 1, 23)))
 
 
-@extract("term", batch=1)
+@extract("term", batch=1, school="schoolNum")
 def term(t: Tables, p: ExtractParams) -> DataFrame:
     skm = school_key_map(t.schools)
     years = active_or_upcoming_years(t.terms, p.as_of_date)
-    terms = t.terms.join(dimension(years).withColumnRenamed("yearid", "_ay"),
+    terms = of_school(t, p, t.terms, "schoolid").join(dimension(years).withColumnRenamed("yearid", "_ay"),
                          col("yearid") == col("_ay"), "left_semi")
     yr = terms.where(col("isyearrec") == 1).join(dimension(skm), col("schoolid") == col("school_key")) \
         .where(col("schoolNum").isNotNull() & (col("schoolNum") != SENTINEL))
@@ -149,25 +150,16 @@ def term(t: Tables, p: ExtractParams) -> DataFrame:
 
 # ---- E07 department / E08 room -------------------------------------------------------
 
-def _section_year(t: Tables) -> Column:
-    return active_year_from_sections(t.sections, t.terms).scalar()
-
-
-def _sections_in_year(t: Tables, y: Column) -> DataFrame:
-    """Sections whose term (by id) belongs to yearid ``y``.  Term ids repeat per
-    school, so the (id, yearid) pairs are de-duplicated first."""
-    ty = t.terms.select(col("id").alias("_tid"), col("yearid").alias("_ty")).distinct().where(col("_ty") == y)
-    return t.sections.join(dimension(ty), col("termid") == col("_tid"), "left_semi")
-
-
-@extract("department", batch=1)
-def department(t: Tables, p: ExtractParams) -> DataFrame:
-    skm = school_key_map(t.schools)
-    secs = _sections_in_year(t, _section_year(t)).select("schoolid", "course_number")
-    c = t.courses.select(col("course_number").alias("_cn"), "sched_department")
-    d = (secs.join(c, col("course_number") == col("_cn"))
-         .where(col("sched_department").isNotNull() & (F.trim("sched_department") != ""))
-         .join(dimension(skm), col("schoolid") == col("school_key"), "left")
+@extract("department", batch=1, key=("schoolNum", "departmentName"), refs=(("schoolNum", "school", "schoolNum"),),
+         school="schoolNum")
+def department(t: Tables, p: ExtractParams):
+    """Departments of the courses that have a section in the newest section year; the (school,
+    course) pairs are reduced before they meet the courses."""
+    keys = section_keys_in_year(t, section_year(t)).select("schoolid", "course_number")
+    c = t.courses.where(col("sched_department").isNotNull() & (F.trim("sched_department") != "")).select(
+        col("course_number").alias("_cn"), "sched_department")
+    d = (of_school(t, p, keys, "schoolid").distinct().join(c, col("course_number") == col("_cn"))
+         .join(dimension(school_key_map(t.schools)), col("schoolid") == col("school_key"), "left")
          .select(F.substring(col("schoolNum").cast("string"), 1, 7).alias("schoolNum_raw"),
                  F.substring(F.trim("sched_department"), 1, 50).alias("departmentName_raw"))
          .distinct())
@@ -175,38 +167,46 @@ def department(t: Tables, p: ExtractParams) -> DataFrame:
     general = t.schools.where(col("school_number").isNotNull()).select(
         F.substring(col("school_number").cast("string"), 1, 7).alias("schoolNum_raw"),
         F.lit("General").alias("departmentName_raw"))
-    src = d.unionByName(when_absent(general, d))
-    x = src.select(clip("schoolNum_raw", 7).alias("schoolNum"), clip("departmentName_raw", 50).alias("departmentName"))
-    return finalize(x, ["schoolNum", "departmentName"],
-                    [required("schoolNum", blank=True), required("departmentName", blank=True)])
+
+    def final(src):
+        x = src.select(clip("schoolNum_raw", 7).alias("schoolNum"), clip("departmentName_raw", 50).alias("departmentName"))
+        return finalize(x, ["schoolNum", "departmentName"],
+                        [required("schoolNum", blank=True), required("departmentName", blank=True)])
+    # the defaults stand for departments that no school has, also in the run of one school
+    anywhere = keys.join(c, col("course_number") == col("_cn"), "left_semi") if p.school_id is not None else None
+    return Rows(final(d), final(general), anywhere)
 
 
 # fixed placeholder room name; the 20-character column cuts it
 UNKNOWN_ROOM = "UNKNOWN_FIX_IN_POWERSCHOOL"
 
 
-@extract("room", batch=1, order=("schoolNum", "roomNumber"))
-def room(t: Tables, p: ExtractParams) -> DataFrame:
-    skm = school_key_map(t.schools)
-    secs = _sections_in_year(t, _section_year(t))
-    ss = t.schedulesections.select(col("id").alias("_ssid"), col("room").alias("_ssroom"))
-    a = (secs.select("id", "schoolid", "room")
-         .join(dimension(skm), col("schoolid") == col("school_key"))
-         .where(col("schoolNum").isNotNull()))
-    from_sched = (a.join(ss, col("id") == col("_ssid"), "left")
-                  .where(col("_ssroom").isNotNull() & (F.length(F.trim("_ssroom")) > 0))
-                  .select(F.substring(F.trim("_ssroom"), 1, 20).alias("roomNumber_raw"),
-                          F.substring(col("schoolNum").cast("string"), 1, 7).alias("schoolNum_raw")))
-    from_sec = (a.where(col("room").isNotNull() & (F.length(F.trim("room")) > 0))
-                .select(F.substring(F.trim("room"), 1, 20).alias("roomNumber_raw"),
-                        F.substring(col("schoolNum").cast("string"), 1, 7).alias("schoolNum_raw")))
-    rooms = from_sched.unionByName(from_sec).distinct()
+@extract("room", batch=1, order=("schoolNum", "roomNumber"), key=("roomNumber", "schoolNum"),
+         refs=(("schoolNum", "school", "schoolNum"),), school="schoolNum")
+def room(t: Tables, p: ExtractParams):
+    """Rooms of the sections of the newest section year, from the schedule and from the section itself."""
+    skm = dimension(school_key_map(t.schools).where(col("schoolNum").isNotNull()))
+    everywhere = section_keys_in_year(t, section_year(t)).select("id", "schoolid", "room")
+    ss = t.schedulesections.select(col("id").alias("_ssid"), col("room").alias("_ssroom")).where(
+        F.length(F.trim("_ssroom")) > 0)
+
+    def named(keys):
+        return union_all([
+            keys.join(ss, col("id") == col("_ssid")).select("schoolid", F.trim("_ssroom").alias("room")),
+            keys.where(F.length(F.trim("room")) > 0).select("schoolid", F.trim("room").alias("room"))])
+
+    rooms = (named(of_school(t, p, everywhere, "schoolid")).distinct().join(skm, col("schoolid") == col("school_key"))
+             .select(F.substring("room", 1, 20).alias("roomNumber_raw"),
+                     F.substring(col("schoolNum").cast("string"), 1, 7).alias("schoolNum_raw")).distinct())
     default = t.schools.select(F.lit(UNKNOWN_ROOM[:20]).alias("roomNumber_raw"),
                                F.substring(col("school_number").cast("string"), 1, 7).alias("schoolNum_raw"))
-    src = rooms.unionByName(when_absent(default, rooms))
-    x = src.select(clip("roomNumber_raw", 20).alias("roomNumber"), clip("schoolNum_raw", 7).alias("schoolNum"))
-    return finalize(x, ["roomNumber", "schoolNum"],
-                    [required("roomNumber", blank=True), required("schoolNum", blank=True)])
+
+    def final(src):
+        x = src.select(clip("roomNumber_raw", 20).alias("roomNumber"), clip("schoolNum_raw", 7).alias("schoolNum"))
+        return finalize(x, ["roomNumber", "schoolNum"],
+                        [required("roomNumber", blank=True), required("schoolNum", blank=True)])
+    anywhere = named(everywhere).join(skm, col("schoolid") == col("school_key")) if p.school_id is not None else None
+    return Rows(final(rooms), final(default), anywhere)
 
 
 # ---- E09 course ------------------------------------------------------------------
@@ -221,14 +221,14 @@ def _active_yearrec_calendars(t: Tables, y: Column, exclude_sentinel: bool = Fal
     return yr
 
 
-@extract("course", batch=1)
+@extract("course", batch=1, school="schoolNum")
 def course(t: Tables, p: ExtractParams) -> DataFrame:
     y = active_year_containing(t.terms, p.as_of_date).scalar()
     skm = number_map(t)
     cal = _active_yearrec_calendars(t, y).select(
         col("schoolNum").alias("_cs"), calendar_name_span("firstday", "lastday", "schoolName").alias("calendarName"))
     ty = t.terms.where(col("yearid") == y).select(col("id").alias("_tid"), col("schoolid").alias("_tsch"))
-    act = (t.sections.where(col("course_number").isNotNull())
+    act = (of_school(t, p, t.sections, "schoolid").where(col("course_number").isNotNull())
            .join(dimension(ty), (col("termid") == col("_tid")) & (col("schoolid") == col("_tsch")), "left_semi")
            .join(dimension(skm), col("schoolid") == col("school_key"))
            .where(col("schoolNum").isNotNull())
@@ -256,7 +256,7 @@ def course(t: Tables, p: ExtractParams) -> DataFrame:
 
 # ---- E10 section ------------------------------------------------------------------
 
-@extract("section", batch=2)
+@extract("section", batch=2, school="schoolNum")
 def section(t: Tables, p: ExtractParams) -> DataFrame:
     y = active_year_containing(t.terms, p.as_of_date).scalar()
     skm = number_map(t)
@@ -272,7 +272,7 @@ def section(t: Tables, p: ExtractParams) -> DataFrame:
          .otherwise(F.concat(F.expr("substring(base, 1, 30 - (1 + length(cast(schoolNum as string))))"),
                              F.lit("-"), sn)).alias("calendarName_raw"))
     ty = t.terms.where(col("yearid") == y).select(col("id").alias("_tid"), col("schoolid").alias("_tsch"))
-    act = (t.sections.join(dimension(ty), (col("termid") == col("_tid")) & (col("schoolid") == col("_tsch")), "left_semi")
+    act = (of_school(t, p, t.sections, "schoolid").join(dimension(ty), (col("termid") == col("_tid")) & (col("schoolid") == col("_tsch")), "left_semi")
            .select("section_number", "course_number", "schoolid", "teacher", "room", "maxenrollment", "team")
            .distinct())
     staff = t.schoolstaff.select(col("users_dcid").alias("_ud"), col("schoolid").alias("_us"))
@@ -314,7 +314,8 @@ NON_SCHEDULE_CALENDARS = r"(summer| ss|camp|edventure|home school|non-public|non
 
 def _window_yearrecs(t: Tables, p: ExtractParams, exclude_names: bool = False) -> DataFrame:
     skm = drop_sentinels(number_map(t), "schoolNum", bad=(SENTINEL,))
-    yr = t.terms.where((col("isyearrec") == 1) & half_open("firstday", p.year_window_start, p.year_window_end))
+    yr = of_school(t, p, t.terms, "schoolid").where(
+        (col("isyearrec") == 1) & half_open("firstday", p.year_window_start, p.year_window_end))
     if exclude_names:
         yr = yr.where(~F.lower(col("name")).rlike(NON_SCHEDULE_CALENDARS))
     return yr.join(dimension(skm), col("schoolid") == col("school_key")).select(
@@ -342,7 +343,7 @@ def _cycle_day_map(t: Tables, with_abbreviation: bool = True) -> DataFrame:
         .alias("scheduleName"))
 
 
-@extract("periodSchedule", batch=2)
+@extract("periodSchedule", batch=2, school="schoolNum")
 def period_schedule(t: Tables, p: ExtractParams) -> DataFrame:
     yr = _window_yearrecs(t, p, exclude_names=True)
     pairs = _schedule_pairs(t, yr)
@@ -355,7 +356,7 @@ def period_schedule(t: Tables, p: ExtractParams) -> DataFrame:
                     F.lit(None).cast("string").alias("validation_errors"))
 
 
-@extract("period", batch=2)
+@extract("period", batch=2, school="schoolNum")
 def period(t: Tables, p: ExtractParams) -> DataFrame:
     yr = _window_yearrecs(t, p)
     pairs = _schedule_pairs(t, yr)
@@ -381,7 +382,7 @@ def period(t: Tables, p: ExtractParams) -> DataFrame:
                     F.lit(None).cast("string").alias("validation_errors"))
 
 
-@extract("sectionSchedule", batch=2)
+@extract("sectionSchedule", batch=2, school="schoolNum")
 def section_schedule(t: Tables, p: ExtractParams) -> DataFrame:
     yr = _window_yearrecs(t, p)
     cal = yr.select(col("schoolid").alias("_cal_sch"), "calendarName")
@@ -390,7 +391,7 @@ def section_schedule(t: Tables, p: ExtractParams) -> DataFrame:
     terms = t.terms.where((col("isyearrec") == 1) & half_open("firstday", p.year_window_start, p.year_window_end)) \
         .select(col("id").alias("_tid"), col("schoolid").alias("_tsch"), col("name").alias("termName"),
                 col("yearid").alias("_ty"))
-    st = t.sections.join(dimension(terms), (col("termid") == col("_tid")) & (col("schoolid") == col("_tsch")))
+    st = of_school(t, p, t.sections, "schoolid").join(dimension(terms), (col("termid") == col("_tid")) & (col("schoolid") == col("_tsch")))
     skm = drop_sentinels(number_map(t), "schoolNum", bad=(SENTINEL,))
     sm = t.section_meeting.select(col("sectionid").alias("_msec"), "period_number", "cycle_day_letter")
     j = (st.join(dimension(skm), col("schoolid") == col("school_key"))
@@ -409,7 +410,7 @@ def section_schedule(t: Tables, p: ExtractParams) -> DataFrame:
 
 # ---- E12 roster / E13 courseRequest ---------------------------------------------------
 
-@extract("roster", batch=2, order=("sectionNum", "studentNum", "startDate"), date_format=US_DATE)
+@extract("roster", batch=2, order=("sectionNum", "studentNum", "startDate"), date_format=US_DATE, school="schoolNum")
 def roster(t: Tables, p: ExtractParams) -> DataFrame:
     """Dropped enrolments (negative section id) and re-enrolments stay as own rows."""
     yr = _window_yearrecs(t, p).where(col("schoolNum") != SENTINEL)
@@ -417,7 +418,7 @@ def roster(t: Tables, p: ExtractParams) -> DataFrame:
                     "calendarName")
     terms = t.terms.where((col("isyearrec") == 1) & half_open("firstday", p.year_window_start, p.year_window_end)) \
         .select(col("id").alias("_tid"), col("schoolid").alias("_tsch"))
-    act = t.sections.join(dimension(terms), (col("termid") == col("_tid")) & (col("schoolid") == col("_tsch")),
+    act = of_school(t, p, t.sections, "schoolid").join(dimension(terms), (col("termid") == col("_tid")) & (col("schoolid") == col("_tsch")),
                           "left_semi").where(col("section_number").isNotNull()) \
         .select(col("id").alias("_secid"), "section_number", "course_number", col("schoolid").alias("_secsch"))
     c = t.cc.where(col("studentid").isNotNull() & col("sectionid").isNotNull() & col("dateenrolled").isNotNull()) \
@@ -444,15 +445,18 @@ def roster(t: Tables, p: ExtractParams) -> DataFrame:
                         "endDate", "exclude"], rules)
 
 
-@extract("courseRequest", batch=2)
+@extract("courseRequest", batch=2, key=("studentNumber", "courseNumber", "schoolNum"),
+         refs=(("studentNumber", "student", "studentNum"), ("courseNumber", "course", "courseNum"),
+               ("schoolNum", "school", "schoolNum")), school="schoolNum")
 def course_request(t: Tables, p: ExtractParams) -> DataFrame:
     y = active_year_containing(t.terms, p.as_of_date).scalar()
     skm = number_map(t).where(col("schoolNum").isNotNull())
     cal = _active_yearrec_calendars(t, y).select(
         col("schoolNum").alias("_cs"), calendar_name_span("firstday", "lastday", "schoolName").alias("calendarName"))
     ty = t.terms.where(col("yearid") == y).select(col("id").alias("_tid"), col("schoolid").alias("_tsch"))
-    act = t.sections.join(dimension(ty), (col("termid") == col("_tid")) & (col("schoolid") == col("_tsch")),
-                          "left_semi").select(col("id").alias("_secid"), "course_number", col("schoolid").alias("_secsch"))
+    act = of_school(t, p, t.sections, "schoolid").join(
+        dimension(ty), (col("termid") == col("_tid")) & (col("schoolid") == col("_tsch")),
+        "left_semi").select(col("id").alias("_secid"), "course_number", col("schoolid").alias("_secsch"))
     st = t.students.where(col("student_number").isNotNull()).select(col("id").alias("_sid"), "student_number")
     j = (t.cc.select("sectionid", "studentid")
          .join(act, col("sectionid") == col("_secid"))

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rollbook.session import ensure_checkpoint_dir
 from rollbook.sources import views as _views
+from rollbook.sources.stored import store
 
 _LOCK = threading.Lock()
 _CACHE: dict[tuple[int, str], "Tables"] = {}
@@ -34,6 +35,9 @@ class Tables:
         # run when the runner turns sharing on; None = no sharing (plain plans)
         self._memo = memo
         self._memo_lock = threading.Lock()
+        # relations derived once from this catalog's tables and stored
+        self._stored: dict = {}
+        self._values: dict = {}
 
     def shared(self, key, build) -> DataFrame:
         """``build()`` once per key when sharing is on (persisted, memory then
@@ -48,8 +52,24 @@ class Tables:
                 self._memo[key] = df
             return df
 
+    def stored(self, key, build) -> DataFrame:
+        """``build()`` once per key and catalog, stored in the shared folder: a reduced relation
+        that several extracts start from instead of the table itself."""
+        with self._memo_lock:
+            if key not in self._stored:
+                self._stored[key] = store(build(), str(key))
+            return self._stored[key]
+
+    def value(self, key, build):
+        """A small value derived once from this catalog's tables."""
+        if key not in self._values:
+            self._values[key] = build()
+        return self._values[key]
+
     def with_sharing(self) -> "Tables":
-        return Tables(self._frames, self.spark, memo={})
+        out = Tables(self._frames, self.spark, memo={})
+        out._stored, out._values = self._stored, self._values
+        return out
 
     def release_shared(self) -> None:
         if self._memo:
@@ -118,14 +138,10 @@ class Tables:
                 df = spark.read.parquet(f"{sf_dir}/{t}.parquet")
                 df.createOrReplaceTempView(t)
                 frames[t] = df
-            try:
-                ensure_checkpoint_dir(spark)
-                can_checkpoint = True
-            except Exception:  # noqa: BLE001 — e.g. a session without a SparkContext
-                can_checkpoint = False
+            ensure_checkpoint_dir(spark)
             for name, _ in _views.VIEWS:
                 df = spark.sql(_views.VIEW_SQL[name])
-                if name in _views.DIMENSION_VIEWS and can_checkpoint:
+                if name in _views.DIMENSION_VIEWS:
                     # small per-school dimensions read by almost every extract:
                     # derive them once and cut their lineage (reliable checkpoint
                     # in the cluster's checkpoint folder), so later plans scan a

@@ -40,16 +40,21 @@ select n_nationkey+1 as id, n_nationkey+501 as dcid,
        'Principal ' || n_name as principal,
        case when n_nationkey % 5 = 0 then null else 'principal' || cast(n_nationkey as string) || '@district.example' end as principalemail
 from nation"""),
-    # (school, calendar year) pairs that occur in the data: customers' nation is the school
+    # (school, calendar year) pairs that occur in the data (customers' nation is the school), and the
+    # planned year after each school's last
     ("school_years", """
 select distinct c_nationkey + 1 as school_row, cast(extract(year from o_orderdate) as int) as y
-from orders join customer on c_custkey = o_custkey"""),
+from orders join customer on c_custkey = o_custkey
+union
+select c_nationkey + 1, max(cast(extract(year from o_orderdate) as int)) + 1
+from orders join customer on c_custkey = o_custkey group by c_nationkey + 1"""),
     ("school_year_rows", "select s.*, sy.y from schools s join school_years sy on sy.school_row = s.id"),
     # three term kinds per school and year: the year record and two semesters
     ("terms", """
 select (y+1-1990)*100 + k as id, y+1-1990 as yearid, school_number as schoolid,
        case when k=0 then 1 else 0 end as isyearrec,
-       case k when 0 then cast(y as string) || '-' || cast(y+1 as string) when 1 then 'S1' else 'S2' end as name,
+       case when k=0 and issummerschool=1 then 'Summer ' || cast(y as string)
+            when k=0 then cast(y as string) || '-' || cast(y+1 as string) when k=1 then 'S1' else 'S2' end as name,
        case k when 0 then 'YR' when 1 then 'S1' else 'S2' end as abbreviation,
        case when k=2 then make_date(y+1,1,10) when issummerschool=1 then make_date(y,7,6) else make_date(y,8,20) end as firstday,
        case when k=1 then make_date(y+1,1,9) else make_date(y+1,5,31) end as lastday
@@ -99,7 +104,8 @@ select p_partkey+1 as id, 'C' || cast(p_partkey as string) as course_number, p_n
 from part"""),
     ("sections", """
 select s_suppkey*1000000 + p_partkey as id, s_suppkey + 1 as section_number, 'C' || cast(p_partkey as string) as course_number,
-       s_nationkey+1001 as schoolid, (cast(p_partkey % 7 as int)+1995+1-1990)*100 + cast(p_partkey % 3 as int) as termid,
+       s_nationkey + case p_partkey % 13 when 0 then 1 when 1 then 501 else 1001 end as schoolid,
+       (cast(p_partkey % 7 as int)+1992+1-1990)*100 + cast(p_partkey % 3 as int) as termid,
        s_suppkey+1 as teacher, case when p_partkey % 6 = 0 then null else ' R' || cast(p_partkey % 40 as string) end as room,
        cast(p_size + 10 as int) as maxenrollment, case when p_partkey % 5 = 0 then 'Team ' || p_brand end as team
 from (select distinct l_suppkey, l_partkey from lineitem) x join supplier on s_suppkey=l_suppkey join part on p_partkey=l_partkey"""),
@@ -124,8 +130,10 @@ select event_id as id, user_id % 25 + 1001 as schoolid, cast(ts as date) as entr
 from events"""),
     ("psm_studentalert", """
 select o_custkey+1 as studentid,
-       o_orderpriority || ' ' || case o_orderkey % 6 when 0 then 'Hearing screen' when 1 then 'Vision/eye' when 2 then 'TB PPD'
-                                   when 3 then 'Sport physical' when 4 then 'Dental' else 'none' end as description,
+       o_orderpriority || ' ' || case o_orderkey % 12 when 0 then 'Hearing screen' when 1 then 'Vision/eye' when 2 then 'TB PPD'
+                                   when 3 then 'Sport physical' when 4 then 'Dental' when 6 then 'Development check'
+                                   when 7 then 'Preschool screen' when 8 then 'Social/emotional' when 9 then 'Speech, language'
+                                   when 10 then 'Spine' else 'none' end as description,
        case when o_orderkey % 13 = 0 then null else cast(o_orderdate as date) end as dateexpires
 from orders"""),
     ("fee", """
@@ -204,7 +212,7 @@ from sections"""),
     # ---- staff from supplier
     ("users", """
 select s_suppkey+1 as dcid, case when s_suppkey % 10 = 0 then null else 'T' || cast(s_suppkey as string) end as teachernumber,
-       s_name as last_name, 'First' || cast(s_suppkey as string) as first_name,
+       case s_suppkey % 19 when 4 then 'PowerSchool' when 5 then 'system' else s_name end as last_name, 'First' || cast(s_suppkey as string) as first_name,
        case when s_suppkey % 3 = 0 then 'M' end as middle_name,
        case when s_suppkey % 4 = 0 then null else 'staff' || cast(s_suppkey as string) || '@district.example' end as email_addr,
        cast(make_date(1990 + cast(s_suppkey % 9 as int), 1 + cast(s_suppkey % 12 as int), 1) as timestamp) as whencreated,
@@ -373,7 +381,7 @@ select l_partkey + 1 as assignmentstandardassocid, o_custkey + 100001 as student
        cast(extract(year from l_shipdate) as int) + 1 - 1990 as yearid,
        case when l_linenumber = 1 then 'P' end as actualscoreentered,
        case when l_linenumber <= 2 then 'B' end as scorelettergrade,
-       case when l_linenumber <= 4 then cast(l_quantity as decimal(6,2)) end as scorenumericgrade,
+       case when l_linenumber = 3 then cast(l_discount as decimal(6,2)) when l_linenumber <= 4 then cast(l_quantity as decimal(6,2)) end as scorenumericgrade,
        case when l_linenumber <= 5 then cast(l_discount * 100 as decimal(6,2)) end as scorepercent,
        cast(l_linenumber % 2 as int) as isexempt, 0 as ismissing, 0 as islate
 from lineitem join orders on o_orderkey = l_orderkey"""),
