@@ -24,10 +24,10 @@ def test_row_type_severity(spark):
 
 def test_empty_fallback(spark):
     empty = spark.createDataFrame([], "row_type string, s string, validation_errors string")
-    out = Q.empty_fallback(empty, {"row_type": "ERROR", "validation_errors": "ERR_NONE; "}).collect()
+    out = Q.empty_fallback(empty, {"row_type": "ERROR", "validation_errors": "ERR_NONE; "}).resolved().collect()
     assert [tuple(r) for r in out] == [("ERROR", None, "ERR_NONE; ")]
     full = spark.createDataFrame([("CLEAN", "x", None)], "row_type string, s string, validation_errors string")
-    assert Q.empty_fallback(full, {"row_type": "ERROR"}).count() == 1
+    assert Q.empty_fallback(full, {"row_type": "ERROR"}).resolved().count() == 1
 
 
 def test_dedup_first_prefers_history_then_open_end(spark):
