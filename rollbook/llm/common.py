@@ -48,6 +48,19 @@ def discard(*stored: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def slices(column, rows: int = 512, chars: int = 1 << 22):
+    """Values of an Arrow text column in short runs, as (first row, list): what is made of a text
+    (words, hashes) is never there for a whole batch at once."""
+    for a in range(0, len(column), rows):
+        some = column.slice(a, rows).to_pylist()
+        first, size = 0, 0
+        for i, t in enumerate(some):
+            size += len(t or "")
+            if size >= chars or i + 1 == len(some):
+                yield a + first, some[first:i + 1]
+                first, size = i + 1, 0
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package's code to the Python workers, once per session, so that functions
     of it run there wherever the driver was started."""

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import discard, fresh, kept, nullable_key, ship, written
+from rollbook.llm.common import discard, fresh, kept, nullable_key, ship, slices, written
 from rollbook.llm.hashing import BASE, mixed, odd, run_hashes
 
 #: MinHash samples, bands, samples in a band, and bits of the sketch of all samples.
@@ -41,9 +41,11 @@ SAMPLES, BANDS, ROWS, BITS = 128, 32, 4, 512
 #: Buckets of up to so many nodes give all their pairs.
 SMALL = 8
 #: Up to so many nodes of a large bucket outside its largest component all become hubs; of more, DRAWN
-#: do.  The number grows fourfold each turn: the first turns join what a few hubs can join, and the
-#: nodes that really stand alone are then tried together.
-FEW, DRAWN = 32, 8
+#: do.  The number grows by GROWTH each turn: the first turn joins what a few hubs can join, and the
+#: nodes that really stand alone are then tried together, not carried from turn to turn.
+FEW, DRAWN, GROWTH = 32, 8, 8
+#: Nodes whose texts' hashes are broadcast at most, to leave the other texts out before a shuffle.
+BROADCAST_NODES = 4_000_000
 #: Hubs of the first turn, by so many hashes of the node.
 FIRST_HUBS = 8
 LONGS = BITS // 64
@@ -105,32 +107,36 @@ def sketch_cut(similarity: float, sigmas: float = 4.5) -> int:
 
 def _signatures(n: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        longs = pa.list_(pa.int64())
         for batch in batches:
-            size, node, bands, sketch = [], [], [], []
-            for words in _all_words(batch.column(1).to_pylist()):
-                s = shingles(words, n)
-                size.append(len(s))
-                if len(s):
-                    m = min_hashes(s)
-                    node.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                    bands.append(band_keys(m))
-                    sketch.append(odd_sketch(m))
-                else:
-                    node.append(None)
-                    bands.append(None)
-                    sketch.append(None)
-            longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(size, pa.int64()), pa.array(node, pa.binary()),
-                 pa.array(bands, longs), pa.array(sketch, longs)], names=["id", "th", "n", "node", "bands", "sketch"])
+            for first, texts in slices(batch.column(1), rows=2048):
+                size, node, bands, sketch = [], [], [], []
+                for words in _all_words(texts):
+                    s = shingles(words, n)
+                    size.append(len(s))
+                    if len(s):
+                        m = min_hashes(s)
+                        node.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
+                        bands.append(band_keys(m))
+                        sketch.append(odd_sketch(m))
+                    else:
+                        node.append(None)
+                        bands.append(None)
+                        sketch.append(None)
+                some = batch.slice(first, len(texts))
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0), some.column(2), pa.array(size, pa.int64()), pa.array(node, pa.binary()),
+                     pa.array(bands, longs), pa.array(sketch, longs)], names=["id", "th", "n", "node", "bands", "sketch"])
     return run
 
 
 def _sets(n: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(w, n).tobytes() for w in _all_words(batch.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
+            for first, texts in slices(batch.column(1), rows=2048):
+                sets = [shingles(w, n).tobytes() for w in _all_words(texts)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), pa.array(sets, pa.binary())],
+                                                 names=["node", "shingles"])
     return run
 
 
@@ -308,7 +314,7 @@ def _more_hubs(members: DataFrame, spent: DataFrame, comp: DataFrame, turn: int)
     # the draw is by node and turn alone, so neighbouring buckets tend to draw the same hub
     drawn = F.array(*[F.min(F.struct(F.xxhash64(F.lit(turn), F.lit(i), "node"), F.col("node")))["node"] for i in range(DRAWN)])
     left = kept(outside.groupBy("key").agg(F.count(F.lit(1)).alias("left"), drawn.alias("drawn")))
-    hubs = kept(outside.join(left, "key").filter((F.col("left") <= FEW * 4 ** (turn - 1)) | F.array_contains("drawn", F.col("node")))
+    hubs = kept(outside.join(left, "key").filter((F.col("left") <= FEW * GROWTH ** (turn - 1)) | F.array_contains("drawn", F.col("node")))
                 .select("key", "node", "comp"))
     still = kept(m.join(left.select("key"), "key", "left_semi").select("key", "band", "node", "comp"))
     discard(m, largest, outside, left)
@@ -340,7 +346,9 @@ def near_groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: st
     brief = kept(nodes.join(met, "node", "left_semi").select(
         "node", "n", "sketch", nullable_key("first.id").alias("k"), "first.th",
         F.transform("bands", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("bands")))
-    texts = source.withColumn("k", nullable_key("id")).join(brief.select("node", "k", "th"), ["k", "th"])
+    wanted = brief.select("th").distinct()
+    near = source.join(F.broadcast(wanted), "th", "left_semi") if met.count() <= BROADCAST_NODES else source
+    texts = near.withColumn("k", nullable_key("id")).join(brief.select("node", "k", "th"), ["k", "th"])
     if _repeats(plain):
         texts = texts.dropDuplicates(["node"])
     ids = written(nodes.select("node", "least_id"), "ids")
