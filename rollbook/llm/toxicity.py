@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import ship
+from rollbook.llm.common import ship, slices
 
 ORDER, DECAY = 4, 0.6
 #: Power of the kernel's share that a landmark's feature takes.
@@ -53,7 +53,7 @@ PART = 24
 #: A landmark counts for a word only if the word has this share of its different letters.
 SHARED = 0.7
 #: Scores of words that a worker remembers.
-REMEMBER = 200_000
+REMEMBER = 100_000
 THRESHOLD = 0.7
 #: Different words of a document that count.
 TOP = 3
@@ -346,22 +346,30 @@ def training_rows(docs: DataFrame, labels: DataFrame, usable, id_col: str = "doc
     return [(r.text, r.y) for r in rows.orderBy("id").collect()]
 
 
+def _scores(model: Model | None, texts: pa.Array, known: dict[str, float]) -> list[float]:
+    """Score of each text; ``known`` remembers the decision values of words.  Only the different words of
+    a few texts are held at a time."""
+    out: list[float] = []
+    for _, some in slices(texts):
+        if model is None:
+            out += [0.0] * len(some)
+            continue
+        bags = [set(words_of(t)) if t else () for t in some]
+        if len(known) > REMEMBER:
+            known.clear()
+        new = sorted({w for b in bags for w in b if w not in known})
+        for a in range(0, len(new), 20_000):
+            part = new[a:a + 20_000]
+            known.update(zip(part, model.decide(part).tolist(), strict=True))
+        out += [model.score(map(known.__getitem__, b)) for b in bags]
+    return out
+
+
 def _score(model: Model | None):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, float] = {}
         for batch in batches:
-            texts = [words_of(t) if t else [] for t in batch.column(1).to_pylist()]
-            if model is None:
-                scores = [0.0] * len(texts)
-            else:
-                new = sorted({w for t in texts for w in t if w not in known})
-                if len(known) + len(new) > REMEMBER:
-                    known.clear()
-                    new = sorted({w for t in texts for w in t})
-                for a in range(0, len(new), 50_000):
-                    some = new[a:a + 50_000]
-                    known.update(zip(some, model.decide(some).tolist(), strict=True))
-                scores = [model.score(map(known.__getitem__, t)) for t in texts]
+            scores = _scores(model, batch.column(1), known)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["id", "score"])
     return run
 
@@ -375,11 +383,9 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
 
 def _clean(model: Model | None, threshold: float, at: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, float] = {}
         for batch in batches:
-            texts = batch.column(at)
-            pair = pa.RecordBatch.from_arrays([pa.nulls(len(texts), pa.int64()), texts], names=["id", "text"])
-            for scored in _score(model)([pair]):
-                yield batch.filter(pa.array([s < threshold for s in scored.column(1).to_pylist()], pa.bool_()))
+            yield batch.filter(pa.array([s < threshold for s in _scores(model, batch.column(at), known)], pa.bool_()))
     return run
 
 
