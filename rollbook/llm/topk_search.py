@@ -8,8 +8,8 @@ the exact integer product is formed for the survivors only.
 
 Vectors that are null or hold a null or non-finite component take no part, nor do rows
 without id.  Shorter vectors count as padded with zeros.  Rows that share a query's id
-are the query's own.  A query id that repeats is asked once, by one of its rows (the
-largest vector).  Other columns are ignored; an empty table gives no rows.
+are the query's own.  A query id that repeats is asked by each of its rows.  Other columns are
+ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -17,17 +17,16 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollbook.llm.common import kept, ship
 
 SCALE = 1024
-#: Vectors in a packed candidate block, queries in a packed query block, and query blocks broadcast at a time.
-BLOCK, QUERY_BLOCK, BLOCKS_AT_ONCE = 2048, 512, 16
+#: Candidates of a block, queries that meet it together, and queries that are sent to the tasks at a time.
+BLOCK, QUERY_BLOCK, QUERIES_AT_ONCE = 2048, 512, 8192
 SEGMENTS = (4, 16)
-BLOCK_SCHEMA = "ids binary, dims int, data binary"
 
 
 def integer_vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -38,101 +37,119 @@ def integer_vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
                     F.transform(F.col(vec_col), lambda x: F.floor(x.cast("double") * float(SCALE)).cast("long")).alias("v")))
 
 
-def _packed(ids: list, vectors: list) -> pd.DataFrame:
-    dims = max([1, *map(len, vectors)])
-    m = np.zeros((len(vectors), dims), dtype="<i8")
+def _matrix(vectors: list) -> np.ndarray:
+    m = np.zeros((len(vectors), max([1, *map(len, vectors)])), dtype="int64")
     for i, v in enumerate(vectors):
         m[i, :len(v)] = v
-    return pd.DataFrame({"ids": [np.asarray(ids, dtype="<i8").tobytes()], "dims": [dims], "data": [m.tobytes()]})
+    return m
 
 
-def _blocks(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        for a in range(0, len(pdf), BLOCK):
-            part = pdf.iloc[a:a + BLOCK]
-            yield _packed(part["id"].tolist(), part["v"].tolist())
-
-
-def _matrix(ids: bytes, dims: int, data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(ids, "<i8"), np.frombuffer(data, "<i8").reshape(-1, dims)
-
-
-def _segments(m: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """Means and deviations of n segments of equal length (padded with zeros)."""
-    length = -(-m.shape[1] // n)
+def _segments(m: np.ndarray, n: int, dims: int) -> tuple[np.ndarray, int]:
+    """Means and deviations, side by side, of n segments of equal length (padded with zeros), and that length."""
+    length = -(-dims // n)
     padded = np.zeros((m.shape[0], n * length))
     padded[:, :m.shape[1]] = m
     cut = padded.reshape(len(m), n, length)
-    return cut.mean(axis=2), cut.std(axis=2), length
+    return np.hstack([cut.mean(axis=2), cut.std(axis=2)]), length
 
 
 def _exact(q: np.ndarray, c: np.ndarray) -> list[int]:
     """Integer products of one query; doubles where every partial sum is exact in them."""
-    if float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(1, len(q)) < 2**53:
+    n = min(len(q), c.shape[1])
+    q, c = q[:n], c[:, :n]
+    if float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(1, n) < 2**53:
         return (c.astype(float) @ q.astype(float)).astype("int64").tolist()
     return [int(x) for x in c.astype(object) @ q.astype(object)]
 
 
-def search_block(q_ids, q, c_ids, c, k: int) -> Iterator[tuple[int, int, int]]:
-    """The k best candidates of a block for each query: (query, candidate, score)."""
-    dims = max(q.shape[1], c.shape[1])
-    q, c = (np.pad(x, ((0, 0), (0, dims - x.shape[1]))) for x in (q, c))
-    own = q_ids[:, None] == c_ids[None, :]
-    norms = np.linalg.norm(q.astype(float), axis=1)[:, None] * np.linalg.norm(c.astype(float), axis=1)[None, :]
-    slack = 1e-9 * norms + 1  # far above the rounding of a bound
-    alive = ~own
-    floor = np.full(len(q), -np.inf)
-    for level, n in enumerate(SEGMENTS):
-        mq, sq, length = _segments(q, n)
-        mc, sc, _ = _segments(c, n)
-        bound = length * (mq @ mc.T + sq @ sc.T) + slack
-        if level == 0:  # k promising candidates give a score that others must reach
-            bound[own] = -np.inf
-            for i in range(len(q)):
-                best = np.argpartition(-bound[i], min(k, len(c)) - 1)[:k]
-                best = best[~own[i, best]]
-                if len(best) >= k:
-                    floor[i] = min(_exact(q[i], c[best]))
-        alive &= bound >= floor[:, None]
-    for i in range(len(q)):
-        left = np.flatnonzero(alive[i])
-        scored = sorted(zip((-s for s in _exact(q[i], c[left])), c_ids[left].tolist(), strict=True))[:k] if len(left) else []
-        for s, v in scored:
-            yield int(q_ids[i]), v, -s
-
-
-def _search(k: int):
-    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for r in pdf.itertuples(index=False):
-                rows = list(search_block(*_matrix(r.q_ids, r.q_dims, r.q_data), *_matrix(r.ids, r.dims, r.data), k))
-                yield pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype("int64")
+class Search:
+    """The k best candidates so far of each query (number, id, vector), over blocks of candidates."""
+
+    def __init__(self, numbers: list, ids: list, vectors: list, k: int):
+        self.numbers, self.ids, self.q, self.k = numbers, np.array(ids, dtype="int64"), _matrix(vectors), k
+        self.norms = np.linalg.norm(self.q.astype(float), axis=1)
+        self.best: list[list[tuple[int, int]]] = [[] for _ in numbers]  # (-score, id), best first
+        self.levels: dict[tuple[int, int], tuple[np.ndarray, int]] = {}
+
+    def floor(self, i: int) -> float:
+        return -self.best[i][-1][0] if len(self.best[i]) == self.k else -np.inf
+
+    def _segments(self, n: int, dims: int) -> tuple[np.ndarray, int]:
+        if (n, dims) not in self.levels:
+            self.levels[n, dims] = _segments(self.q, n, dims)
+        return self.levels[n, dims]
+
+    def _try(self, i: int, ids: np.ndarray, c: np.ndarray) -> None:
+        scored = [(-s, v) for s, v in zip(_exact(self.q[i], c), ids.tolist(), strict=True)]
+        self.best[i] = sorted(self.best[i] + scored)[:self.k]
+
+    def block(self, ids: np.ndarray, c: np.ndarray) -> None:
+        """Coarse bounds say which candidates of the block can reach a query's floor; finer bounds are
+        formed for these, exact products for what is left."""
+        dims = max(self.q.shape[1], c.shape[1])
+        c_norms = np.linalg.norm(c.astype(float), axis=1)
+        sides = {n: _segments(c, n, dims) for n in SEGMENTS}
+        mine, length = self._segments(SEGMENTS[0], dims)
+        theirs = sides[SEGMENTS[0]][0].T * length
+        for first in range(0, len(self.numbers), QUERY_BLOCK):
+            coarse = mine[first:first + QUERY_BLOCK] @ theirs
+            for i, bound in enumerate(coarse, start=first):
+                slack = 1e-9 * self.norms[i] * c_norms + 1  # far above the rounding of a bound
+                bound = np.where(ids == self.ids[i], -np.inf, bound + slack)
+                if len(self.best[i]) < self.k:  # promising candidates give a floor that others must reach
+                    few = np.argpartition(-bound, min(self.k, len(ids)) - 1)[:self.k]
+                    few = few[bound[few] > -np.inf]
+                    self._try(i, ids[few], c[few])
+                    bound[few] = -np.inf
+                # ties count: of equal scores the smaller id is better
+                left = np.flatnonzero((bound >= self.floor(i)) & (bound > -np.inf))
+                for n in SEGMENTS[1:]:
+                    if not len(left):
+                        break
+                    side, size = sides[n]
+                    fine = size * (side[left] @ self._segments(n, dims)[0][i]) + slack[left]
+                    left = left[fine >= self.floor(i)]
+                if len(left):
+                    self._try(i, ids[left], c[left])
+
+    def rows(self) -> Iterator[tuple[int, int, int, int]]:
+        for number, own, best in zip(self.numbers, self.ids.tolist(), self.best, strict=True):
+            for s, v in best:
+                yield number, own, v, -s
+
+
+def _search(shipped, k: int):
+    """Of each task the k best candidates of each query; the floors hold from block to block."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        search = Search(*shipped.value, k)
+        for batch in batches:
+            for a in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(a, BLOCK)
+                search.block(part.column(0).to_numpy(), _matrix(part.column(1).to_pylist()))
+        cols = list(zip(*search.rows(), strict=True)) or [[], [], [], []]
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in cols], names=["q", "query_id", "vec_id", "score"])
     return run
 
 
 def top_k(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id``, ``score``: each query's k highest scores over all rows
-    but its own, ties to the smaller id.
+    but those of its own id, ties to the smaller id.
 
-    The query set meets all rows in blocks: packed candidate blocks stay where they are,
-    and at most BLOCKS_AT_ONCE query blocks (a fixed number of vectors) are sent to all tasks
-    at a time.  Each pair of blocks returns at most k rows a query.
+    The query set meets all rows in blocks: QUERIES_AT_ONCE queries are sent to all tasks at a time, and a
+    task passes its candidates by them block by block.  A task returns at most k rows a query.
     """
-    ship(df.sparkSession)
-    all_vectors = integer_vectors(df, id_col, vec_col)
-    blocks = kept(all_vectors.mapInPandas(_blocks, BLOCK_SCHEMA))
-    asked = integer_vectors(queries, id_col, vec_col).groupBy("id").agg(F.max("v").alias("v"))
+    spark = df.sparkSession
+    ship(spark)
+    vectors = integer_vectors(df, id_col, vec_col)
+    asked = kept(integer_vectors(queries, id_col, vec_col).withColumn("q", F.monotonically_increasing_id()))
     n = asked.count()
-    q_blocks = -(-n // QUERY_BLOCK) or 1
-    packed = kept(asked.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(q_blocks)))
-                  .groupBy("b").applyInPandas(
-                      lambda key, pdf: _packed(pdf["id"].tolist(), pdf["v"].tolist()).assign(b=key[0]), BLOCK_SCHEMA + ", b long"))
-    found = None
-    for first in range(0, q_blocks, BLOCKS_AT_ONCE):
-        some = (packed.filter(F.col("b").between(first, first + BLOCKS_AT_ONCE - 1))
-                .select(F.col("ids").alias("q_ids"), F.col("dims").alias("q_dims"), F.col("data").alias("q_data")))
-        part = blocks.crossJoin(F.broadcast(some)).mapInPandas(_search(k), "query_id long, vec_id long, score long")
-        found = part if found is None else found.unionByName(part)
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    turns = -(-n // QUERIES_AT_ONCE)
+    out = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    best = Window.partitionBy("q").orderBy(F.col("score").desc(), "vec_id")
+    for turn in range(turns):
+        rows = asked.filter(F.pmod(F.xxhash64("q"), F.lit(turns)) == turn).orderBy("q").collect()
+        shipped = spark.sparkContext.broadcast(([r.q for r in rows], [r.id for r in rows], [r.v for r in rows]))
+        found = vectors.mapInArrow(_search(shipped, k), "q long, query_id long, vec_id long, score long")
+        out = out.unionByName(found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+                              .select("query_id", "rank", "vec_id", "score"))
+    return out
