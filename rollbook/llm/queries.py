@@ -46,7 +46,7 @@ def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "warc")
     warc_store.write_archive(_read(spark, sf_dir, "pages"), path)
-    return (warc_store.read_archive(spark, path, payloads=False)
+    return (warc_store.read_archive(spark, path)
             .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
 
 

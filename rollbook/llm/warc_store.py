@@ -8,7 +8,7 @@ mismatch.
 Rules: null html is an empty payload; a null url leaves the target line out; blanks and
 control characters of a url are percent-encoded in the header; a null page id is larger
 than any id; records that repeat a page id and payload share their type; an empty table
-gives empty archives; other columns are ignored.
+gives empty archives; payloads of any length are kept whole; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 RECORD_ID = "urn:rollbook:page:"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
+#: After each record.
+END = b"\r\n\r\n"
 #: Digits of base 32 as conv() writes them, and as RFC 4648 does.
 BASE32_CONV = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 BASE32_RFC = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -82,12 +84,11 @@ def write_archive(pages: DataFrame, path: str, min_revisit_bytes: int = 0, id_co
 
 
 def _checked(spark: SparkSession, path: str) -> DataFrame:
-    """Stored payloads with what their bytes say; a payload that does not match its key fails the job."""
+    """Stored payloads; one that does not match its key fails the job."""
     s = spark.read.parquet(f"{path}/payloads")
     right = F.unhex(F.sha2("payload", 256)) == F.col("sha256")
-    return s.select("sha256", "payload", F.octet_length("payload").cast("long").alias("payload_bytes"),
-                    F.when(right, sha1_base32("payload"))
-                    .otherwise(F.raise_error(F.lit("a stored payload does not match its digest"))).alias("payload_digest"))
+    return s.select("sha256", F.when(right, F.col("payload"))
+                    .otherwise(F.raise_error(F.lit("a stored payload does not match its digest"))).alias("payload"))
 
 
 def _fields(header: str) -> dict[str, Column]:
@@ -99,27 +100,32 @@ def _fields(header: str) -> dict[str, Column]:
         "page_id": number(got(rf"(?m)^WARC-Record-ID: <{RECORD_ID}([^>]*)>")),
         "refers_to": number(got(rf"(?m)^WARC-Refers-To: <{RECORD_ID}([^>]*)>")),
         "named_digest": got(r"(?m)^WARC-Payload-Digest: sha1:(\S+)"),
+        # the first length is the record's own: that of all that follows the WARC header
+        "block_bytes": got(r"(?m)^Content-Length: (\d+)").cast("long"),
+        "warc_bytes": F.octet_length(F.substring_index(text, "\r\n\r\n", 1)).cast("long") + 4,
     }
 
 
-def read_archive(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """The archive's records: ``page_id``, ``record_type``, ``refers_to``, ``payload_bytes``,
-    ``payload_digest`` and, with ``payloads``, ``header``, ``payload`` and ``record`` (the bytes of
-    the record as a WARC file holds them).
+def read_archive(spark: SparkSession, path: str) -> DataFrame:
+    """The archive's records, rebuilt by joining headers and payloads: ``page_id``, ``record_type``,
+    ``refers_to``, ``record`` (the bytes of the record as a WARC file holds them), ``payload`` (a
+    revisit's is that of the record it refers to), ``payload_bytes`` and ``payload_digest``.
 
-    Digest and length come from the stored bytes and must agree with the header.
-    Without ``payloads`` only those narrow columns are joined, and no payload moves.
+    Length and digest are those of the rebuilt payload bytes.  A record whose digest or length is not
+    the one that its header states fails the job, as does a stored payload that is not what its key says.
     """
-    store = _checked(spark, path)
-    if not payloads:
-        store = store.drop("payload")
     r = spark.read.parquet(f"{path}/records")
     r = r.select("sha256", "header", *[c.alias(k) for k, c in _fields("header").items()])
-    j = r.join(store, "sha256")
-    agreed = F.when(F.col("named_digest") == F.col("payload_digest"), F.col("payload_digest")).otherwise(
-        F.raise_error(F.lit("a record's digest does not match its payload")))
-    out = ["page_id", "record_type", "refers_to", "payload_bytes", agreed.alias("payload_digest")]
-    if payloads:
-        body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
-        out += ["header", "payload", F.concat(F.col("header"), body, F.lit(b"\r\n\r\n")).alias("record")]
-    return j.select(*out)
+    j = r.join(_checked(spark, path).select("sha256", F.col("payload").alias("stored")), "sha256")
+    own = F.col("record_type") == "response"
+    j = j.withColumn("record", F.concat("header", F.when(own, F.col("stored")).otherwise(F.lit(b"")), F.lit(END)))
+    # the payload as it stands in the rebuilt record
+    start = F.octet_length("header") + 1
+    inside = F.substring(F.col("record"), start, F.octet_length("record") - F.octet_length("header") - len(END))
+    j = j.withColumn("payload", F.when(own, inside).otherwise(F.col("stored")))
+    j = j.withColumn("digest", sha1_base32("payload"))
+    block = F.octet_length("record") - len(END) - F.col("warc_bytes")
+    right = (F.col("digest") == F.col("named_digest")) & (block == F.col("block_bytes"))
+    digest = F.when(right, F.col("digest")).otherwise(F.raise_error(F.lit("a record is not what its header says")))
+    return j.select("page_id", "record_type", "refers_to", F.octet_length("payload").cast("long").alias("payload_bytes"),
+                    digest.alias("payload_digest"), "header", "payload", "record")
