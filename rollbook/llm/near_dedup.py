@@ -43,7 +43,7 @@ SMALL = 8
 #: Up to so many nodes of a large bucket outside its largest component all become hubs; of more, DRAWN
 #: do.  The number grows by GROWTH each turn: the first turn joins what a few hubs can join, and the
 #: nodes that really stand alone are then tried together, not carried from turn to turn.
-FEW, DRAWN, GROWTH = 32, 8, 8
+FEW, DRAWN, GROWTH = 96, 16, 4
 #: Nodes whose texts' hashes are broadcast at most, to leave the other texts out before a shuffle.
 BROADCAST_NODES = 4_000_000
 #: Hubs of the first turn, by so many hashes of the node.
