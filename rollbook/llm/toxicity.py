@@ -53,7 +53,7 @@ PART = 24
 #: A landmark counts for a word only if the word has this share of its different letters.
 SHARED = 0.7
 #: Scores of words that a worker remembers.
-REMEMBER = 100_000
+REMEMBER = 200_000
 THRESHOLD = 0.7
 #: Different words of a document that count.
 TOP = 3
@@ -350,7 +350,7 @@ def _scores(model: Model | None, texts: pa.Array, known: dict[str, float]) -> li
     """Score of each text; ``known`` remembers the decision values of words.  Only the different words of
     a few texts are held at a time."""
     out: list[float] = []
-    for _, some in slices(texts):
+    for _, some in slices(texts, rows=4096, chars=1 << 23):
         if model is None:
             out += [0.0] * len(some)
             continue
