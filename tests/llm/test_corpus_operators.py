@@ -73,6 +73,74 @@ def test_sharding(docs, empty):
     assert sharding.interleave(empty, 4).count() == 0
 
 
+def dealt_plainly(rows, shards, seed=11):
+    """Units dealt by fraction, surplus given away from the smallest: (id, size, crc) -> shards, by one loop each."""
+    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
+    key = lambda v: "-" if v is None else f"={v}"
+    total, units, home = len(rows), collections.defaultdict(list), {}
+    n = collections.Counter(md5(t or "") for _, t, _ in rows)
+    for i, t, s in rows:
+        b = (t or "").encode()
+        x = md5(f"{seed}|{key(i)}|{zlib.crc32(b)}|{len(b) + 8}")
+        u = md5(t or "") + (f"-{x}" if n[md5(t or "")] > total // shards else "")
+        units[u].append((x, (i, len(b) + 8, zlib.crc32(b))))
+        home[u] = min(home.get(u, key(s)), key(s))
+    o = {u: md5(f"{seed}|{u}") for u in units}
+    place = {}
+    for g in set(home.values()):
+        mine = sorted((u for u in units if home[u] == g), key=lambda u: (o[u], u))
+        of, at = sum(len(units[u]) for u in mine), 0
+        for u in mine:
+            place[u] = f"{int((2 * at + len(units[u])) / (2 * of) * 2.0**48):012X}"
+            at += len(units[u])
+    held, at = collections.defaultdict(list), 0
+    for u in sorted(units, key=lambda u: (place[u], u)):
+        held[(2 * at + len(units[u])) * shards // (2 * total)].append(u)
+        at += len(units[u])
+    due = [(s + 1) * total // shards - s * total // shards for s in range(shards)]
+    out, line, cut = collections.defaultdict(list), [], 0
+    for s in range(shards):
+        mine = sorted(held[s], key=lambda u: (len(units[u]), o[u], u))
+        in_line = [(u, r) for u in mine for r in sorted(units[u])]
+        over = max(0, len(in_line) - due[s])
+        line += in_line[:over]
+        out[s] += in_line[over:]
+    for s in range(shards):
+        while len(out[s]) < due[s]:
+            out[s].append(line.pop(0))
+    spread = collections.defaultdict(set)
+    for s in out:
+        for u, _ in out[s]:
+            spread[u].add(s)
+    return {s: sorted((r for _, (_, r) in out[s]), key=str) for s in out if out[s]}, sum(len(v) > 1 for v in spread.values())
+
+
+def sharded(docs, shards):
+    got = collections.defaultdict(list)
+    for r in sharding.interleave(docs, shards).collect():
+        got[r.shard].append((r.id, r.size, r.crc))
+    return {s: sorted(v, key=str) for s, v in got.items()}
+
+
+def test_sharding_is_dealt_as_stated(spark, docs):
+    """Against the plain version: nulls and repeats, groups of all sizes, a group larger than a shard."""
+    rows = [(r.doc_id, r.text, r.source) for r in docs.collect()]
+    for shards in (1, 4, 40):
+        want, _ = dealt_plainly(rows, shards)
+        assert sharded(docs, shards) == want
+    many = [(i, f"t{int(i ** 0.5)}" if i < 400 else "hot" if i < 700 else f"x{i}" if i % 3 else "warm", f"s{i % 5 % 3}") for i in range(1000)]
+    d = spark.createDataFrame(many, "doc_id long, text string, source string")
+    want, cut = dealt_plainly(many, 8)
+    assert sharded(d, 8) == want and cut <= 2 * 8
+
+
+def test_sharding_keeps_equal_texts(spark):
+    """All groups of equal texts of sf0.01 stay whole, as single rows level the shards."""
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    s = sharding.interleave(d, 24).join(d, F.col("id") == F.col("doc_id"))
+    assert s.groupBy(F.coalesce("text", F.lit(""))).agg(F.count_distinct("shard").alias("n")).filter("n > 1").isEmpty()
+
+
 def test_sharding_matches_mixture(spark):
     d = spark.range(2400).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"),
                                  F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("source"))
