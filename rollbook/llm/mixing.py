@@ -9,7 +9,9 @@ of DRAWS seeded offsets a source uses the one that comes nearest to it.
 
 Rows that repeat id, source and text are one unit and share their copies.  A null text
 has no words, a null source is a source of its own and comes last, a null id is a
-value like any other, an empty table gives no rows.  All arithmetic on positions is in
+value like any other, a very long text is counted and hashed in one scan and moved only
+by ``mixed_documents``, ties of class and hash go by id, text hash and size, an empty
+table gives no rows.  All arithmetic on positions is in
 integers, so a rerun gives the same mix.
 """
 
@@ -25,6 +27,8 @@ UNIT_BITS = 24
 UNIT = 2**UNIT_BITS
 #: Candidate offsets of a source.
 DRAWS = 64
+#: Tables of sources, or of sources and size classes, are broadcast up to so many rows; beyond, the join shuffles.
+MOST_BROADCAST = 100_000
 
 
 def word_count(text: str | Column) -> Column:
@@ -38,6 +42,11 @@ def _size_class(size: str) -> Column:
     return F.when(F.col(size) < 32, F.col(size)).otherwise(top * 64 + F.floor(F.col(size) / step)).cast("long")
 
 
+def _small(stored: DataFrame) -> DataFrame:
+    """A stored table, broadcast if its counted rows are few, so that a hot source's rows stay where they are."""
+    return F.broadcast(stored) if stored.count() <= MOST_BROADCAST else stored
+
+
 def targets(sizes: DataFrame, weights: tuple[float, ...], max_copies: int) -> DataFrame:
     """``source``, ``g``, ``source_size`` -> the same with ``target``.
 
@@ -85,10 +94,10 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), m
         .drop("count").join(goal.drop("source"), "g")
         .withColumn("step", F.when(F.col("source_size") > 0,
                                    F.floor(F.col("target") / F.col("source_size") * float(UNIT))).otherwise(0).cast("long")))
-    placed = kept(ranked.drop("group_n", "x").join(steps, ["g", "c"])
+    placed = kept(ranked.drop("group_n", "x").join(_small(kept(steps)), ["g", "c"])
                   .withColumn("at", (F.col("before") + F.col("rank0")) * F.col("step"))
                   .select("id", "source", "h", "size", "repeats", "g", "source_size", "target", "step", "at"))
-    drawn = _offsets(placed, goal, seed)
+    drawn = _small(kept(_offsets(placed, goal, seed)))
     over = "shiftright({} + offset, " + str(UNIT_BITS) + ")"
     return (placed.join(drawn, "g")
             .withColumn("copies", F.expr(f"{over.format('at + step')} - {over.format('at')}"))

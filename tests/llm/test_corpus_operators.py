@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import os
 import re
 import sys
@@ -148,20 +149,58 @@ def test_sharding_matches_mixture(spark):
     assert all(abs(r["count"] - (33.3 if r.source == "a" else 66.7)) <= 2 for r in s)
 
 
-def test_mixing(docs, empty):
-    m = mixing.mix_sources(docs).collect()
-    size = {None: 0}
+def mixed_plainly(rows, hashes, seed=5, max_copies=3):
+    """Targets filled up source by source, then one walk along each source for every offset:
+    (id, source, text) -> (size, source size, target, copies)."""
+    key = lambda v: "-" if v is None else f"={v}"
+    units = collections.Counter(rows)
+    size = {u: len(re.findall(r"[^\x20\x09-\x0D]+", u[2] or "")) for u in units}
     total = collections.Counter()
-    taken = collections.Counter()
-    for r in m:
-        assert r.copies <= 3 and r.size == (len(re.findall(r"[^\x20\x09-\x0D]+", "")) if r.size == 0 else r.size)
-        total[r.source] += r.size * r.repeats
-        taken[r.source] += r.copies * r.size * r.repeats
-    assert size and all(r.source_size == total[r.source] for r in m)
-    goal = {r.source: r.target for r in m}
-    assert sum(goal.values()) == pytest.approx(sum(total.values()))
-    assert all(goal[s] <= 3 * total[s] + 1e-6 for s in goal)
-    assert sorted(map(tuple, m), key=str) == sorted(map(tuple, mixing.mix_sources(docs).collect()), key=str)
+    for u, n in units.items():
+        total[u[1]] += n * size[u]
+    names = sorted(total, key=lambda s: (s is None, s or ""))
+    weight = {s: float(i % 3 + 1) for i, s in enumerate(names)}
+    goal, free, left = {}, set(names), float(sum(total.values()))
+    while free:
+        level = left / sum(weight[s] for s in free)
+        full = {s for s in free if level * weight[s] >= max_copies * total[s]}
+        for s in full or free:
+            goal[s] = max_copies * total[s] if full else level * weight[s]
+            left -= goal[s]
+        free -= full or free
+    whole, out = 2**24, {}
+
+    def order(u):
+        n = size[u]
+        top = int(math.log2(max(n, 1)))
+        return n if n < 32 else top * 64 + int(n / 2.0**max(top - 5, 0)), hashlib.md5(f"{seed}|{key(u[0])}|{hashes[u[2]]}".encode()).hexdigest()
+
+    for s in names:
+        mine = sorted((u for u in units if u[1] == s), key=order)
+        step = int(goal[s] / total[s] * whole) if total[s] else 0
+        start = int(hashlib.md5(f"{seed}|{key(s)}".encode()).hexdigest()[:6], 16)
+        best = None
+        for j in range(mixing.DRAWS):
+            off = (start + j * whole // mixing.DRAWS) % whole
+            copies = [((i + 1) * step + off) // whole - (i * step + off) // whole for i in range(len(mine))]
+            miss = abs(sum(c * size[u] * units[u] for u, c in zip(mine, copies, strict=True)) - goal[s])
+            if best is None or miss < best[0]:
+                best = miss, copies
+        out |= {u: (size[u], total[s], goal[s], c) for u, c in zip(mine, best[1], strict=True)}
+    return out
+
+
+def test_mixing(docs, empty, monkeypatch):
+    rows = [(r.doc_id, r.source, r.text) for r in docs.collect()]
+    hashes = {r.text: r.h for r in docs.select("text", F.xxhash64("text").alias("h")).collect()}
+    want = mixed_plainly(rows, hashes)
+    for limit in (mixing.MOST_BROADCAST, 0):
+        monkeypatch.setattr(mixing, "MOST_BROADCAST", limit)
+        m = mixing.mix_sources(docs).collect()
+        got = {(r.id, r.source, r.h): (r.size, r.source_size, r.target, r.copies) for r in m}
+        assert len(m) == len(want) == len(got) and sum(r.repeats for r in m) == len(rows)
+        for (i, s, t), (n, of, goal, copies) in want.items():
+            assert got[i, s, hashes[t]] == (n, of, pytest.approx(goal), copies)
     out = mixing.mixed_documents(docs)
     assert out.columns == docs.columns and out.count() == sum(r.copies * r.repeats for r in m)
     assert mixing.mix_sources(empty).count() == 0
