@@ -16,6 +16,11 @@ def clip(expr: str, n: int) -> str:
     return f"nullif(substr(trim(CAST({expr} AS VARCHAR)), 1, {n}), '')"
 
 
+def first_text(*texts: str) -> str:
+    """The first that is not blank."""
+    return "coalesce(" + ", ".join(f"nullif(trim({t}), '')" for t in texts) + ")"
+
+
 def final(src: str, cols: list[str], rules: list[tuple[str, str]], marker: dict | None = None,
           marker_probe: str | None = None, col_types: dict | None = None) -> str:
     """SELECT row_type, cols..., validation_errors FROM src  [+ marker row when empty]."""
@@ -38,8 +43,7 @@ def final(src: str, cols: list[str], rules: list[tuple[str, str]], marker: dict
 
 ACTIVE_YEARID = """
 ay AS (
-  SELECT CASE WHEN EXISTS (SELECT 1 FROM cc WHERE termid IS NOT NULL AND floor(termid/100) = {req})
-              THEN {req} ELSE (SELECT max(floor(termid/100)) FROM cc WHERE termid IS NOT NULL) END AS yearid
+  SELECT coalesce(max(y) FILTER (WHERE y = {req}), max(y)) AS yearid FROM (SELECT floor(termid / 100) AS y FROM cc WHERE termid IS NOT NULL)
 )"""
 
 SECTION_YEAR = """
