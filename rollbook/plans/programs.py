@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.functions.text import clip, col, contains_any, lunch_status_code, termid_in_years
+from rollbook.functions.codes import HOMELESS_SERVICE_FLAGS
 from rollbook.operators.quality import empty_fallback, finalize, marker_row, required, resolved
 from rollbook.operators.relational import any_flag, dimension, net_balance
 from rollbook.operators.years import requested_or_latest_year
@@ -22,7 +23,6 @@ from rollbook.params import YEARID_BASE, ExtractParams
 from rollbook.plans.common import section_keys, section_keys_in_year, section_year
 from rollbook.plans.registry import extract, of_school
 from rollbook.sources.catalog import Tables
-from rollbook.sources.views import HOMELESS_SERVICE_FLAGS
 
 US_DATE = "MM/dd/yyyy"
 

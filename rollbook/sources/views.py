@@ -18,6 +18,8 @@ orders, so even the calendar dimensions are derived from the data.
 
 from __future__ import annotations
 
+from rollbook.functions.codes import HOMELESS_SERVICE_FLAGS
+
 import re
 
 # Driver tables (one parquet each).
@@ -162,12 +164,6 @@ select o_custkey+1 as studentid, 'C' || cast(l_partkey as string) as course_numb
 from lineitem join orders on o_orderkey=l_orderkey"""),
 ]
 
-# homeless-program service flags (fixed column names of the SIS table)
-HOMELESS_SERVICE_FLAGS = (
-    "transportation", "tutor_instrsvcs", "school_supplies", "clothing", "counseling", "health_referrals",
-    "records_transfer", "before_after_schl_pgm", "emer_assist_attendance", "parent_education", "staff_prof_dev",
-    "other_svcs", "refer_other_pgmsvc", "assist_participation", "coord_schl_agency", "requestsnoservices",
-)
 # flag i is set on orders whose key is i mod 19; 16, 17 give no service, 18 leaves all flags NULL
 _HOMELESS_FLAG_SQL = ", ".join(
     f"case when o_orderkey % 19 = {i} then 1 when o_orderkey % 19 = 18 then null else 0 end as {f}"
