@@ -17,6 +17,8 @@ from rollbook.session import ensure_checkpoint_dir
 #: Characters that separate words: space and \t \n \v \f \r.
 BLANKS = " \t\n\x0b\f\r"
 WORD = r"[^\x20\x09-\x0D]+"
+#: Whether Spark drops a query's shuffle files as soon as it is done.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def kept(df: DataFrame) -> DataFrame:
@@ -33,10 +35,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back: compact and column-pruned.
     Unlike a checkpoint it hands no constraints, orders or partitionings on, which in loops
     multiply until planning takes longer than the jobs.  The folder is the cluster's place for
-    such files and is cleaned with its checkpoints."""
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    such files and is cleaned with its checkpoints.  The shuffle files of the write are dropped once
+    it is done: what is read later is the table."""
+    spark, path = df.sparkSession, shared_path(df.sparkSession, name)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out
 

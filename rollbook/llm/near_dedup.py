@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from rollbook.llm.common import discard, fresh, kept, nullable_key, ship, slices, written
 from rollbook.llm.hashing import BASE, mixed, odd, run_hashes
 
-#: MinHash samples, bands, samples in a band, and bits of the sketch of all samples.
+#: MinHash samples, bands (a power of two), samples in a band, and bits of the sketch of all samples.
 SAMPLES, BANDS, ROWS, BITS = 128, 32, 4, 512
 #: Buckets of up to so many nodes give all their pairs.
 SMALL = 8
@@ -76,6 +76,19 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
     return np.unique(h)
 
 
+def packed(s: np.ndarray) -> bytes:
+    """A sorted set as the highest six bytes of each hash: what pairs are confirmed by, three quarters of
+    its size.  That two of n shingles agree in them has a chance near n**2 / 2**49."""
+    return s.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def unpacked(v: pa.Scalar) -> np.ndarray:
+    raw = np.frombuffer(v.as_buffer(), dtype=np.uint8).reshape(-1, 6)
+    out = np.zeros((len(raw), 8), dtype=np.uint8)
+    out[:, :6] = raw
+    return out.reshape(-1).view("<u8").astype(np.uint64, copy=False)
+
+
 def min_hashes(s: np.ndarray) -> np.ndarray:
     x = (s >> np.uint64(32)).astype(np.uint32)
     low = np.full(SAMPLES, 0xFFFFFFFF, dtype=np.uint32)
@@ -85,10 +98,11 @@ def min_hashes(s: np.ndarray) -> np.ndarray:
 
 
 def band_keys(m: np.ndarray) -> np.ndarray:
-    h = np.arange(1, BANDS + 1, dtype=np.uint64)
+    """A key for each band; its lowest bits are the band's number."""
+    h = band = np.arange(BANDS, dtype=np.uint64)
     for r in range(ROWS):
-        h = mixed(h * np.uint64(BASE) + m[r:BANDS * ROWS:ROWS])
-    return h.view(np.int64)
+        h = mixed((h + np.uint64(1)) * np.uint64(BASE) + m[r:BANDS * ROWS:ROWS])
+    return (h & ~np.uint64(BANDS - 1) | band).view(np.int64)
 
 
 def odd_sketch(m: np.ndarray) -> np.ndarray:
@@ -134,7 +148,7 @@ def _sets(n: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in slices(batch.column(1), rows=2048):
-                sets = [shingles(w, n).tobytes() for w in _all_words(texts)]
+                sets = [packed(shingles(w, n)) for w in _all_words(texts)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), pa.array(sets, pa.binary())],
                                                  names=["node", "shingles"])
     return run
@@ -144,7 +158,7 @@ def _exploded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(node, shingle) rows of sets."""
     for batch in batches:
         for node, s in zip(batch.column(0), batch.column(1), strict=True):
-            values = np.frombuffer(s.as_buffer(), dtype=np.int64)
+            values = unpacked(s).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array([node.as_py()] * len(values), pa.binary()), pa.array(values)],
                                              names=["node", "shingle"])
 
@@ -155,7 +169,7 @@ def _cells(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         cells, over = [], []
         for v in batch.column(1):
-            s = np.frombuffer(v.as_buffer(), dtype=np.uint64)
+            s = unpacked(v)
             count = np.bincount((s % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
             cells.append(np.packbits(np.concatenate([count >= 1, count >= 2])).view(np.int64))
             over.append(int(np.maximum(count - 2, 0).sum()))
@@ -186,7 +200,7 @@ def _confirm(percent: int):
         for batch in batches:
             linked = []
             for a, b in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (a, b))
+                x, y = unpacked(a), unpacked(b)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 linked.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(
@@ -278,8 +292,13 @@ class _Links:
         return out & self.can_link(a, b, _shared_at_most(a, b)) if "cells" in bounds else out
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
-        own = lambda x: self.sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}"))
         stored = kept(pairs)
+
+        def own(x: str) -> DataFrame:
+            # where few pairs are left, the other sets stay out of the shuffle
+            sets = self.sets.join(stored.select(F.col(x).alias("node")).distinct(), "node", "left_semi")
+            return sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}"))
+
         out = kept(stored.join(own("a"), "a").join(own("b"), "b").select("a", "b", "sa", "sb")
                    .mapInArrow(_confirm(self.percent), "a binary, b binary"))
         discard(stored)
@@ -321,6 +340,15 @@ def _more_hubs(members: DataFrame, spent: DataFrame, comp: DataFrame, turn: int)
     return still, hubs
 
 
+def _long(c: str, at: int) -> Column:
+    """Eight bytes of a binary column as a number."""
+    return F.conv(F.hex(F.substring(c, at, 8)), 16, -10).cast("long")
+
+
+def _hex(c: str) -> Column:
+    return F.lpad(F.hex(c), 16, "0")
+
+
 def near_groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """One row per input row: ``id``, ``th`` (hash of the text), ``n`` (size of its set), ``node``,
@@ -337,15 +365,18 @@ def near_groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: st
     nodes = written(nodes, "nodes")
     plain = written(rows.select("id", "th", "n", "node"), "rows")
     discard(rows)
-    keys = nodes.select("node", F.posexplode("bands").alias("band", "key")).withColumn("band", F.col("band") + 1)
+    # most keys are shuffled to be dropped, so their rows are three numbers: the node in two, the band in the key
+    keys = nodes.select(_long("node", 1).alias("high"), _long("node", 9).alias("low"), F.explode("bands").alias("key"))
     shared = kept(keys.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"))
-    members = kept(keys.join(shared, "key"))
+    members = kept(keys.join(shared, "key").select(
+        "key", F.unhex(F.concat(_hex("high"), _hex("low"))).alias("node"),
+        (F.col("key").bitwiseAND(BANDS - 1) + 1).cast("int").alias("band"), "m"))
     discard(shared)
 
     met = kept(members.select("node").distinct())
     brief = kept(nodes.join(met, "node", "left_semi").select(
         "node", "n", "sketch", nullable_key("first.id").alias("k"), "first.th",
-        F.transform("bands", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("bands")))
+        F.transform("bands", lambda x: F.shiftright(x, 32).cast("int")).alias("bands")))
     wanted = brief.select("th").distinct()
     near = source.join(F.broadcast(wanted), "th", "left_semi") if met.count() <= BROADCAST_NODES else source
     texts = near.withColumn("k", nullable_key("id")).join(brief.select("node", "k", "th"), ["k", "th"])

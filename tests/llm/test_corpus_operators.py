@@ -240,12 +240,26 @@ def test_near_groups(docs, empty):
     assert near_dedup.near_groups(empty, 2).count() == 0
 
 
+def test_packed_sets_and_band_keys():
+    import pyarrow as pa
+    r = np.random.default_rng(5)
+    for n in (0, 1, 700):
+        s = np.unique(r.integers(0, 2**64, n, dtype=np.uint64))
+        got = near_dedup.unpacked(pa.scalar(near_dedup.packed(s), pa.binary()))
+        assert (got == s >> np.uint64(16)).all() and len(got) == len(s)
+    a, b = (r.integers(0, 2**32, near_dedup.SAMPLES, dtype=np.uint32) for _ in range(2))
+    b[:near_dedup.ROWS] = a[:near_dedup.ROWS]
+    x, y = near_dedup.band_keys(a), near_dedup.band_keys(b)
+    assert (x & near_dedup.BANDS - 1 == np.arange(near_dedup.BANDS)).all() and len(set(x)) == near_dedup.BANDS
+    assert x[0] == y[0] and not (x[1:] == y[1:]).any()
+
+
 def test_near_bound(spark):
     """The bound of what two sets share is never too small, and tight for sets far smaller than the cells."""
     r = np.random.default_rng(4)
     every = r.integers(0, 2**63, 40_000, dtype=np.uint64)
     sets = [np.unique(r.choice(every[:m], n)) for m, n in ((300, 200), (300, 250), (40_000, 30_000), (40_000, 9_000), (5, 5))]
-    rows = spark.createDataFrame([(bytes([i]), s.tobytes()) for i, s in enumerate(sets)], "node binary, shingles binary")
+    rows = spark.createDataFrame([(bytes([i]), near_dedup.packed(s)) for i, s in enumerate(sets)], "node binary, shingles binary")
     side = lambda x: (rows.mapInArrow(near_dedup._cells, "node binary, cells array<long>, over long")
                       .select(F.col("node").alias(x), F.struct("cells", "over").alias(f"info_{x}")))
     got = (side("a").crossJoin(side("b")).select("a", "b", near_dedup._shared_at_most(F.col("info_a"), F.col("info_b")).alias("most")))
