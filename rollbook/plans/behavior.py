@@ -38,7 +38,7 @@ def behavior_event_type(t: Tables, p: ExtractParams) -> DataFrame:
 
 @extract("behaviorIncident", batch=3, order=("incidentID",), date_format=US_DATE, school="schoolID")
 def behavior_incident(t: Tables, p: ExtractParams) -> DataFrame:
-    lo, hi = F.lit(p.behavior_start).cast("date"), F.lit(p.behavior_end).cast("date")
+    lo, hi = F.lit(p.incident_start).cast("date"), F.lit(p.incident_end).cast("date")
     lg = of_school(t, p, t.log, "schoolid")
     ldate = F.coalesce(col("discipline_incidentdate"), col("entry_date"))
     log_src = lg.where(F.to_date(ldate).between(lo, hi)).select(

@@ -165,6 +165,35 @@ def test_derived_windows():
     assert ExtractParams.for_run(dt.date(2026, 8, 15), 2027, behavior_start=dt.date(2026, 7, 1)).behavior_start == dt.date(2026, 7, 1)
 
 
+def test_incidents_of_the_whole_window(spark, tables):
+    """Every dated log row and incident of the scripts' eight school years is written, by default
+    and in a run; another window must be asked for."""
+    import datetime as dt
+    from pyspark.sql import functions as F
+    days = [dt.date(2019, 6, 30), dt.date(2019, 7, 1), dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 25),
+            dt.date(2024, 1, 31), dt.date(2027, 6, 30), dt.date(2027, 7, 1), None]
+    rows = [(i, 1001, d, dt.datetime(d.year, d.month, d.day, 23, 59, 59) if d else None) for i, d in enumerate(days)]
+    df = spark.createDataFrame(rows, "id long, school long, d date, ts timestamp_ntz")
+
+    def like(name, **known):
+        return df.select(*[(known[f.name] if f.name in known else F.lit(None)).cast(f.dataType).alias(f.name)
+                           for f in tables[name].schema.fields])
+
+    swapped = tables.with_tables(
+        log=like("log", id=F.col("id"), schoolid=F.col("school"), entry_date=F.col("d")),
+        incident=like("incident", incident_id=F.col("id") + 100, school_number=F.col("school"), incident_ts=F.col("ts")))
+
+    def ids(p):
+        return sorted(int(r.incidentID) for r in all_extracts()["behaviorIncident"](swapped, p).collect())
+
+    whole = [1, 2, 3, 4, 5, 6]
+    assert ids(ExtractParams()) == whole + [100 + i for i in whole]
+    run = ExtractParams.for_run(dt.date(2026, 8, 15), 2027)
+    assert ids(run) == ids(ExtractParams())
+    short = ExtractParams.for_run(dt.date(2026, 8, 15), 2027, behavior_start=dt.date(2024, 1, 2), behavior_end=dt.date(2024, 1, 25))
+    assert ids(short) == [3, 4, 103, 104]
+
+
 def test_job_on_shifted_data(spark, tables, tmp_path):
     """Data moved to 2026 give a job run without window options the rows that the fixture's windows give (all its
     behaviour days: the job's own window has eight school years)."""
