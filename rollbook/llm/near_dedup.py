@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import discard, fresh, kept, nullable_key, ship, slices, written
+from rollbook.llm.common import discard, fresh, kept, nullable_key, ship, slices, stored_bytes, written
 from rollbook.llm.hashing import BASE, mixed, odd, run_hashes
 
 #: MinHash samples, bands (a power of two), samples in a band, and bits of the sketch of all samples.
@@ -46,6 +46,9 @@ SMALL = 8
 FEW, DRAWN, GROWTH = 96, 16, 4
 #: Nodes whose texts' hashes are broadcast at most, to leave the other texts out before a shuffle.
 BROADCAST_NODES = 4_000_000
+#: Size on disk up to which a stored table of a turn is broadcast.  Each row has a hash of eight bytes or more, which
+#: does not compress, so such a table has some 130,000 rows at most.
+BROADCAST_BYTES = 1 << 20
 #: Hubs of the first turn, by so many hashes of the node.
 FIRST_HUBS = 8
 LONGS = BITS // 64
@@ -219,11 +222,11 @@ def components(edges: DataFrame, start: DataFrame | None = None) -> DataFrame:
     labels = kept(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
                   .select("node", F.least("node", "m").alias("comp")))
     while True:
-        near = (both.join(labels.select(F.col("node").alias("b"), "comp"), "b")
+        near = (both.join(_near_at_hand(labels, labels.select(F.col("node").alias("b"), "comp")), "b")
                 .groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("m")))
-        step = kept(labels.join(near, "node").select("node", F.col("comp").alias("old"), F.least("comp", "m").alias("comp")))
+        step = kept(near.join(_near_at_hand(labels, labels.select("node", "comp")), "node").select("node", F.col("comp").alias("old"), F.least("comp", "m").alias("comp")))
         up = step.select(F.col("node").alias("comp"), F.col("comp").alias("top"))
-        new = kept(step.join(up, "comp").select("node", "old", F.col("top").alias("comp")))
+        new = kept(step.join(_near_at_hand(step, up), "comp").select("node", "old", F.col("top").alias("comp")))
         discard(labels, step)
         labels = new
         if new.filter(F.col("old") != F.col("comp")).isEmpty():
@@ -235,18 +238,25 @@ def _joined(comp: DataFrame, links: DataFrame) -> DataFrame:
     """``comp`` after more links: only the components that these join are labelled anew."""
     if links.isEmpty():
         return comp
-    of = lambda x: comp.select(F.col("node").alias(x), F.col("comp").alias(f"c{x}"))
+    of = lambda x: _near_at_hand(comp, comp.select(F.col("node").alias(x), F.col("comp").alias(f"c{x}")))
     ends = kept(links.join(of("a"), "a", "left").join(of("b"), "b", "left")
                 .select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")))
     top = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
     every = kept(comp.select("node", "comp").unionByName(ends.select(F.col("a").alias("node"), F.col("ca").alias("comp")))
                  .unionByName(ends.select(F.col("b").alias("node"), F.col("cb").alias("comp"))).distinct())
     new = top.select(F.col("node").alias("comp"), F.col("comp").alias("top"))
-    out = kept(every.join(new, "comp", "left").select("node", F.coalesce("top", "comp").alias("comp")))
+    out = kept(every.join(_near_at_hand(top, new), "comp", "left").select("node", F.coalesce("top", "comp").alias("comp")))
     discard(comp, ends, top, every)
     return out
 
 
+def _near_at_hand(stored: DataFrame, part: DataFrame | None = None) -> DataFrame:
+    """``part`` of a stored table (or all of it), broadcast if the table is small: most tables of a turn
+    are, and their joins then need no shuffle of either side."""
+    part = stored if part is None else part
+    return F.broadcast(part) if stored_bytes(stored) <= BROADCAST_BYTES else part
+
+
 def _ordered(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
@@ -273,7 +283,7 @@ class _Links:
     def side(self, members: DataFrame, x: str, *bounds: str) -> DataFrame:
         """Members with what a pair is judged by."""
         info = self.nodes.select("node", F.struct("n", "sketch", "bands", *bounds).alias(f"info_{x}"))
-        return members.join(info, "node").withColumnRenamed("node", x)
+        return members.join(_near_at_hand(self.nodes, info), "node").withColumnRenamed("node", x)
 
     def can_link(self, a: Column, b: Column, both: Column) -> Column:
         """Whether sets that share ``both`` shingles are a link."""
@@ -293,10 +303,12 @@ class _Links:
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         stored = kept(pairs)
+        small = stored_bytes(stored) <= BROADCAST_BYTES
 
         def own(x: str) -> DataFrame:
             # where few pairs are left, the other sets stay out of the shuffle
-            sets = self.sets.join(stored.select(F.col(x).alias("node")).distinct(), "node", "left_semi")
+            nodes = stored.select(F.col(x).alias("node"))
+            sets = self.sets.join(F.broadcast(nodes) if small else nodes.distinct(), "node", "left_semi")
             return sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}"))
 
         out = kept(stored.join(own("a"), "a").join(own("b"), "b").select("a", "b", "sa", "sb")
@@ -314,6 +326,8 @@ class _Links:
         bounds = self.bounds()
         m = self.side(members.select("key", "band", "node", "comp"), "a", *bounds)
         h = self.side(hubs.select("key", "node", F.col("comp").alias("hub_comp")), "b", *bounds)
+        if stored_bytes(hubs) <= BROADCAST_BYTES // 4:  # their rows grow by what pairs are judged by
+            h = F.broadcast(h)
         return (m.join(h, "key").filter((F.col("comp") != F.col("hub_comp")) & self.near("a", "b", *bounds))
                 .select(*_ordered("a", "b")).distinct())
 
@@ -324,18 +338,18 @@ def _more_hubs(members: DataFrame, spent: DataFrame, comp: DataFrame, turn: int)
     Two nodes of different components are done once either was a hub, so a bucket is open
     while a node outside its largest component is not among ``spent`` (key, node).
     """
-    m = kept(members.select("key", "band", "node").join(comp.select("node", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+    m = kept(members.select("key", "band", "node").join(_near_at_hand(comp, comp.select("node", "comp")), "node", "left").withColumn("comp", F.coalesce("comp", "node")))
     shares = m.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
     largest = kept(shares.groupBy("key").agg(F.max(F.struct("n", "comp"))["comp"].alias("most"), F.count(F.lit(1)).alias("comps"))
                    .filter("comps > 1").select("key", "most"))
-    outside = kept(m.join(largest, "key").filter(F.col("comp") != F.col("most")).select("key", "node", "comp")
-                   .join(spent, ["key", "node"], "left_anti"))
+    outside = kept(m.join(_near_at_hand(largest), "key").filter(F.col("comp") != F.col("most")).select("key", "node", "comp")
+                   .join(_near_at_hand(spent), ["key", "node"], "left_anti"))
     # the draw is by node and turn alone, so neighbouring buckets tend to draw the same hub
     drawn = F.array(*[F.min(F.struct(F.xxhash64(F.lit(turn), F.lit(i), "node"), F.col("node")))["node"] for i in range(DRAWN)])
     left = kept(outside.groupBy("key").agg(F.count(F.lit(1)).alias("left"), drawn.alias("drawn")))
-    hubs = kept(outside.join(left, "key").filter((F.col("left") <= FEW * GROWTH ** (turn - 1)) | F.array_contains("drawn", F.col("node")))
+    hubs = kept(outside.join(_near_at_hand(left), "key").filter((F.col("left") <= FEW * GROWTH ** (turn - 1)) | F.array_contains("drawn", F.col("node")))
                 .select("key", "node", "comp"))
-    still = kept(m.join(left.select("key"), "key", "left_semi").select("key", "band", "node", "comp"))
+    still = kept(m.join(_near_at_hand(left, left.select("key")), "key", "left_semi").select("key", "band", "node", "comp"))
     discard(m, largest, outside, left)
     return still, hubs
 
@@ -418,7 +432,7 @@ def near_groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: st
         turn += 1
     discard(still, hubs, spent, sets, brief, met)
 
-    named = ids.join(comp.select("node", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    named = ids.join(_near_at_hand(comp, comp.select("node", "comp")), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     named = kept(named)
     order = F.struct(F.col("least_id").isNull().alias("a"), F.col("least_id").alias("b"), F.col("node").alias("c"))
     least = kept(named.groupBy("comp").agg(F.min("least_id").alias("component_id"), F.min(order)["c"].alias("stays")))

@@ -287,6 +287,26 @@ def test_near_large_buckets(spark, other):
     assert got == group
 
 
+def test_near_small_tables_are_broadcast(spark, monkeypatch):
+    """Joins with a small stored table shuffle nothing, whatever Spark's own limit is; a larger table is not broadcast,
+    and the components are the same."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        path = [(i, i + 1) for i in range(20)] + [(40, 41), (50, 30), (30, 60)]
+        edges = spark.createDataFrame(path, "a long, b long")
+        table = near_dedup.kept(edges)
+        found = []
+        for most, broadcast in ((near_dedup.BROADCAST_BYTES, True), (0, False)):
+            monkeypatch.setattr(near_dedup, "BROADCAST_BYTES", most)
+            plan = edges.join(near_dedup._near_at_hand(table, table.select("a")), "a")._jdf.queryExecution().executedPlan().toString()
+            assert ("BroadcastHashJoin" in plan) == broadcast
+            found.append(sorted((r.node, r.comp) for r in near_dedup.components(edges).collect()))
+        assert found[0] == found[1] == sorted([(i, 0) for i in range(21)] + [(40, 40), (41, 40), (30, 30), (50, 30), (60, 30)])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_suffix_dedup(docs, empty, monkeypatch):
     length = 400
     texts = [(r.doc_id, (r.text or "").encode()) for r in docs.collect()]
