@@ -9,6 +9,7 @@ import sys
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -345,6 +346,49 @@ def test_loser_tree():
         assert n == len(os.path.commonprefix([a[0], b[0]]))
 
 
+def test_suffix_ranges_in_blocks(monkeypatch):
+    """A range gives its rows in short batches, and of a line that very many documents share only strings whose
+    right part a splitter starts with are counted over all ranges."""
+    length, block = 400, 40
+    monkeypatch.setattr(suffix_dedup, "BLOCK", block)
+    r = np.random.default_rng(7)
+    line, passage = bytes(r.integers(97, 123, 150).tolist()), bytes(r.integers(97, 123, 900).tolist())
+    def noise(n):
+        return bytes(r.integers(97, 123, n).tolist())
+    texts = [noise(300) + line + noise(300) for _ in range(120)] + [noise(200) + passage + noise(int(n)) for n in r.integers(0, 90, 60)]
+    texts += [texts[0], texts[130], b"x" * 900, b"", b"short"]
+    count = collections.Counter(t[i:i + length] for t in texts for i in range(len(t) - length + 1))
+    want = {(str(d), i) for d, t in enumerate(texts) for i in range(len(t) - length + 1) if count[t[i:i + length]] > 1}
+    entries = []
+    for d, anchors, lo, hi, _ in suffix_dedup._text_anchors(texts, length):
+        for a, x, y in zip(anchors.tolist(), lo.tolist(), hi.tolist(), strict=True):
+            entries.append((texts[d][a:a + length], suffix_dedup._tie(str(d), 0, a), texts[d][x:a], str(d), 0, a, x, y))
+    entries.sort(key=lambda e: e[:2])
+    hot = [i for i, e in enumerate(entries) if any(e[0][:64] == line[j:j + 64] for j in range(87))]
+    splitters = sorted(entries[i][:2] for i in {hot[len(hot) // 2], len(entries) // 5, len(entries) // 2})
+    got, elsewhere, sizes = set(), collections.Counter(), []
+    pending = []
+    for number in range(len(splitters) + 1):
+        some = [e for e in entries if suffix_dedup.bisect_right(splitters, e[:2]) == number]
+        blobs = [suffix_dedup._encode(some[k::3], length) for k in range(3)]
+        batches = [pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([b], pa.binary())], names=["range", "run"]) for b in blobs]
+        borders = [s[0] for s in splitters[max(0, number - 1):number + 1]]
+        for batch in suffix_dedup._merge_range(length, splitters)(iter(batches)):
+            sizes.append(batch.num_rows)
+            for row in batch.to_pylist():
+                if row["h1"] is None:
+                    got |= {(row["k"], i) for i in range(row["first"], row["last"] + 1)}
+                else:
+                    pending.append(row)
+                    elsewhere[row["h1"], row["h2"]] += row["n"]
+                    start = row["first"]
+                    anchor = next(e for e in some if e[3] == row["k"] and e[6] <= start <= e[7])[5]
+                    assert any(b.startswith(texts[int(row["k"])][anchor:start + length]) for b in borders)
+    got |= {(p["k"], p["first"]) for p in pending if p["n"] == 1 and elsewhere[p["h1"], p["h2"]] > 1}
+    assert got == want and pending
+    assert len(sizes) > 8 and max(sizes) < 3 * length
+
+
 def test_packing(docs, empty):
     from tokenizers import Tokenizer
     vocab = queries.vocabulary()
